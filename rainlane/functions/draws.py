@@ -1,0 +1,38 @@
+"""Seeded random draws as a function of a row's own key.
+
+Each draw hashes (seed, stream, key), so a row gets the same value however the
+data is partitioned and however often a lost task is run again.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# 13 hex digits carry 52 bits, which a double holds exactly.
+_HEX_DIGITS = 13
+_SPAN = float(16**_HEX_DIGITS)
+
+
+def unit(key: Column, stream: str, seed: int) -> Column:
+    """Uniform in [0, 1)."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(stream), key.cast("string")))
+    return F.conv(F.substring(digest, 1, _HEX_DIGITS), 16, 10).cast("double") / F.lit(_SPAN)
+
+
+def uniform(key: Column, stream: str, seed: int, lo: float, hi: float) -> Column:
+    return F.lit(float(lo)) + F.lit(float(hi) - float(lo)) * unit(key, stream, seed)
+
+
+def whole(key: Column, stream: str, seed: int, lo: int, hi: int) -> Column:
+    """Whole number in lo .. hi, both included."""
+    return (F.floor(unit(key, stream, seed) * F.lit(float(hi - lo + 1))) + F.lit(lo)).cast("int")
+
+
+def normal(key: Column, stream: str, seed: int, mean: float, sd: float) -> Column:
+    """Normal draw from two uniform ones (Box-Muller)."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(F.lit(1.0) - unit(key, stream + "/r", seed)))
+    angle = F.lit(2.0 * math.pi) * unit(key, stream + "/a", seed)
+    return F.lit(float(mean)) + F.lit(float(sd)) * (radius * F.cos(angle))
