@@ -169,7 +169,7 @@ def safe_casts(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.concat(F.col("o_custkey").cast("string"), F.lit(".75")))
         .otherwise(F.col("o_orderpriority"))
     )
-    day = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date").cast("string"))
     return orders.select(
         "o_orderkey",
         casting.lenient_int(text).alias("as_int"),

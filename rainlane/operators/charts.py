@@ -114,7 +114,7 @@ def cube_totals(cube: DataFrame, level: str) -> DataFrame:
 def _with_ends(df: DataFrame, edges: Column, bin_name: str, lower: str, upper: str) -> DataFrame:
     with_edges = df.withColumn("_edges", edges)
     return (
-        with_edges.withColumn(lower, F.col("_edges").getItem(F.col(bin_name)))
-        .withColumn(upper, F.col("_edges").getItem(F.col(bin_name) + 1))
+        with_edges.withColumn(lower, F.col("_edges")[F.col(bin_name)])
+        .withColumn(upper, F.col("_edges")[F.col(bin_name) + 1])
         .drop("_edges")
     )

@@ -20,8 +20,8 @@ def read_extract(
     schema: T.StructType = INCIDENT_EXTRACT,
     multiline: bool = False,
 ) -> DataFrame:
-    """CSV files under a path or glob. ``multiline`` reads fields with line breaks,
-    at the price of one task per file."""
+    """CSV files under a path or glob; an empty field is NULL. ``multiline`` reads
+    fields with line breaks, at the price of one task per file."""
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
 
 

@@ -32,5 +32,5 @@ def incident_extract(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("city"),
         F.floor(F.col("o_totalprice") / 1000).cast("string").alias("reported_incidents"),
         F.col("o_orderstatus").alias("congestion_level"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("incident_date"),
+        F.col("o_orderdate").cast("date").cast("string").alias("incident_date"),
     )
