@@ -1,0 +1,175 @@
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from rainlane.catalog.datasets import as_records, dataset_tables, register_table, serve
+from rainlane.fixed_values import CHARTS, DATASETS
+from rainlane.functions import naming
+from rainlane.operators.metadata import chart_descriptions, chart_metadata
+from rainlane.schemas import CHART_METADATA, LONG, PREDICTIONS, PREDICTIONS_SERVED, TEXT, struct
+from rainlane.settings import Layout
+from rainlane.sinks.tables import append_table, conformed, overwrite_table
+from rainlane.sources.artifacts import artifact_files
+from rainlane.sources.extracts import read_relational_table
+from rainlane.sources.tables import read_table
+from rainlane.staging import shared_dir, stage
+
+
+def metadata_rows(spark, stamp="20250301_123005"):
+    files = spark.createDataFrame(
+        [("temp_vs_incidents", "a", 1.5), ("temp_vs_incidents", "b", 0.5), ("cor_matrix", "c", 2.0)],
+        "key string, location string, file_size_kb double",
+    )
+    return chart_metadata(chart_descriptions(spark), files, "s3://bucket/charts/", F.lit(stamp))
+
+
+def test_chart_metadata(spark):
+    rows = metadata_rows(spark)
+    assert rows.schema.simpleString() == CHART_METADATA.simpleString()
+    by_kind = {r.visualization_type: r for r in rows.collect()}
+    assert by_kind.keys() == CHARTS.keys()
+    bar = by_kind["temp_incidents_bar"]
+    assert bar.visualization_id == "temp_incidents_bar_20250301_123005"
+    assert bar.s3_location == "s3://bucket/charts/20250301_123005/temp_vs_incidents"
+    assert bar.file_size_kb == 2.0
+    assert (bar.dimensions.width, bar.dimensions.height) == (1200, 600)
+    assert bar.related_data.asDict() == {
+        "temperature": True, "precipitation": False, "congestion": True, "correlation": False
+    }
+    assert bar.parameters["bins"] == "8"
+    assert all(by_kind["correlation_heatmap"].related_data)
+    assert "bins" not in by_kind["correlation_heatmap"].parameters
+    assert by_kind["congestion_incidents_bar"].dimensions.height == 500
+
+
+def test_append_keeps_and_overwrite_replaces(spark, tmp_path):
+    rows = metadata_rows(spark)
+    for _ in range(2):
+        append_table(rows, str(tmp_path / "appended"))
+        overwrite_table(rows, str(tmp_path / "written"))
+    assert read_table(spark, str(tmp_path / "appended"), CHART_METADATA).count() == 8
+    back = read_table(spark, str(tmp_path / "written"))
+    assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def test_table_files_are_snappy(spark, tmp_path):
+    overwrite_table(spark.range(3), str(tmp_path / "t"))
+    assert all(".snappy." in p.name for p in (tmp_path / "t").glob("part-*"))
+
+
+def test_artifact_sizes_without_reading_content(spark, tmp_path):
+    (tmp_path / "run").mkdir()
+    (tmp_path / "run" / "a.png").write_bytes(b"x" * 2048)
+    (tmp_path / "b.png").write_bytes(b"x" * 512)
+    (tmp_path / "c.txt").write_bytes(b"x")
+    files = artifact_files(spark, str(tmp_path), "*.png")
+    got = {r.location.rsplit("/", 1)[1]: r.file_size_kb for r in files.collect()}
+    assert got == {"a.png": 2.0, "b.png": 0.5}
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan[plan.index("ReadSchema") :]
+
+
+def test_declared_types_are_written(spark, tmp_path):
+    rows = spark.range(2).select(
+        F.lit("d").alias("date"), "id", F.lit("M").alias("city"), F.lit(1.0).alias("max_temp"),
+        F.lit(2.0).alias("precipitation"), F.lit(3).cast("bigint").alias("congestion_level_num"),
+        F.lit(4).alias("predicted_incidents"),
+    )
+    overwrite_table(conformed(rows, PREDICTIONS), str(tmp_path / "p"))
+    table = register_table(spark, "rainlane_declared", str(tmp_path / "p"), PREDICTIONS_SERVED)
+    assert table.columns == PREDICTIONS_SERVED.fieldNames()
+    assert [tuple(r) for r in table.collect()] == [(3, 1.0, 2.0, 4)] * 2
+
+
+def test_registering_again_moves_the_table(spark, tmp_path):
+    for n in (1, 2):
+        overwrite_table(spark.range(n), str(tmp_path / str(n)))
+        table = register_table(spark, "rainlane_moved", str(tmp_path / str(n)), struct(id=LONG))
+        assert table.count() == n
+
+
+def test_every_dataset_has_a_table():
+    assert dataset_tables(Layout("/x")).keys() == DATASETS.keys()
+    assert len({path for path, _ in dataset_tables(Layout("/x/")).values()}) == 8
+    assert Layout("/x/").trusted == Layout("/x").trusted == "/x/trusted/joined_data"
+
+
+def test_unknown_dataset_lists_all(spark):
+    with pytest.raises(ValueError) as raised:
+        serve(spark, "/nothing", "db")
+    assert all(name in str(raised.value) for name in DATASETS)
+
+
+def test_records_are_texts(spark):
+    df = spark.createDataFrame([(1, None, 2.5), (2, 'q"é', None)], "i int, s string, d double")
+    got = [json.loads(r.record) for r in as_records(df).collect()]
+    assert got == [{"i": "1", "s": "", "d": "2.5"}, {"i": "2", "s": 'q"é', "d": ""}]
+
+
+def test_names(spark):
+    row = spark.range(1).select(
+        naming.run_stamp(F.lit(datetime(2025, 3, 1, 4, 5, 6)).cast("timestamp_ntz")).alias("stamp"),
+        naming.iso_date(naming.day_after("2025-02-27", F.lit(2))).alias("day"),
+        naming.kilobytes(F.lit(512)).alias("kb"),
+    )
+    assert tuple(row.first()) == ("20250301_040506", "2025-03-01", 0.5)
+
+
+def test_staged_tables_are_in_the_named_folder(spark):
+    folder = shared_dir(spark)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert named is None or folder == named.rstrip("/")
+    staged = stage(spark.range(5), "numbers")
+    assert folder in staged.inputFiles()[0]
+    assert sorted(r.id for r in staged.collect()) == [0, 1, 2, 3, 4]
+
+
+class FakeReader:
+    """Stands for ``spark.read``: keeps the calls, answers the key-range query."""
+
+    def __init__(self, span):
+        self.span, self.calls = span, []
+
+    @property
+    def read(self):
+        return self
+
+    def jdbc(self, url, table, **options):
+        self.calls.append((table, options))
+        return self
+
+    def first(self):
+        return self.span
+
+
+def test_relational_read_is_split_by_key_ranges():
+    reader = FakeReader((1, 365))
+    read_relational_table(
+        reader, "jdbc:x", "incidents", key="id", partitions=16, properties={"user": "u"}
+    )
+    (query, asked), (table, options) = reader.calls
+    assert "MIN(id)" in query and "MAX(id)" in query and asked == {"properties": {"user": "u"}}
+    assert table == "incidents"
+    assert options == {
+        "column": "id", "lowerBound": 1, "upperBound": 366, "numPartitions": 16,
+        "properties": {"user": "u"},
+    }
+
+
+def test_relational_read_with_given_bounds_and_of_an_empty_table():
+    reader = FakeReader(None)
+    read_relational_table(reader, "u", "t", key="id", partitions=4, bounds=(0, 9))
+    assert [c[1]["upperBound"] for c in reader.calls] == [10]
+    empty = FakeReader((None, None))
+    read_relational_table(empty, "u", "t", key="id", partitions=4)
+    assert empty.calls[1] == ("t", {"properties": {}})
+
+
+def test_schema_selects_columns_by_name(spark, tmp_path):
+    overwrite_table(spark.createDataFrame([(1, "a", 2)], "x bigint, y string, z int"), str(tmp_path / "t"))
+    rows = read_table(spark, str(tmp_path / "t"), struct(y=TEXT, x=LONG))
+    assert [tuple(r) for r in rows.collect()] == [("a", 1)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "z:int" not in plan
