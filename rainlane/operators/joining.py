@@ -63,11 +63,12 @@ def sliced_join(
     per_key = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     per_key = stage(per_key.where(_all_present(keys)), "rows-per-key")
     total = per_key.agg(F.sum("_rows")).first()[0] or 0
-    hot = F.broadcast(
-        per_key.where(F.col("_rows") * _MOST_HOT_KEYS > total).select(
-            *keys, F.ceil(F.col("_rows") / F.lit(max(total, 1)) * fan_out).cast("int").alias("_slices")
-        )
+    hot = per_key.where(F.col("_rows") * _MOST_HOT_KEYS > total).select(
+        *keys, F.ceil(F.col("_rows") / F.lit(max(total, 1)) * fan_out).cast("int").alias("_slices")
     )
+    if hot.isEmpty():
+        return facts.join(other.hint("merge"), keys, "inner")
+    hot = F.broadcast(hot)
     content = [c for c in facts.columns if c not in keys] or keys
     sliced_facts = (
         facts.where(_all_present(keys))

@@ -24,15 +24,25 @@ def unpack_days(docs: DataFrame) -> DataFrame:
     )
 
 
-def pack_documents(days: DataFrame, per: Column | None = None, place: dict | None = None) -> DataFrame:
-    """Documents of parallel arrays, one per calendar year unless ``per`` says otherwise.
+def pack_documents(days: DataFrame, per: str = "year", place: dict | None = None) -> DataFrame:
+    """Documents of parallel arrays, one per calendar year (or quarter, month, week).
 
-    ``days`` holds one row per date, so a document holds at most 366 values.
+    A date that occurs twice raises, so a document holds at most 366 values.
     """
     place = place or {}
-    per = F.year("date") if per is None else per
-    entry = F.struct("date", "max_temp", "precipitation")
-    series = days.groupBy(per.alias("_doc")).agg(F.array_sort(F.collect_list(entry)).alias("_s"))
+    single = F.col("_n") == 1
+    repeated = F.raise_error(F.concat(F.lit("more than one row for "), F.col("date").cast("string")))
+    series = (
+        days.groupBy("date")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.any_value("max_temp").alias("max_temp"),
+            F.any_value("precipitation").alias("precipitation"),
+        )
+        .withColumn("max_temp", F.when(single, F.col("max_temp")).otherwise(repeated.cast("double")))
+        .groupBy(F.trunc("date", per).alias("_doc"))
+        .agg(F.array_sort(F.collect_list(F.struct("date", "max_temp", "precipitation"))).alias("_s"))
+    )
     iso = F.transform("_s", lambda e: F.date_format(e["date"], "yyyy-MM-dd"))
 
     def scalar(name: str, dtype: str) -> Column:

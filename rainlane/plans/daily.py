@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from rainlane.catalog.datasets import register_datasets
 from rainlane.operators.unpack import unpack_days
@@ -18,6 +18,7 @@ from rainlane.sinks.tables import overwrite_table
 from rainlane.sources.documents import read_weather_documents
 from rainlane.sources.extracts import read_extract
 from rainlane.sources.tables import read_table
+from rainlane.streaming.refresh import take_in
 
 
 def write_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> None:
@@ -27,22 +28,40 @@ def write_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> No
     )
 
 
+def refine(
+    trusted: DataFrame, layout: Layout, settings: Settings, database: str | None = None
+) -> None:
+    """All refined tables from the trusted one; with ``database`` they are
+    registered there for serving."""
+    run_time = datetime.now(timezone.utc)
+    write_descriptive(trusted, layout)
+    write_charts(trusted, layout, settings, run_time)
+    write_forecast(trusted, layout, settings, run_time)
+    if database:
+        register_datasets(trusted.sparkSession, layout, database)
+
+
 def run_daily(
     spark: SparkSession,
     layout: Layout,
     settings: Settings | None = None,
     database: str | None = None,
 ) -> None:
-    """Run the steps in order in one session; any error ends the run.
-
-    With ``database`` the refined tables are registered there for serving.
-    """
+    """Run the steps in order in one session; any error ends the run."""
     settings = settings or Settings()
-    run_time = datetime.now(timezone.utc)
     write_trusted(spark, layout, settings)
-    trusted = read_table(spark, layout.trusted, TRUSTED)
-    write_descriptive(trusted, layout)
-    write_charts(trusted, layout, settings, run_time)
-    write_forecast(trusted, layout, settings, run_time)
-    if database:
-        register_datasets(spark, layout, database)
+    refine(read_table(spark, layout.trusted, TRUSTED), layout, settings, database)
+
+
+def run_on_arrival(
+    spark: SparkSession,
+    layout: Layout,
+    settings: Settings | None = None,
+    database: str | None = None,
+) -> bool:
+    """The same for what has newly arrived in the raw zone; nothing new, no run."""
+    settings = settings or Settings()
+    if not take_in(spark, layout, settings):
+        return False
+    refine(read_table(spark, layout.trusted_by_month, TRUSTED), layout, settings, database)
+    return True

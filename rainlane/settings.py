@@ -74,6 +74,10 @@ class Layout:
     def trusted(self) -> str:
         return self.at("trusted", "joined_data")
 
+    @property
+    def trusted_by_month(self) -> str:
+        return self.at("trusted", "joined_by_month")
+
     @property
     def global_stats(self) -> str:
         return self.at("refined", "descriptive_stats", "global_stats")

@@ -58,7 +58,7 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("month")
-            .parquet(layout.trusted)
+            .parquet(layout.trusted_by_month)
         )
 
     return (
@@ -74,9 +74,16 @@ def month_of():
     return F.trunc("date", "month")
 
 
-def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
-    """Take in all arrivals, refresh the trusted table and return it."""
+def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> bool:
+    """Land all arrivals and refresh the trusted table; whether anything had arrived."""
     for query in (ingest_incidents(spark, layout, settings), ingest_weather(spark, layout)):
         query.awaitTermination()
-    refresh_trusted(spark, layout, settings).awaitTermination()
-    return read_table(spark, layout.trusted, TRUSTED)
+    refresh = refresh_trusted(spark, layout, settings)
+    refresh.awaitTermination()
+    return any(progress.numInputRows > 0 for progress in refresh.recentProgress)
+
+
+def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
+    """The trusted table with everything that has arrived."""
+    take_in(spark, layout, settings)
+    return read_table(spark, layout.trusted_by_month, TRUSTED)

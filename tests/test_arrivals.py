@@ -77,7 +77,7 @@ def test_refresh_leaves_other_months_alone(spark, tmp_path):
     catch_up(spark, layout, SETTINGS)
 
     def files(month):
-        return sorted(p.name for p in (tmp_path / "trusted" / "joined_data" / f"month={month}").glob("*.parquet"))
+        return sorted(p.name for p in (tmp_path / "trusted" / "joined_by_month" / f"month={month}").glob("*.parquet"))
 
     january, february = files("2022-01-01"), files("2022-02-01")
     arrive_incidents(spark, layout, 41)
@@ -97,7 +97,7 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     again = Layout(str(tmp_path))
     object.__setattr__(again, "checkpoint", lambda name: str(tmp_path / "checkpoints" / "lost"))
     refresh_trusted(spark, again, SETTINGS).awaitTermination()
-    assert rows_of(spark.read.schema(TRUSTED).parquet(layout.trusted)) == before
+    assert rows_of(spark.read.schema(TRUSTED).parquet(layout.trusted_by_month)) == before
 
 
 def test_one_side_may_come_first(spark, tmp_path):

@@ -11,7 +11,7 @@ from rainlane.learning import trees
 from rainlane.operators.scenario import default_scenario
 from rainlane.operators.splitting import in_training, random_parts, stable_parts
 from rainlane.operators.unpack import pack_documents
-from rainlane.plans.daily import run_daily
+from rainlane.plans.daily import run_daily, run_on_arrival
 from rainlane.schemas import (
     INCIDENT_EXTRACT, PREDICTIONS, SCENARIO, TRUSTED, WEATHER_DAYS,
 )
@@ -134,9 +134,16 @@ def test_whole_run_serves_eight_datasets(spark, tmp_path):
         for i, (d, _, _) in enumerate(days)
     ]
     land_extract(spark.createDataFrame(incidents, INCIDENT_EXTRACT), layout.raw_incidents)
-    for _ in range(2):
-        run_daily(spark, layout, SMALL, database="rainlane_run")
+    run_daily(spark, layout, SMALL, database="rainlane_run")
     assert read_table(spark, layout.trusted, TRUSTED).count() == 120
+
+    def statistics():
+        return [v for r in serve(spark, "congestion-stats", "rainlane_run").collect() for v in r]
+
+    from_full_run = statistics()
+    assert run_on_arrival(spark, layout, SMALL, database="rainlane_run")
+    assert not run_on_arrival(spark, layout, SMALL, database="rainlane_run")
+    assert statistics() == pytest.approx(from_full_run)
     counts = {name: serve(spark, name, "rainlane_run").count() for name in DATASETS}
     assert counts == {
         "congestion-stats": 3, "global-stats": 1, "correlations": 1, "visualizations": 8,

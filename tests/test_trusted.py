@@ -67,6 +67,17 @@ def test_packing_is_undone_by_unpacking(spark, tmp_path):
     assert Counter(map(tuple, unpack_days(docs).collect())) == Counter(rows)
 
 
+def test_packing_by_month_and_repeated_dates(spark):
+    rows = [(date(2022, 1, 1), 1.0, None), (date(2022, 1, 2), None, 2.0), (date(2022, 3, 1), 3.0, 3.0)]
+    days = spark.createDataFrame(rows, WEATHER_DAYS)
+    docs = pack_documents(days, per="month", place={"latitude": 6.25})
+    assert sorted(len(r.daily.time) for r in docs.collect()) == [1, 2]
+    assert docs.schema.simpleString() == WEATHER_DOCUMENT.simpleString()
+    assert Counter(map(tuple, unpack_days(docs).collect())) == Counter(rows)
+    with pytest.raises(Exception, match="more than one row for 2022-01-01"):
+        pack_documents(days.unionAll(days.limit(1))).collect()
+
+
 def extract(spark, *rows):
     return spark.createDataFrame(list(rows), INCIDENT_EXTRACT)
 
