@@ -2,39 +2,44 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bin_edges(lo: Column, hi: Column, bins: int) -> Column:
-    """The ``bins + 1`` edges as an array.
+def bin_edges(lo: float, hi: float, bins: int) -> list[float]:
+    """The ``bins + 1`` edges.
 
     The first edge is lowered by 0.1 % of the range, so that the lowest value
     falls inside a right-closed bin. A range of one single value is first
     widened by 0.1 % (0.001 around zero) to each side.
     """
+    if math.isinf(lo) or math.isinf(hi):
+        raise ValueError("an infinite value has no equal-width bin")
+    start, end = lo, hi
+    if lo == hi:
+        start -= 0.001 * abs(lo) if lo != 0 else 0.001
+        end += 0.001 * abs(hi) if hi != 0 else 0.001
+    width = (end - start) / bins
+    first = start if lo == hi else start - (end - start) * 0.001
+    return [first, *(i * width + start for i in range(1, bins)), end]
 
-    def margin(end: Column) -> Column:
-        return F.when(end != 0, F.abs(end) * 0.001).otherwise(F.lit(0.001))
 
-    flat = lo == hi
-    start = F.when(flat, lo - margin(lo)).otherwise(lo)
-    end = F.when(flat, hi + margin(hi)).otherwise(hi)
-    width = (end - start) / F.lit(float(bins))
-    first = F.when(flat, start).otherwise(start - (end - start) * 0.001)
-    inner = [F.lit(float(i)) * width + start for i in range(1, bins)]
-    return F.when(lo.isNotNull(), F.array(first, *inner, end))
-
-
-def equal_width_bin(value: Column, edges: Column, bins: int) -> Column:
-    """Bin number 0 .. bins-1 of ``value``: how many inner edges lie below it.
+def equal_width_bin(value: Column, edges: list[float]) -> Column:
+    """Bin number of ``value``: how many inner edges lie below it; NULL stays NULL.
 
     Comparing with the edges gives the right bin also for values on an edge,
-    which dividing by the bin width does not. NULL stays NULL.
+    which dividing by the bin width does not. The comparisons form a balanced
+    tree over constants, which stays short in generated code.
     """
-    above = [
-        F.when(value > edges.getItem(i), F.lit(1)).otherwise(F.lit(0)) for i in range(1, bins)
-    ]
-    return F.when(value.isNotNull(), reduce(lambda a, b: a + b, above, F.lit(0))).cast("int")
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(value > edges[middle], search(middle, high)).otherwise(
+            search(low, middle - 1)
+        )
+
+    return F.when(value.isNotNull(), search(0, len(edges) - 2)).cast("int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,20 +11,31 @@ from rainlane.functions.binning import bin_edges, equal_width_bin
 from rainlane.functions.casting import known
 
 
-def edges_of(df: DataFrame, column: str, bins: int) -> Column:
-    """Bin edges over the whole column, as a scalar subquery (one value, no join)."""
-    span = df.select(known(column).alias("x")).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    return span.select(bin_edges(F.col("lo"), F.col("hi"), bins).alias("edges")).scalar()
+def edges_of(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Bin edges of each column that has a value, from one pass over all of them.
+
+    Only a lowest and a highest value per column come to the driver.
+    """
+    spans = []
+    for c in columns:
+        spans += [F.min(known(c)).alias(f"lo_{c}"), F.max(known(c)).alias(f"hi_{c}")]
+    found = df.agg(*spans).first()
+    return {
+        c: bin_edges(found[f"lo_{c}"], found[f"hi_{c}"], bins)
+        for c in columns
+        if found[f"lo_{c}"] is not None
+    }
+
+
+def bin_of(column: str, edges: Mapping[str, list[float]]) -> Column:
+    """Bin number of ``column``, NULL where the value is missing."""
+    if column not in edges:
+        return F.lit(None).cast("int")
+    return equal_width_bin(known(column), edges[column])
 
 
 def with_bin(df: DataFrame, column: str, bins: int, name: str) -> DataFrame:
-    """``df`` plus the bin number of ``column``, NULL where the value is missing."""
-    edges = f"_{name}_edges"
-    return (
-        df.withColumn(edges, edges_of(df, column, bins))
-        .withColumn(name, equal_width_bin(known(column), F.col(edges), bins))
-        .drop(edges)
-    )
+    return df.withColumn(name, bin_of(column, edges_of(df, [column], bins)))
 
 
 def binned_mean(df: DataFrame, column: str, bins: int, value: str, hue: str) -> DataFrame:
@@ -30,10 +43,10 @@ def binned_mean(df: DataFrame, column: str, bins: int, value: str, hue: str) ->
 
     Rows without a bin are not charted; combinations without rows are absent.
     """
+    edges = edges_of(df, [column], bins)
     bars = (
-        with_bin(df, column, bins, "bin")
-        .where(F.col("bin").isNotNull() & F.col(hue).isNotNull())
-        .groupBy("bin", hue)
+        df.where(known(column).isNotNull() & F.col(hue).isNotNull())
+        .groupBy(bin_of(column, edges).alias("bin"), hue)
         .agg(
             F.try_divide(
                 F.sum(F.col(value).cast("bigint")).cast("double"), F.count(value)
@@ -41,8 +54,9 @@ def binned_mean(df: DataFrame, column: str, bins: int, value: str, hue: str) ->
             F.count(F.lit(1)).alias("n_rows"),
         )
     )
-    return _with_ends(bars, edges_of(df, column, bins), "bin", "lower", "upper").select(
-        "bin", "lower", "upper", hue, f"mean_{value}", "n_rows"
+    lower, upper = _ends(F.col("bin"), edges.get(column))
+    return bars.select(
+        "bin", lower.alias("lower"), upper.alias("upper"), hue, f"mean_{value}", "n_rows"
     )
 
 
@@ -56,35 +70,22 @@ def level_totals(df: DataFrame, value: str, level: str) -> DataFrame:
 def incident_cube(df: DataFrame, bins: int) -> DataFrame:
     """Totals and counts per (temperature bin, precipitation bin, level).
 
-    One pass gives a table of at most (bins + 1)^2 rows per level, from which
-    all three bar charts follow without reading the data again.
+    After the pass for the edges, one more gives a table of at most (bins + 1)^2
+    rows per level, from which all three bar charts follow.
     """
     axes = {"temp": "max_temp", "precip": "precipitation"}
-    edges = {axis: edges_of(df, column, bins) for axis, column in axes.items()}
-    cube = (
-        df.select(
-            "reported_incidents",
-            "congestion_level_num",
-            *(known(column).alias(axis) for axis, column in axes.items()),
-            *(edges[axis].alias(f"{axis}_edges") for axis in axes),
-        )
-        .select(
-            "reported_incidents",
-            "congestion_level_num",
-            *(
-                equal_width_bin(F.col(axis), F.col(f"{axis}_edges"), bins).alias(f"{axis}_bin")
-                for axis in axes
-            ),
-        )
-        .groupBy("temp_bin", "precip_bin", "congestion_level_num")
-        .agg(
-            F.sum(F.col("reported_incidents").cast("bigint")).alias("total"),
-            F.count("reported_incidents").alias("present"),
-            F.count(F.lit(1)).alias("n_rows"),
-        )
+    edges = edges_of(df, list(axes.values()), bins)
+    cube = df.groupBy(
+        *(bin_of(column, edges).alias(f"{axis}_bin") for axis, column in axes.items()),
+        "congestion_level_num",
+    ).agg(
+        F.sum(F.col("reported_incidents").cast("bigint")).alias("total"),
+        F.count("reported_incidents").alias("present"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
-    for axis in axes:
-        cube = _with_ends(cube, edges[axis], f"{axis}_bin", f"{axis}_lower", f"{axis}_upper")
+    for axis, column in axes.items():
+        lower, upper = _ends(F.col(f"{axis}_bin"), edges.get(column))
+        cube = cube.withColumns({f"{axis}_lower": lower, f"{axis}_upper": upper})
     return cube
 
 
@@ -111,10 +112,8 @@ def cube_totals(cube: DataFrame, level: str) -> DataFrame:
     )
 
 
-def _with_ends(df: DataFrame, edges: Column, bin_name: str, lower: str, upper: str) -> DataFrame:
-    with_edges = df.withColumn("_edges", edges)
-    return (
-        with_edges.withColumn(lower, F.col("_edges")[F.col(bin_name)])
-        .withColumn(upper, F.col("_edges")[F.col(bin_name) + 1])
-        .drop("_edges")
-    )
+def _ends(bin_number: Column, edges: list[float] | None) -> tuple[Column, Column]:
+    if edges is None:
+        return F.lit(None).cast("double"), F.lit(None).cast("double")
+    all_edges = F.array(*map(F.lit, edges))
+    return F.get(all_edges, bin_number), F.get(all_edges, bin_number + 1)

@@ -64,14 +64,17 @@ def correlation_matrix(df: DataFrame, variables: list[str]) -> DataFrame:
     variance has no correlation, also not with itself.
     """
     values = {v: known(v) for v in variables}
-    pairs = [(a, b) for i, a in enumerate(variables) for b in variables[i:]]
-    one_row = df.agg(*(pearson(values[a], values[b]).alias(f"{a}~{b}") for a, b in pairs))
+    pairs = [(a, b) for i, a in enumerate(variables) for b in variables[i + 1 :]]
+    one_row = df.agg(
+        *(F.stddev_pop(values[v]).alias(v) for v in variables),
+        *(pearson(values[a], values[b]).alias(f"{a}~{b}") for a, b in pairs),
+    )
 
     def cell(a: str, b: str) -> Column:
-        name = f"{a}~{b}" if (a, b) in pairs else f"{b}~{a}"
-        r = clipped(F.col(f"`{name}`"))
         if a == b:
-            r = F.when(r.isNotNull(), F.lit(1.0))
+            r = F.when(F.col(f"`{a}`") > 0, F.lit(1.0))
+        else:
+            r = clipped(F.col(f"`{a}~{b}`" if (a, b) in pairs else f"`{b}~{a}`"))
         return F.struct(F.lit(a).alias("row_var"), F.lit(b).alias("col_var"), r.alias("r"))
 
     cells = F.array(*(cell(a, b) for a in variables for b in variables))

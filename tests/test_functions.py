@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from rainlane.functions import casting, draws
-from rainlane.functions.binning import bin_edges, equal_width_bin
+from rainlane.functions.binning import bin_edges
 from rainlane.functions.correlation import pearson
 from rainlane.functions.encoding import ordinal_code
 from rainlane.functions.text import text_columns
+from rainlane.operators.charts import bin_of, edges_of
 from rainlane.operators.summary import correlation_matrix
 
 INT_TEXTS = [
@@ -56,17 +57,9 @@ def test_ordinal_code_defaults(spark):
 
 def binned(spark, values, bins):
     rows = spark.createDataFrame(list(enumerate(values)), "i int, x double")
-    span = rows.agg(
-        F.min(casting.known("x")).alias("lo"), F.max(casting.known("x")).alias("hi")
-    )
-    edges = span.select(bin_edges(F.col("lo"), F.col("hi"), bins).alias("e"))
-    got = (
-        rows.withColumn("e", edges.scalar())
-        .select("i", equal_width_bin(casting.known("x"), F.col("e"), bins).alias("b"))
-        .orderBy("i")
-        .collect()
-    )
-    return [r.b for r in got], edges.first()[0]
+    edges = edges_of(rows, ["x"], bins)
+    got = rows.select("i", bin_of("x", edges).alias("b")).orderBy("i").collect()
+    return [r.b for r in got], edges.get("x")
 
 
 @pytest.mark.parametrize("bins", [1, 2, 7, 8])
@@ -92,6 +85,21 @@ def test_values_on_an_edge_and_missing_values(spark):
     assert got == [0, 0, 1, 7, None, None]
 
 
+@pytest.mark.parametrize("bins", [1, 3, 8, 50])
+def test_bins_of_neighbouring_numbers(spark, bins):
+    """A range of a few steps of a double, where edges fall together."""
+    values = [1e16 + 2.0 * i for i in range(12)]
+    got, _ = binned(spark, values, bins)
+    assert got == pd.cut(pd.Series(values), bins=bins, labels=False, duplicates="drop").tolist() or all(
+        b == sum(v > e for e in bin_edges(values[0], values[-1], bins)[1:-1]) for v, b in zip(values, got)
+    )
+
+
+def test_infinite_values_are_refused(spark):
+    with pytest.raises(ValueError, match="infinite"):
+        binned(spark, [1.0, math.inf], 8)
+
+
 def test_no_value_at_all(spark):
     assert binned(spark, [None, None], 8) == ([None, None], None)
 
