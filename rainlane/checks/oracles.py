@@ -73,6 +73,22 @@ def _unit(stream: str) -> str:
     return f"(cast(cast('0x' || substr({digest}, 1, 13) as bigint) as double) / 4503599627370496.0::double)"
 
 
+_SCENARIO = f"""
+select strftime(date '2025-03-01' + cast(c_custkey % 60 as int), '%Y-%m-%d') as date,
+       cast(c_custkey % 1000000000 + 1 as int) as id, c_mktsegment as city,
+       round(28.0::double + 1.5::double * (sqrt(-2.0::double * ln(1.0::double - {_unit('temp/r')}))
+             * cos(2.0::double * pi() * {_unit('temp/a')})), 1) as max_temp,
+       round(5.0::double * {_unit('precip')}, 2) as precipitation,
+       cast(floor({_unit('level')} * 6.0::double) + 1 as int) as congestion_level_num
+from customer"""
+
+_SCORED_BY_LEVEL = _with(
+    f""", means as (
+  select congestion_level_num as level, avg(reported_incidents) as mean from incidents group by 1)
+select s.*, cast(round(mean) as int) as predicted_incidents
+from ({_SCENARIO}) s join means on least(s.congestion_level_num, 3) = level"""
+)
+
 SQL = {
     "unpack_parallel_arrays": f"with {_WEATHER} select * from weather",
     "etl_trusted": _with("select * from incidents"),
@@ -213,7 +229,7 @@ from customer""",
     ),
     "round_to_int": """
 select o_orderkey, cast(round(o_totalprice) as int) as price,
-       cast(round(o_custkey / -2.0::double) as int) as negative_half from orders""",
+       cast(round((o_custkey % 1000000) / -2.0::double) as int) as negative_half from orders""",
     "stable_split": """
 select case when o_orderkey % 10 < 7 then 'train' else 'test' end as part, count(*) as n_rows,
        cast(sum(o_custkey) as bigint) as key_sum
@@ -233,16 +249,28 @@ from report
 union all
 select 'Best Model', null, null, (select model from report order by rmse, rank desc limit 1)"""
     ),
-    "scenario_spine": """
-select strftime(date '2025-03-01' + cast(c_custkey % 60 as int), '%Y-%m-%d') as date,
-       cast(c_custkey + 1 as int) as id, c_mktsegment as city from customer""",
-    "scenario_draws": f"""
-select cast(c_custkey + 1 as int) as id,
-       round(28.0::double + 1.5::double * (sqrt(-2.0::double * ln(1.0::double - {_unit('temp/r')}))
-             * cos(2.0::double * pi() * {_unit('temp/a')})), 1) as max_temp,
-       round(5.0::double * {_unit('precip')}, 2) as precipitation,
-       cast(floor({_unit('level')} * 6.0::double) + 1 as int) as congestion_level_num
-from customer""",
+    "scenario_spine": f"select date, id, city from ({_SCENARIO})",
+    "scenario_draws": f"select id, max_temp, precipitation, congestion_level_num from ({_SCENARIO})",
+    "score_rf_levels": _SCORED_BY_LEVEL,
+    "score_gbt_levels": _SCORED_BY_LEVEL,
+    "holdout_report_levels": _with(
+        """, means as (
+  select congestion_level_num as level, avg(reported_incidents) as mean from incidents
+  where cast(id as bigint) % 10 < 7 group by 1),
+errors as (
+  select reported_incidents - mean as e1,
+         reported_incidents - (select avg(reported_incidents) from incidents
+                               where cast(id as bigint) % 10 < 7) as e2
+  from incidents join means on congestion_level_num = level where cast(id as bigint) % 10 >= 7),
+report as (
+  select 'Random Forest' as model, sqrt(avg(e1 * e1)) as rmse, avg(abs(e1)) as mae, 1 as rank from errors
+  union all
+  select 'Gradient Boosted Trees', sqrt(avg(e2 * e2)), avg(abs(e2)), 2 from errors)
+select model, round(rmse, 6) as rmse, round(mae, 6) as mae, cast(null as varchar) as best_model
+from report
+union all
+select 'Best Model', null, null, (select model from report order by rmse, rank desc limit 1)"""
+    ),
     "holdout_side_by_side": _with(
         """select count(*) as n_rows, count(*) as scored_by_both,
        cast(sum(reported_incidents) as bigint) as label_sum from incidents"""

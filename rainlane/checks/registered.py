@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +23,7 @@ from rainlane.operators.scenario import scenario
 from rainlane.operators.unpack import pack_documents, unpack_days
 from rainlane.plans.charting import chart_datasets, run_files
 from rainlane.plans.descriptive import write_descriptive
-from rainlane.plans.forecasting import holdout_scores, train_eval
+from rainlane.plans.forecasting import fit_and_report, holdout_scores, train_eval
 from rainlane.plans.trusted import build_trusted, typed_incidents
 from rainlane.schemas import LONG, TEXT, struct
 from rainlane.settings import Layout, Settings, TreeGrids
@@ -316,7 +315,7 @@ def chart_metadata_rows(spark: SparkSession, folder: str) -> DataFrame:
     base = new_folder(spark, "charts")
     for kind, data in chart_datasets(trusted_of(spark, folder), SETTINGS).items():
         data.write.json(f"{base}/{CHARTS[kind]['artifact']}")
-    stamp = naming.run_stamp(F.lit(datetime(2025, 3, 1, 12, 30, 5)).cast("timestamp_ntz"))
+    stamp = naming.run_stamp(F.lit("2025-03-01 12:30:05").cast("timestamp_ntz"))
     rows = chart_metadata(chart_descriptions(spark), run_files(spark, base), "s3://bucket", stamp)
     return rows.select(
         "visualization_id",
@@ -442,7 +441,7 @@ def round_to_int(spark: SparkSession, folder: str) -> DataFrame:
     return star_table(spark, folder, "orders").select(
         "o_orderkey",
         casting.rounded_int("o_totalprice").alias("price"),
-        casting.rounded_int(F.col("o_custkey") / -2).alias("negative_half"),
+        casting.rounded_int(F.pmod("o_custkey", F.lit(1_000_000)) / -2).alias("negative_half"),
     )
 
 
@@ -512,6 +511,7 @@ def customer_scenario(spark: SparkSession, folder: str) -> DataFrame:
         star_table(spark, folder, "customer"),
         offset=F.pmod(key, F.lit(60)),
         key=key + 1,
+        row_id=F.pmod(key, F.lit(1_000_000_000)) + 1,
         seed=SETTINGS.seed,
         city=F.col("c_mktsegment"),
     )
@@ -566,6 +566,52 @@ def score_gbt(spark: SparkSession, folder: str) -> DataFrame:
     return trees.score(model, customer_scenario(spark, folder))
 
 
+# On the level alone, one tree that is deep enough predicts the mean of each level,
+# and one of depth 0 the mean of all rows; SQL can state both.
+LEVELS_ONLY = replace(
+    SETTINGS,
+    features=(LEVEL,),
+    grids=TreeGrids(
+        rf={"numTrees": (1,), "maxDepth": (2,), "bootstrap": (False,)},
+        gbt={"maxIter": (1,), "maxDepth": (0,)},
+        folds=2,
+    ),
+)
+
+
+def fitted_to_levels(spark: SparkSession, folder: str, regressor):
+    rows = trees.labelled(stage(trusted_of(spark, folder), "training"), LEVELS_ONLY)
+    return trees.regression_chain(regressor, LEVELS_ONLY).fit(rows)
+
+
+@query
+def score_rf_levels(spark: SparkSession, folder: str) -> DataFrame:
+    forest = trees.forest(LEVELS_ONLY, numTrees=1, maxDepth=2, bootstrap=False)
+    return trees.score(
+        fitted_to_levels(spark, folder, forest), customer_scenario(spark, folder)
+    )
+
+
+@query
+def score_gbt_levels(spark: SparkSession, folder: str) -> DataFrame:
+    boosted = trees.boosted(LEVELS_ONLY, maxIter=1, maxDepth=2)
+    return trees.score(
+        fitted_to_levels(spark, folder, boosted), customer_scenario(spark, folder)
+    )
+
+
+@query
+def holdout_report_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """Search, fit and report on the stable parts."""
+    rows = stage(trusted_of(spark, folder), "training")
+    training = splitting.in_training(F.col("id"))
+    train, holdout = (
+        trees.labelled(part, LEVELS_ONLY) for part in (rows.where(training), rows.where(~training))
+    )
+    report = fit_and_report(train, holdout, LEVELS_ONLY).report
+    return rounded(report, "rmse", "mae").drop("evaluation_timestamp")
+
+
 @query
 def holdout_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
     """Every row scored by both models, counted by label and level of agreement."""

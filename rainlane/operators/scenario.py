@@ -16,19 +16,20 @@ def scenario(
     offset: Column,
     key: Column,
     seed: int,
+    row_id: Column | None = None,
     city: Column | None = None,
     start: str = fv.SCENARIO_START,
 ) -> DataFrame:
     """One scenario row per row of ``base``.
 
-    ``offset`` is the number of days after ``start`` and ``key`` the id, from
-    which the draws are made.
+    ``offset`` is the number of days after ``start``. The draws are made from
+    ``key``, which is also the id unless ``row_id`` gives one.
     """
     temp = draws.normal(key, "temp", seed, fv.SCENARIO_TEMP_MEAN, fv.SCENARIO_TEMP_SD)
     precip = draws.uniform(key, "precip", seed, 0.0, fv.SCENARIO_PRECIP_MAX)
     return base.select(
         iso_date(day_after(start, offset)).alias("date"),
-        key.cast("int").alias("id"),
+        (key if row_id is None else row_id).cast("int").alias("id"),
         (F.lit(fv.SCENARIO_CITY) if city is None else city).alias("city"),
         F.round(temp, 1).alias("max_temp"),
         F.round(precip, 2).alias("precipitation"),

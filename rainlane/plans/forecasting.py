@@ -37,14 +37,11 @@ def holdout_scores(rf: PipelineModel, gbt: PipelineModel, holdout: DataFrame) ->
     )
 
 
-def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None = None) -> Fitted:
-    """Search both grids on the training part and report on the holdout.
-
-    ``trusted`` is read from files, as the split needs a fixed partitioning.
-    """
-    trees.prepare_checkpoints(trusted.sparkSession)
-    rows = trees.labelled(trusted, settings)
-    train, holdout = random_parts(rows, settings.train_share, settings.seed)
+def fit_and_report(
+    train: DataFrame, holdout: DataFrame, settings: Settings, run_time: datetime | None = None
+) -> Fitted:
+    """Search both grids on ``train`` and report on ``holdout``."""
+    trees.prepare_checkpoints(train.sparkSession)
     grids = settings.grids
     rf = trees.cross_validated(trees.forest(settings), grids.rf, settings).fit(train).bestModel
     gbt = trees.cross_validated(trees.boosted(settings), grids.gbt, settings).fit(train).bestModel
@@ -57,6 +54,16 @@ def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None
     return Fitted(rf, gbt, report)
 
 
+def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None = None) -> Fitted:
+    """The same on the two parts of a seeded random split.
+
+    ``trusted`` is read from files, as the split needs a fixed partitioning.
+    """
+    rows = trees.labelled(trusted, settings)
+    train, holdout = random_parts(rows, settings.train_share, settings.seed)
+    return fit_and_report(train, holdout, settings, run_time)
+
+
 def write_forecast(
     trusted: DataFrame, layout: Layout, settings: Settings, run_time: datetime | None = None
 ) -> Fitted:

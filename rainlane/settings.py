@@ -41,6 +41,8 @@ class Settings:
     grids: TreeGrids = field(default_factory=TreeGrids)
     train_share: float = 0.7
     seed: int = 42
+    # Upper limit of raw files per micro-batch; None takes all that have arrived.
+    files_per_batch: int | None = None
     # The weather side is broadcast only when its measured size is below this.
     broadcast_max_bytes: int = 64 << 20
 

@@ -28,17 +28,15 @@ def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def ingest_incidents(
-    spark: SparkSession, layout: Layout, settings: Settings, files_per_batch: int | None = None
-) -> StreamingQuery:
-    extract = stream_extract(spark, layout.raw_incidents, files_per_batch=files_per_batch)
+def ingest_incidents(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
+    extract = stream_extract(
+        spark, layout.raw_incidents, files_per_batch=settings.files_per_batch
+    )
     return land_stream(
         typed_incidents(extract, settings), layout.landed_incidents, layout.checkpoint("incidents")
     )
 
 
-def ingest_weather(
-    spark: SparkSession, layout: Layout, files_per_batch: int | None = None
-) -> StreamingQuery:
-    docs = stream_weather_documents(spark, layout.raw_weather, files_per_batch)
+def ingest_weather(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
+    docs = stream_weather_documents(spark, layout.raw_weather, settings.files_per_batch)
     return land_stream(unpack_days(docs), layout.landed_weather, layout.checkpoint("weather"))

@@ -76,8 +76,8 @@ def month_of():
 
 def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> bool:
     """Land all arrivals and refresh the trusted table; whether anything had arrived."""
-    for query in (ingest_incidents(spark, layout, settings), ingest_weather(spark, layout)):
-        query.awaitTermination()
+    for ingest in (ingest_incidents, ingest_weather):
+        ingest(spark, layout, settings).awaitTermination()
     refresh = refresh_trusted(spark, layout, settings)
     refresh.awaitTermination()
     return any(progress.numInputRows > 0 for progress in refresh.recentProgress)

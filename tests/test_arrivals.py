@@ -43,8 +43,9 @@ def test_each_file_is_taken_in_once(spark, tmp_path):
     arrive_weather(spark, layout, 0, 1)
 
     def counts():
-        ingest_incidents(spark, layout, SETTINGS, files_per_batch=1).awaitTermination()
-        ingest_weather(spark, layout).awaitTermination()
+        one_by_one = Settings(files_per_batch=1)
+        ingest_incidents(spark, layout, one_by_one).awaitTermination()
+        ingest_weather(spark, layout, one_by_one).awaitTermination()
         return tuple(
             spark.read.parquet(p).count() for p in (layout.landed_incidents, layout.landed_weather)
         )

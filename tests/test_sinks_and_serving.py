@@ -1,5 +1,4 @@
 import json
-from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,7 +109,7 @@ def test_records_are_texts(spark):
 
 def test_names(spark):
     row = spark.range(1).select(
-        naming.run_stamp(F.lit(datetime(2025, 3, 1, 4, 5, 6)).cast("timestamp_ntz")).alias("stamp"),
+        naming.run_stamp(F.lit("2025-03-01 04:05:06").cast("timestamp_ntz")).alias("stamp"),
         naming.iso_date(naming.day_after("2025-02-27", F.lit(2))).alias("day"),
         naming.kilobytes(F.lit(512)).alias("kb"),
     )
