@@ -178,6 +178,13 @@ select 'precip_incidents_bar', cast(pb as varchar), hue, round(avg(y), 6) from b
 union all
 select 'congestion_incidents_bar', cast(hue as varchar), null, cast(sum(y) as double)
 from binned group by hue"""
+    ),
+    "statistics_two_passes": _with(
+        """select 'level_' || cast(congestion_level_num as varchar) as name,
+       round(avg(precipitation), 6) as value, count(*) as days_count
+from incidents group by congestion_level_num
+union all select 'overall', round(stddev_samp(reported_incidents), 6), null from incidents
+union all select 'temp_corr', round(corr(reported_incidents, max_temp), 6), null from incidents"""
     ),
     "artifact_catalog": """
 select round(sum(length(cast(o_orderkey as varchar)) + 1 + length(o_orderpriority) + 1) / 1024.0::double, 6)

@@ -21,8 +21,9 @@ from rainlane.operators.joining import sliced_join
 from rainlane.operators.metadata import chart_descriptions, chart_metadata
 from rainlane.operators.scenario import scenario
 from rainlane.operators.unpack import pack_documents, unpack_days
+from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import chart_datasets, run_files
-from rainlane.plans.descriptive import write_descriptive
+from rainlane.plans.descriptive import descriptive, write_descriptive
 from rainlane.plans.forecasting import fit_and_report, holdout_scores, train_eval
 from rainlane.plans.trusted import build_trusted, typed_incidents
 from rainlane.schemas import LONG, TEXT, struct
@@ -266,7 +267,7 @@ def level_totals(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def chart_bars_one_pass(spark: SparkSession, folder: str) -> DataFrame:
     """The three bar charts from one cube."""
-    data = chart_datasets(trusted_of(spark, folder), SETTINGS)
+    data = analyse(trusted_of(spark, folder), SETTINGS).datasets
     binned = [
         data[kind].select(
             F.lit(kind).alias("chart"),
@@ -285,6 +286,28 @@ def chart_bars_one_pass(spark: SparkSession, folder: str) -> DataFrame:
     return binned[0].unionByName(binned[1]).unionByName(totals)
 
 
+@query
+def statistics_two_passes(spark: SparkSession, folder: str) -> DataFrame:
+    """The descriptive tables as the daily run makes them, as names and values."""
+    tables = analyse(trusted_of(spark, folder), SETTINGS).tables
+    levels = tables["congestion_stats"].select(
+        F.concat(F.lit("level_"), F.col(LEVEL).cast("string")).alias("name"),
+        F.round("avg_precip", 6).alias("value"),
+        "days_count",
+    )
+    overall = tables["global_stats"].select(
+        F.lit("overall").alias("name"),
+        F.round("std_incidents", 6).alias("value"),
+        F.lit(None).cast("bigint").alias("days_count"),
+    )
+    correlation = tables["correlations"].select(
+        F.lit("temp_corr").alias("name"),
+        F.round("temp_corr", 6).alias("value"),
+        F.lit(None).cast("bigint").alias("days_count"),
+    )
+    return levels.unionByName(overall).unionByName(correlation)
+
+
 @query
 def artifact_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """Size of a written extract, from the listing of its files."""
@@ -387,7 +410,7 @@ def external_table_subset(spark: SparkSession, folder: str) -> DataFrame:
 def named_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptive tables written, registered and read back by dataset name."""
     layout = Layout(new_folder(spark, "refined"))
-    write_descriptive(trusted_of(spark, folder), layout)
+    write_descriptive(descriptive(trusted_of(spark, folder)), layout)
     names = ["congestion-stats", "global-stats", "correlations"]
     register_datasets(spark, layout, "rainlane_checks", names)
     levels = serve(spark, "/congestion-stats", "rainlane_checks").select(

@@ -4,29 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from rainlane.functions.binning import bin_edges, equal_width_bin
 from rainlane.functions.casting import known
 
+CUBE_AXES = {"temp": "max_temp", "precip": "precipitation"}
 
-def edges_of(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Bin edges of each column that has a value, from one pass over all of them.
 
-    Only a lowest and a highest value per column come to the driver.
-    """
-    spans = []
-    for c in columns:
-        spans += [F.min(known(c)).alias(f"lo_{c}"), F.max(known(c)).alias(f"hi_{c}")]
-    found = df.agg(*spans).first()
+def span_columns(columns: Sequence[str]) -> list[Column]:
+    """Lowest and highest value of each column, missing values left out."""
+    return [
+        end(known(c)).alias(f"{name}_{c}")
+        for c in columns
+        for name, end in (("lo", F.min), ("hi", F.max))
+    ]
+
+
+def edges_from(spans: Row, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Bin edges of each column that has a value."""
     return {
-        c: bin_edges(found[f"lo_{c}"], found[f"hi_{c}"], bins)
+        c: bin_edges(spans[f"lo_{c}"], spans[f"hi_{c}"], bins)
         for c in columns
-        if found[f"lo_{c}"] is not None
+        if spans[f"lo_{c}"] is not None
     }
 
 
+def edges_of(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """The same from one pass over all columns; only their ends come to the driver."""
+    return edges_from(df.agg(*span_columns(columns)).first(), columns, bins)
+
+
 def bin_of(column: str, edges: Mapping[str, list[float]]) -> Column:
     """Bin number of ``column``, NULL where the value is missing."""
     if column not in edges:
@@ -67,23 +76,23 @@ def level_totals(df: DataFrame, value: str, level: str) -> DataFrame:
     )
 
 
-def incident_cube(df: DataFrame, bins: int) -> DataFrame:
+def incident_cube(df: DataFrame, edges: Mapping[str, list[float]]) -> DataFrame:
     """Totals and counts per (temperature bin, precipitation bin, level).
 
-    After the pass for the edges, one more gives a table of at most (bins + 1)^2
-    rows per level, from which all three bar charts follow.
+    One pass gives a table of at most (bins + 1)^2 rows per level, from which
+    all bar charts and the statistics per level follow.
     """
-    axes = {"temp": "max_temp", "precip": "precipitation"}
-    edges = edges_of(df, list(axes.values()), bins)
     cube = df.groupBy(
-        *(bin_of(column, edges).alias(f"{axis}_bin") for axis, column in axes.items()),
+        *(bin_of(column, edges).alias(f"{axis}_bin") for axis, column in CUBE_AXES.items()),
         "congestion_level_num",
     ).agg(
         F.sum(F.col("reported_incidents").cast("bigint")).alias("total"),
         F.count("reported_incidents").alias("present"),
         F.count(F.lit(1)).alias("n_rows"),
+        *(F.sum(column).alias(f"{axis}_total") for axis, column in CUBE_AXES.items()),
+        *(F.count(column).alias(f"{axis}_present") for axis, column in CUBE_AXES.items()),
     )
-    for axis, column in axes.items():
+    for axis, column in CUBE_AXES.items():
         lower, upper = _ends(F.col(f"{axis}_bin"), edges.get(column))
         cube = cube.withColumns({f"{axis}_lower": lower, f"{axis}_upper": upper})
     return cube
@@ -112,6 +121,24 @@ def cube_totals(cube: DataFrame, level: str) -> DataFrame:
     )
 
 
+def cube_level_stats(cube: DataFrame) -> DataFrame:
+    """Days and means per congestion level, ordered by level."""
+
+    def mean(total: str, present: str) -> Column:
+        return F.try_divide(F.sum(total).cast("double"), F.sum(present))
+
+    return (
+        cube.groupBy("congestion_level_num")
+        .agg(
+            F.sum("n_rows").alias("days_count"),
+            mean("total", "present").alias("avg_incidents"),
+            mean("temp_total", "temp_present").alias("avg_temp"),
+            mean("precip_total", "precip_present").alias("avg_precip"),
+        )
+        .orderBy("congestion_level_num")
+    )
+
+
 def _ends(bin_number: Column, edges: list[float] | None) -> tuple[Column, Column]:
     if edges is None:
         return F.lit(None).cast("double"), F.lit(None).cast("double")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,25 +60,32 @@ def level_stats(trusted: DataFrame) -> DataFrame:
     )
 
 
-def correlation_matrix(df: DataFrame, variables: list[str]) -> DataFrame:
-    """All pairs as rows (row_var, col_var, r), from one pass over the data.
-
-    Each pair uses the rows where both values are present. A variable without
-    variance has no correlation, also not with itself.
-    """
+def matrix_columns(variables: Sequence[str]) -> list[Column]:
+    """The aggregates from which ``matrix_rows`` makes the correlation matrix."""
     values = {v: known(v) for v in variables}
-    pairs = [(a, b) for i, a in enumerate(variables) for b in variables[i + 1 :]]
-    one_row = df.agg(
-        *(F.stddev_pop(values[v]).alias(v) for v in variables),
-        *(pearson(values[a], values[b]).alias(f"{a}~{b}") for a, b in pairs),
-    )
+    return [F.stddev_pop(values[v]).alias(f"sd_{v}") for v in variables] + [
+        pearson(values[a], values[b]).alias(f"r_{a}_{b}") for a, b in combinations(variables, 2)
+    ]
+
+
+def matrix_rows(one_row: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """All pairs as rows (row_var, col_var, r)."""
 
     def cell(a: str, b: str) -> Column:
         if a == b:
-            r = F.when(F.col(f"`{a}`") > 0, F.lit(1.0))
+            r = F.when(F.col(f"sd_{a}") > 0, F.lit(1.0))
         else:
-            r = clipped(F.col(f"`{a}~{b}`" if (a, b) in pairs else f"`{b}~{a}`"))
+            first, second = sorted((a, b), key=list(variables).index)
+            r = clipped(F.col(f"r_{first}_{second}"))
         return F.struct(F.lit(a).alias("row_var"), F.lit(b).alias("col_var"), r.alias("r"))
 
-    cells = F.array(*(cell(a, b) for a in variables for b in variables))
-    return one_row.select(F.inline(cells))
+    return one_row.select(F.inline(F.array(*(cell(a, b) for a in variables for b in variables))))
+
+
+def correlation_matrix(df: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """Full Pearson matrix in long form, from one pass over the data.
+
+    Each pair uses the rows where both values are present. A variable without
+    variance has no correlation, also not with itself.
+    """
+    return matrix_rows(df.agg(*matrix_columns(variables)), variables)

@@ -2,47 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainlane.fixed_values import CHARTS
-from rainlane.operators.charts import cube_bars, cube_totals, incident_cube
+from rainlane.operators.charts import binned_mean, level_totals
 from rainlane.operators.metadata import chart_descriptions, chart_metadata
 from rainlane.operators.summary import correlation_matrix
 from rainlane.settings import Layout, Settings
 from rainlane.sinks.tables import append_table
 from rainlane.sources.artifacts import artifact_files
-from rainlane.staging import stage
 
 
 def chart_datasets(trusted: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     """The dataset of each chart, by chart kind."""
-    value, level = settings.label, "congestion_level_num"
-    cube = stage(incident_cube(trusted, settings.bins), "incident-cube")
+    value, level, bins = settings.label, "congestion_level_num", settings.bins
     return {
-        "temp_incidents_bar": cube_bars(cube, "temp", value, level),
-        "precip_incidents_bar": cube_bars(cube, "precip", value, level),
+        "temp_incidents_bar": binned_mean(trusted, "max_temp", bins, value, level),
+        "precip_incidents_bar": binned_mean(trusted, "precipitation", bins, value, level),
         "correlation_heatmap": correlation_matrix(trusted, [value, *settings.features]),
-        "congestion_incidents_bar": cube_totals(cube, level),
+        "congestion_incidents_bar": level_totals(trusted, value, level),
     }
 
 
 def write_charts(
-    trusted: DataFrame, layout: Layout, settings: Settings, run_time: datetime
-) -> DataFrame:
+    spark: SparkSession, datasets: Mapping[str, DataFrame], layout: Layout, run_time: datetime
+) -> None:
     """Write each dataset as a JSON artifact and append their metadata."""
-    spark = trusted.sparkSession
     stamp = f"{run_time:%Y%m%d_%H%M%S}"
     run_folder = f"{layout.charts}/{stamp}"
-    for kind, data in chart_datasets(trusted, settings).items():
+    for kind, data in datasets.items():
         data.write.mode("overwrite").json(f"{run_folder}/{CHARTS[kind]['artifact']}")
     metadata = chart_metadata(
         chart_descriptions(spark), run_files(spark, run_folder), layout.charts, F.lit(stamp)
     )
     append_table(metadata, layout.chart_metadata)
-    return metadata
 
 
 def run_files(spark: SparkSession, run_folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rainlane.catalog.datasets import register_datasets
 from rainlane.operators.unpack import unpack_days
+from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import write_charts
 from rainlane.plans.descriptive import write_descriptive
 from rainlane.plans.forecasting import write_forecast
@@ -33,12 +34,13 @@ def refine(
 ) -> None:
     """All refined tables from the trusted one; with ``database`` they are
     registered there for serving."""
-    run_time = datetime.now(timezone.utc)
-    write_descriptive(trusted, layout)
-    write_charts(trusted, layout, settings, run_time)
+    spark, run_time = trusted.sparkSession, datetime.now(timezone.utc)
+    analysis = analyse(trusted, settings)
+    write_descriptive(analysis.tables, layout)
+    write_charts(spark, analysis.datasets, layout, run_time)
     write_forecast(trusted, layout, settings, run_time)
     if database:
-        register_datasets(trusted.sparkSession, layout, database)
+        register_datasets(spark, layout, database)
 
 
 def run_daily(

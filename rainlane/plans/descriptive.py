@@ -2,33 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from rainlane.operators import summary
 from rainlane.schemas import CONGESTION_STATS, CORRELATIONS, GLOBAL_STATS
 from rainlane.settings import Layout
 from rainlane.sinks.tables import conformed, overwrite_table
-from rainlane.staging import stage
 
 
 def descriptive(trusted: DataFrame) -> dict[str, DataFrame]:
-    """Global statistics, statistics per level, correlations.
-
-    The first and the last are columns of one aggregate row, so they share one
-    pass over the data.
-    """
-    one_row = stage(
-        trusted.agg(*summary.global_columns(), *summary.correlation_columns()), "summary"
-    )
+    """Global statistics, statistics per level, correlations."""
     return {
-        "global_stats": conformed(one_row, GLOBAL_STATS),
+        "global_stats": conformed(summary.global_stats(trusted), GLOBAL_STATS),
         "congestion_stats": conformed(summary.level_stats(trusted), CONGESTION_STATS),
-        "correlations": conformed(one_row, CORRELATIONS),
+        "correlations": conformed(summary.correlations(trusted), CORRELATIONS),
     }
 
 
-def write_descriptive(trusted: DataFrame, layout: Layout) -> None:
-    tables = descriptive(trusted)
+def write_descriptive(tables: Mapping[str, DataFrame], layout: Layout) -> None:
     overwrite_table(tables["global_stats"], layout.global_stats)
     overwrite_table(tables["congestion_stats"], layout.congestion_stats)
     overwrite_table(tables["correlations"], layout.correlations)

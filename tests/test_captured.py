@@ -4,7 +4,7 @@ import pytest
 
 from rainlane.operators import charts, summary
 from rainlane.operators.unpack import unpack_days
-from rainlane.plans.charting import chart_datasets
+from rainlane.plans.analysis import analyse
 from rainlane.plans.trusted import build_trusted
 from rainlane.settings import Layout, Settings
 from rainlane.sources.documents import read_weather_documents
@@ -84,7 +84,7 @@ def test_correlations(trusted):
 def test_bins(trusted, column, kind, want):
     bars = [eval(entry) for entry in want.split()]
     direct = charts.binned_mean(trusted, column, 8, "reported_incidents", "congestion_level_num")
-    for data in (direct, chart_datasets(trusted, Settings())[kind]):
+    for data in (direct, analyse(trusted, Settings()).datasets[kind]):
         rows = data.select("bin", "congestion_level_num", "mean_reported_incidents", "n_rows")
         assert [v for r in sorted(rows.collect()) for v in r] == pytest.approx(
             [v for bar in bars for v in bar], abs=1e-8
