@@ -179,7 +179,7 @@ union all
 select 'congestion_incidents_bar', cast(hue as varchar), null, cast(sum(y) as double)
 from binned group by hue"""
     ),
-    "statistics_two_passes": _with(
+    "statistics_from_cube": _with(
         """select 'level_' || cast(congestion_level_num as varchar) as name,
        round(avg(precipitation), 6) as value, count(*) as days_count
 from incidents group by congestion_level_num

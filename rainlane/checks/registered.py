@@ -287,7 +287,7 @@ def chart_bars_one_pass(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def statistics_two_passes(spark: SparkSession, folder: str) -> DataFrame:
+def statistics_from_cube(spark: SparkSession, folder: str) -> DataFrame:
     """The descriptive tables as the daily run makes them, as names and values."""
     tables = analyse(trusted_of(spark, folder), SETTINGS).tables
     levels = tables["congestion_stats"].select(

@@ -1,4 +1,4 @@
-"""All descriptive tables and chart datasets from two passes over the trusted table."""
+"""All descriptive tables and chart datasets from three passes over the trusted table."""
 
 from __future__ import annotations
 
@@ -23,8 +23,10 @@ def analyse(trusted: DataFrame, settings: Settings) -> Analysis:
     """The results of ``descriptive`` and ``chart_datasets``.
 
     The first pass makes one row: global statistics, correlations and the ends
-    of the binned columns. The second makes the cube of totals per bin and
-    level. Both are small written tables, from which everything else is read.
+    of the binned columns. The second makes the row of the correlation matrix;
+    one aggregate of both would be too wide for generated code and slower than
+    two. The third makes the cube of totals per bin and level. All are small
+    written tables, from which everything else is read.
     """
     variables = [settings.label, *settings.features]
     binned = list(charts.CUBE_AXES.values())
@@ -32,11 +34,11 @@ def analyse(trusted: DataFrame, settings: Settings) -> Analysis:
         trusted.agg(
             *summary.global_columns(),
             *summary.correlation_columns(),
-            *summary.matrix_columns(variables),
             *charts.span_columns(binned),
         ),
         "overview",
     )
+    matrix_row = stage(trusted.agg(*summary.matrix_columns(variables)), "matrix")
     edges = charts.edges_from(one_row.first(), binned, settings.bins)
     cube = stage(charts.incident_cube(trusted, edges), "incident-cube")
     value, level = settings.label, "congestion_level_num"
@@ -49,7 +51,7 @@ def analyse(trusted: DataFrame, settings: Settings) -> Analysis:
         datasets={
             "temp_incidents_bar": charts.cube_bars(cube, "temp", value, level),
             "precip_incidents_bar": charts.cube_bars(cube, "precip", value, level),
-            "correlation_heatmap": summary.matrix_rows(one_row, variables),
+            "correlation_heatmap": summary.matrix_rows(matrix_row, variables),
             "congestion_incidents_bar": charts.cube_totals(cube, level),
         },
     )

@@ -104,16 +104,16 @@ def values(df):
 
 
 def test_descriptive_tables_from_either_plan(trusted):
-    tables, from_two_passes = descriptive(trusted), analyse(trusted, SETTINGS).tables
-    assert tables.keys() == from_two_passes.keys()
+    tables, from_cube = descriptive(trusted), analyse(trusted, SETTINGS).tables
+    assert tables.keys() == from_cube.keys()
     for name, schema in {
         "global_stats": GLOBAL_STATS,
         "congestion_stats": CONGESTION_STATS,
         "correlations": CORRELATIONS,
     }.items():
-        for table in (tables[name], from_two_passes[name]):
+        for table in (tables[name], from_cube[name]):
             assert table.schema.simpleString() == schema.simpleString()
-        assert values(from_two_passes[name]) == pytest.approx(values(tables[name]), abs=1e-12)
+        assert values(from_cube[name]) == pytest.approx(values(tables[name]), abs=1e-12)
 
 
 def brute_bars(frame, column):
