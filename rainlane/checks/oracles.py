@@ -282,6 +282,12 @@ select 'Best Model', null, null, (select model from report order by rmse, rank d
         """select count(*) as n_rows, count(*) as scored_by_both,
        cast(sum(reported_incidents) as bigint) as label_sum from incidents"""
     ),
+    "daily_run": _with(
+        """select 'trusted' as dataset, count(*) as n_rows from incidents
+union all select 'congestion-stats', count(distinct congestion_level_num) from incidents
+union all select * from (values ('global-stats', 1::bigint), ('correlations', 1), ('visualizations', 4),
+  ('test-data', 60), ('model-evaluation', 3), ('predictions-rf', 60), ('predictions-gbt', 60))"""
+    ),
     "stream_ingest": """
 select cast(o_orderdate as date) as date, cast(o_orderkey as varchar) as id, o_orderpriority as city,
        cast(floor(o_totalprice / 1000) as int) as reported_incidents,

@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainlane.catalog.datasets import as_records, register_datasets, register_table, serve
-from rainlane.fixed_values import CHARTS, MODEL_GBT, MODEL_RF
+from rainlane.fixed_values import CHARTS, DATASETS, MODEL_GBT, MODEL_RF
 from rainlane.functions import casting, naming
 from rainlane.functions.encoding import ordinal_code
 from rainlane.learning import trees
@@ -23,10 +24,11 @@ from rainlane.operators.scenario import scenario
 from rainlane.operators.unpack import pack_documents, unpack_days
 from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import chart_datasets, run_files
+from rainlane.plans.daily import run_daily
 from rainlane.plans.descriptive import descriptive, write_descriptive
 from rainlane.plans.forecasting import fit_and_report, holdout_scores, train_eval
 from rainlane.plans.trusted import build_trusted, typed_incidents
-from rainlane.schemas import LONG, TEXT, struct
+from rainlane.schemas import LONG, TEXT, TRUSTED, struct
 from rainlane.settings import Layout, Settings, TreeGrids
 from rainlane.sinks.raw import land_documents, land_extract
 from rainlane.sinks.tables import append_table, overwrite_table
@@ -650,6 +652,23 @@ def holdout_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def daily_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole run on the landed tables: rows of each served dataset."""
+    layout = landed(spark, folder, "daily")
+    run_daily(spark, layout, SMALL, database="rainlane_daily")
+    counts = [
+        serve(spark, name, "rainlane_daily").agg(
+            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name in DATASETS
+    ]
+    trusted = read_table(spark, layout.trusted, TRUSTED).agg(
+        F.lit("trusted").alias("dataset"), F.count(F.lit(1)).alias("n_rows")
+    )
+    return reduce(DataFrame.unionByName, counts, trusted)
+
+
 # Arrivals.
 
 
