@@ -56,6 +56,10 @@ def sliced_join(
     there can be no more than 1000 such keys, so the table of hot keys is safe
     to broadcast. Rows of the other side are repeated once per slice of their
     key, so the result is that of the plain join.
+
+    The slice of a row follows from its content and its input partition: the
+    same when a lost task is run again, and different for copies of one row
+    that lie in different partitions.
     """
     keys = list(keys)
     spark = facts.sparkSession
@@ -76,7 +80,8 @@ def sliced_join(
         .withColumn(
             "_slice",
             F.coalesce(
-                F.pmod(F.xxhash64(*content), F.col("_slices").cast("bigint")), F.lit(0).cast("bigint")
+                F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.col("_slices").cast("bigint")),
+                F.lit(0).cast("bigint"),
             ),
         )
         .drop("_slices")

@@ -171,15 +171,29 @@ def test_sliced_join_equals_the_plain_join(spark, fan_out):
     assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
 
 
-def test_hot_keys_are_spread_over_slices(spark):
-    facts = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+def test_hot_keys_and_copies_are_spread(spark):
+    """Rows of one key and copies of one row end up in several shuffle partitions."""
+    facts = spark.range(40_000, numPartitions=40).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"),
     )
-    other = spark.range(30_000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    other = spark.range(40_000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
     joined = sliced_join(facts, other, ["k"], 64)
-    analyzed = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_slice" in analyzed
-    assert joined.count() == 30_000
+    assert joined.count() == 40_000
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = joined.where("k = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in hot) == 13_334
+    assert len(hot) > 3
+
+
+def test_a_join_without_hot_keys_is_not_sliced(spark):
+    facts = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    joined = sliced_join(facts, facts.select("k", F.lit(2).alias("w")), ["k"])
+    assert "_slice" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 5000
 
 
 def test_measured_bytes_grows_with_rows_and_texts(spark):
