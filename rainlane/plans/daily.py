@@ -19,7 +19,7 @@ from rainlane.sinks.tables import overwrite_table
 from rainlane.sources.documents import read_weather_documents
 from rainlane.sources.extracts import read_extract
 from rainlane.sources.tables import read_table
-from rainlane.streaming.refresh import take_in
+from rainlane.streaming.refresh import on_landed_days, take_in
 
 
 def write_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> None:
@@ -61,9 +61,19 @@ def run_on_arrival(
     settings: Settings | None = None,
     database: str | None = None,
 ) -> bool:
-    """The same for what has newly arrived in the raw zone; nothing new, no run."""
+    """The same for what has newly arrived in the raw zone; nothing new, no run.
+
+    Returns whether the tables were refined. A run that failed on the way is
+    taken up again by the next call.
+    """
     settings = settings or Settings()
-    if not take_in(spark, layout, settings):
-        return False
-    refine(read_table(spark, layout.trusted_by_month, TRUSTED), layout, settings, database)
-    return True
+    take_in(spark, layout, settings)
+    runs = []
+
+    def refine_all(_days: DataFrame) -> None:
+        trusted = read_table(spark, layout.trusted_by_month, TRUSTED)
+        refine(trusted, layout, settings, database)
+        runs.append(True)
+
+    on_landed_days(spark, layout, "refined", refine_all).awaitTermination()
+    return bool(runs)

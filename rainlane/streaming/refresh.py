@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,42 @@ from rainlane.sources.tables import read_table
 from rainlane.staging import stage
 from rainlane.streaming.arrivals import ingest_incidents, ingest_weather
 
+LANDED = {"incidents": INCIDENTS, "weather": WEATHER_DAYS}
+
+
+def landed_path(layout: Layout, side: str) -> str:
+    return layout.landed_incidents if side == "incidents" else layout.landed_weather
+
+
+def on_landed_days(
+    spark: SparkSession, layout: Layout, name: str, action: Callable[[DataFrame], None]
+) -> StreamingQuery:
+    """Call ``action`` with the days of all rows landed since its last success.
+
+    The checkpoint ``name`` moves on only after the action; one that failed is
+    called again by the next run. Nothing landed, no call.
+    """
+
+    def act(days: DataFrame, _batch: int) -> None:
+        if not days.isEmpty():
+            action(days)
+
+    sides = []
+    for side, schema in LANDED.items():
+        path = landed_path(layout, side)
+        # A side from which nothing has come yet is an empty table.
+        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+        sides.append(spark.readStream.schema(schema).parquet(path).select("date"))
+    return (
+        sides[0]
+        .unionByName(sides[1])
+        .writeStream.foreachBatch(act)
+        .option("checkpointLocation", layout.checkpoint(name))
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
     """Redo the months of all days that were landed since the last refresh.
 
@@ -20,16 +58,8 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
     files, so a repeated batch gives the same table. Rows landed after the
     rebuild belong to a later batch that rebuilds the month again.
     """
-    landed = {layout.landed_incidents: INCIDENTS, layout.landed_weather: WEATHER_DAYS}
-    for path, schema in landed.items():
-        # A side from which nothing has come yet is an empty table.
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-    incidents, weather = (
-        spark.readStream.schema(schema).parquet(path).select("date")
-        for path, schema in landed.items()
-    )
 
-    def rebuild(arrived: DataFrame, _batch: int) -> None:
+    def rebuild(arrived: DataFrame) -> None:
         session = arrived.sparkSession
         months = arrived.where(F.col("date").isNotNull()).select(month_of().alias("month"))
         months = stage(months.distinct(), "arrived-months")
@@ -37,8 +67,8 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
         if first is None:
             return
 
-        def of_arrived_months(path: str) -> DataFrame:
-            rows = read_table(session, path, landed[path])
+        def of_arrived_months(side: str) -> DataFrame:
+            rows = read_table(session, landed_path(layout, side), LANDED[side])
             return (
                 rows.where(F.col("date").between(first, last))
                 .withColumn("month", month_of())
@@ -47,8 +77,8 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
             )
 
         rows = join_typed(
-            of_arrived_months(layout.landed_weather),
-            of_arrived_months(layout.landed_incidents),
+            of_arrived_months("weather"),
+            of_arrived_months("incidents"),
             settings,
         )
         # Rebalancing gathers a month into few files and splits a month that is too large.
@@ -61,26 +91,17 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
             .parquet(layout.trusted_by_month)
         )
 
-    return (
-        incidents.unionByName(weather)
-        .writeStream.foreachBatch(rebuild)
-        .option("checkpointLocation", layout.checkpoint("trusted"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    return on_landed_days(spark, layout, "trusted", rebuild)
 
 
 def month_of():
     return F.trunc("date", "month")
 
 
-def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> bool:
-    """Land all arrivals and refresh the trusted table; whether anything had arrived."""
-    for ingest in (ingest_incidents, ingest_weather):
-        ingest(spark, layout, settings).awaitTermination()
-    refresh = refresh_trusted(spark, layout, settings)
-    refresh.awaitTermination()
-    return any(progress.numInputRows > 0 for progress in refresh.recentProgress)
+def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> None:
+    """Land all arrivals and refresh the trusted table."""
+    for step in (ingest_incidents, ingest_weather, refresh_trusted):
+        step(spark, layout, settings).awaitTermination()
 
 
 def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:

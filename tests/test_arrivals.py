@@ -1,9 +1,11 @@
 from collections import Counter
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from rainlane.operators.unpack import pack_documents, unpack_days
+from rainlane.plans import daily
 from rainlane.plans.trusted import build_trusted
 from rainlane.schemas import INCIDENT_EXTRACT, TRUSTED, WEATHER_DAYS
 from rainlane.settings import Layout, Settings
@@ -119,3 +121,30 @@ def test_rows_without_a_date_are_landed_but_not_trusted(spark, tmp_path):
     assert catch_up(spark, layout, SETTINGS).count() == 1
     landed = spark.read.parquet(layout.landed_incidents)
     assert landed.count() == 2 and landed.where(F.col("date").isNull()).count() == 1
+
+
+def test_nothing_has_arrived_yet(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for zone in ("api", "mysql"):
+        (tmp_path / "raw" / zone).mkdir(parents=True)
+    assert not daily.run_on_arrival(spark, layout)
+
+
+def test_a_failed_run_is_taken_up_again(spark, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0)
+    arrive_weather(spark, layout, 0)
+    refined = []
+
+    def fail(*_):
+        raise RuntimeError("out of order")
+
+    monkeypatch.setattr(daily, "refine", fail)
+    with pytest.raises(Exception, match="out of order"):
+        daily.run_on_arrival(spark, layout)
+    monkeypatch.setattr(daily, "refine", lambda trusted, *_: refined.append(trusted.count()))
+    assert daily.run_on_arrival(spark, layout)
+    assert not daily.run_on_arrival(spark, layout)
+    arrive_incidents(spark, layout, 0)
+    assert daily.run_on_arrival(spark, layout)
+    assert refined == [1, 2]
