@@ -24,6 +24,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Without it each partition's store reserves 4 MB of disk, however little it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 ARRIVAL = "digest string, id long, points long, file string, row long, size long"
 
@@ -117,7 +119,7 @@ class StreamingDedup:
         compared byte by byte with the text that stays; should a digest hold different
         texts, its rows are grouped anew by the text itself.
         """
-        rows, state = self.rows(), self.state()
+        rows, state = self.rows(), stage(self.state(), "dedup-state")
         hits = rows.join(state.where("n > 1"), "digest").select(
             "digest", "id", "points", "file", "row", "keep_file", "keep_row"
         )
