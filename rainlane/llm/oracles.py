@@ -15,3 +15,25 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
 FROM grouped
 """
+
+SQL["op4_warc_revisits"] = r"""
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages
+), digits AS (
+    SELECT page_id, payload, list_aggregate(list_transform(range(32), lambda i: substr(
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               (list_reduce(list_transform(range(5), lambda j: (
+                    ((instr('0123456789abcdef', substr(hex, ((5 * i + j) // 4 + 1)::INT, 1)) - 1)
+                    >> (3 - (5 * i + j) % 4)) & 1)::BIGINT), lambda a, b: 2 * a + b))::INT + 1,
+               1)), 'string_agg', '') AS payload_digest
+    FROM payloads
+), grouped AS (
+    SELECT page_id, strlen(payload) AS payload_bytes, payload_digest,
+           min(page_id) OVER (PARTITION BY payload) AS first_id
+    FROM digits
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM grouped
+"""

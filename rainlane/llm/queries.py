@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm import exact_dedup
+from rainlane.llm import exact_dedup, packing, warc
 from rainlane.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -29,3 +32,22 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         F.col("digest").alias("text_sha256"),
     )
+
+
+@query
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(table(spark, folder, "documents"), TOKENIZER, with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.archive_round_trip(table(spark, folder, "pages"))
+    sizes = {name: F.col(name).cast("long") for name in ("source_id", "refers_to")}
+    return records.select(
+        sizes["source_id"].alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        sizes["refers_to"].alias("refers_to"),
+    )
