@@ -37,3 +37,26 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM grouped
 """
+
+SQL["op10_repeated_lines"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
+    FROM documents
+), keyed AS (
+    SELECT doc_id, line, place, translate(
+        regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), frequent AS (
+    SELECT key, max(doc_id) AS last_id FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), decided AS (
+    SELECT k.doc_id, k.line, k.place, f.key IS NOT NULL AND k.doc_id <> f.last_id AS gone
+    FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), ''))
+           AS kept_sha256
+FROM decided GROUP BY doc_id
+"""

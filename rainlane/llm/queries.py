@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm import exact_dedup, packing, warc
-from rainlane.llm.common import table
+from rainlane.llm import exact_dedup, language, line_dedup, packing, quality, sharding, warc
+from rainlane.llm.common import table, text_or_empty
+from rainlane.staging import stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,3 +52,69 @@ def op4_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
         F.col("type").alias("record_type"),
         sizes["refers_to"].alias("refers_to"),
     )
+
+
+def fold(modulus: int):
+    """The remainder that tells training rows and held-out rows apart."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query
+def op2_histogram_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_by_bytes(table(spark, folder, "documents"), shards=8)
+    return placed.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "size",
+        F.crc32(text_or_empty("row.text").cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    profiles = language.learn_profiles(docs.where(fold(3) != 1))
+    found = language.identify(docs.select("doc_id", "text"), profiles)
+    return found.select("row.doc_id", "lang_pred", "score").select(
+        "doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op10_repeated_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    cleaned = line_dedup.drop_repeated_lines(docs, min_points=40, min_documents=5)
+    return cleaned.select(
+        "row.doc_id",
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("kept_text"), 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    numbers = stage(quality.featurise(docs), "quality-numbers").select("row.doc_id", "numbers")
+    labels = (
+        table(spark, folder, "labels").where(fold(5) != 0).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    )
+    roles = numbers.join(labels, "doc_id", "left").select(
+        F.when(fold(5) != 0, F.coalesce((F.col("quality") == 1).cast("int"), F.lit(0))).alias("role"),
+        "doc_id",
+        "numbers",
+    )
+    features = stage(roles.select("role", F.struct("doc_id").alias("row"), "numbers"), "quality-roles")
+    scores = quality.score(features, quality.learn(features))
+    return scores.select(
+        "row.doc_id",
+        "score",
+    ).select(
+        "doc_id",
+        (fold(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
