@@ -138,9 +138,9 @@ class StreamingDedup:
             .join(first, "digest")
             .where("content <> first")
             .select("digest")
-            .distinct()
         )
-        differ = stage(differ, "dedup-collisions")
+        # Written first: a join that has to keep keys together could not split a hot one.
+        differ = stage(differ, "dedup-collisions").distinct()
         own = ["digest", "id", "file", "row"]
         collided = texts.join(differ, "digest", "left_semi")
         split = collided.groupBy("digest", "content").agg(
