@@ -60,3 +60,34 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
            AS kept_sha256
 FROM decided GROUP BY doc_id
 """
+
+SQL["op7_shingle_join"] = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+        WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2),
+            lambda i: array_to_string(w[i:i + 3], ' '))) END AS shingles
+    FROM words
+), sizes AS (
+    SELECT doc_id, len(shingles) AS n_shingles FROM sets
+), items AS (
+    SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_have
+    FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+    SELECT a, b FROM common
+    JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * both_have >= 85 * (x.n_shingles + y.n_shingles - both_have)
+), reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sizes
+    UNION
+    SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, n_shingles, (SELECT min(other) FROM reached r WHERE r.doc_id = s.doc_id) AS component_id
+FROM sizes s
+"""

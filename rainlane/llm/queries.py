@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm import exact_dedup, language, line_dedup, packing, quality, sharding, warc
+from rainlane.llm import exact_dedup, language, line_dedup, packing, quality, sharding, shingle_join, warc
 from rainlane.llm.common import table, text_or_empty
 from rainlane.staging import stage
 
@@ -118,3 +118,10 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    groups = shingle_join.similar_groups(docs, width=4, percent=85)
+    return groups.withColumnRenamed("id", "doc_id")
