@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm import exact_dedup, language, line_dedup, packing, quality, sharding, shingle_join, warc
+from rainlane.llm import exact_dedup, language, line_dedup, mixing, packing, quality, sharding, shingle_join, warc
 from rainlane.llm.common import table, text_or_empty
 from rainlane.staging import stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
+#: Wanted shares of tokens; what is left of 1 goes to all values that are not named.
+TARGETS = {
+    "source": {"src0": 0.25},
+    "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
+    "topic": {f"topic{k}": 1 / 8 for k in range(8)},
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -125,3 +132,10 @@ def op7_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     groups = shingle_join.similar_groups(docs, width=4, percent=85)
     return groups.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS)
+    return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
