@@ -29,8 +29,9 @@ TEXTS_AT_ONCE = 64
 WORDS_AT_ONCE = 100_000
 
 
-def gram_codes(words: list[str]) -> list[np.ndarray]:
-    """Per word the codes of its n-grams; a code packs up to three code points."""
+def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the n-grams of all words one after another, and how many each word has; a
+    code packs up to three code points."""
     parts = [LETTERS.findall(word.lower()) for word in words]
     line = " " + " ".join(part for own in parts for part in own) + " "
     points = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.int64)
@@ -49,7 +50,7 @@ def gram_codes(words: list[str]) -> list[np.ndarray]:
     seen = np.append(0, np.cumsum(valid.sum(axis=1)))
     ends = np.cumsum([len(own) for own in parts])
     cuts = seen[begins[np.minimum(ends, len(begins) - 1)]]
-    return np.split(flat, cuts[:-1]) if len(words) else []
+    return flat, np.diff(cuts, prepend=0)
 
 
 class GramIds:
@@ -62,11 +63,11 @@ class GramIds:
         self.ids: dict[int, int] = {}
         self.words = WordCache(self._encode, most_words=200_000)
 
-    def _encode(self, words: list[str]) -> list[np.ndarray]:
-        codes = gram_codes(words)
-        found, back = np.unique(np.concatenate(codes), return_inverse=True)
-        ids = np.array([self.ids.setdefault(c, len(self.ids)) for c in found.tolist()], np.int64)
-        return np.split(ids[back] if len(ids) else back, np.cumsum([len(c) for c in codes])[:-1])
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        codes, counts = gram_codes(words)
+        found, back = np.unique(codes, return_inverse=True)
+        ids = [self.ids.setdefault(c, len(self.ids)) for c in found.tolist()]
+        return np.array(ids, np.int64)[back], counts
 
     def counts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """How often each n-gram occurs in each text, by number. Memory is bounded by a

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from rainlane.llm.wordcache import WordCache
 
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE, WORDS_AT_ONCE = 256, 500
+BLANK_NAME = "Ġ"  # fixed: how byte-level vocabularies write a blank
 
 
 class CachedTokenizer:
@@ -38,15 +39,40 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words = WordCache(self._encode_words)
+        names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
+        self.opens = np.array([name.startswith(BLANK_NAME) for name in names])
+        self.words = WordCache(self._encode_words, most_words=500_000)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, np.int64) for x in found]
 
-    def _encode_words(self, words: list[str]) -> list[np.ndarray]:
-        # A word that opens a text is kept with a blank before it, others without.
-        return self._encode([word[1:] if word[:1] == " " else f" {word}" for word in words])
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words: many in one call, told apart by the ids that begin with a blank.
+
+        A word that opens a text is kept with a blank before it. It is encoded alone, and
+        so is an empty one, which is a blank.
+        """
+        lines: list[str] = []
+        together: list[bool] = []
+        run: list[str] = []
+        for word in [*words, " "]:
+            alone = not word or word[0] == " "
+            if run and (alone or len(run) == WORDS_AT_ONCE):
+                lines.append(" " + " ".join(run))
+                together.append(True)
+                run = []
+            if alone:
+                lines.append(word[1:] if word else " ")
+                together.append(False)
+            else:
+                run.append(word)
+        found = self._encode(lines[:-1])
+        counts = [
+            np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids))) if many else [len(ids)]
+            for ids, many in zip(found, together)
+        ]
+        return np.concatenate(found), np.concatenate(counts)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         places: list[int] = []

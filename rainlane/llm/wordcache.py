@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 import numpy as np
 
@@ -10,14 +10,15 @@ import numpy as np
 class WordCache(dict):
     """Word -> place in a ragged table of numbers.
 
-    ``encode`` gets the new words of a batch and gives one array of numbers for each.
+    ``encode`` gets the new words of a batch and gives their numbers one after another, and
+    how many each word has.
     The cache starts anew beyond ``most_words`` or ``most_chars``, between batches, so
     its memory is bounded; results don't depend on what it holds.
     """
 
     def __init__(
         self,
-        encode: Callable[[list[str]], Sequence[np.ndarray]],
+        encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
         most_words: int = 400_000,
         most_chars: int = 8_000_000,
     ):
@@ -30,7 +31,7 @@ class WordCache(dict):
         self.new: list[str] = []
         self.chars = 0
         self.starts = np.zeros(1, np.int64)
-        self.values = np.zeros(0, np.int64)
+        self.values = np.zeros(0, np.int32)
 
     def __missing__(self, word: str) -> int:
         place = self[word] = len(self)
@@ -41,10 +42,9 @@ class WordCache(dict):
     def numbers(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of each place one after another, and how many each place has."""
         if self.new:
-            arrays = self.encode(self.new)
-            sizes = np.fromiter(map(len, arrays), np.int64, len(arrays))
+            values, sizes = self.encode(self.new)
             self.starts = np.append(self.starts, self.starts[-1] + np.cumsum(sizes))
-            self.values = np.concatenate([self.values, *arrays])
+            self.values = np.append(self.values, values.astype(np.int32))
             self.new = []
         counts = self.starts[places + 1] - self.starts[places]
         ends = np.cumsum(counts)
