@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,12 @@ class CachedTokenizer:
         return result
 
 
+@lru_cache(maxsize=1)
+def tokenizer_at(path: str) -> CachedTokenizer:
+    """The tokenizer of a worker process, which later tasks of it use again."""
+    return CachedTokenizer(path)
+
+
 class SumOfSquares:
     """Open windows by fill level. ``place`` gives the level to put a piece at."""
 
@@ -162,7 +169,7 @@ def pack(
     )
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = CachedTokenizer(tokenizer_path)
+        tokenizer = tokenizer_at(tokenizer_path)
         levels = SumOfSquares(window)
         sequence = TaskContext.get().partitionId() << 32
         out: list[tuple] = []
