@@ -91,3 +91,21 @@ WITH RECURSIVE words AS (
 SELECT doc_id, n_shingles, (SELECT min(other) FROM reached r WHERE r.doc_id = s.doc_id) AS component_id
 FROM sizes s
 """
+
+SQL["op1_embedding_dedup"] = r"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.9
+), reached(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM vectors
+    UNION
+    SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), components AS (
+    SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT c.vec_id, (SELECT count(*) FROM links l WHERE l.a = c.vec_id) AS n_links, component_id,
+       c.vec_id = component_id AS kept
+FROM components c
+"""

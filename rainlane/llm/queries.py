@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm import exact_dedup, language, line_dedup, mixing, packing, quality, sharding, shingle_join, warc
+from rainlane.llm import embedding_dedup, exact_dedup, language, line_dedup, mixing, packing, quality, sharding, shingle_join, warc
 from rainlane.llm.common import table, text_or_empty
 from rainlane.staging import stage
 
@@ -139,3 +139,9 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS)
     return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
+
+
+@query
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.9)
+    return found.withColumnRenamed("id", "vec_id")
