@@ -35,10 +35,8 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(key, value)
 
 
-def free_name(df: DataFrame, wanted: str) -> str:
-    """``wanted``, or the next name that no column of ``df`` has (in any case)."""
-    taken = {name.lower() for name in df.columns}
-    name = wanted
-    while name.lower() in taken:
-        name += "_"
-    return name
+def place_in_files(df: DataFrame) -> tuple[Column, Column]:
+    """File and number of the row within it, for a table read from Parquet files; also where
+    a column of the table has the name of the hidden one."""
+    hidden = df.metadataColumn("_metadata")
+    return hidden.getField("file_path"), hidden.getField("row_index")

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm.common import BLANKS, settings, text_or_empty
+from rainlane.llm.common import BLANKS, place_in_files, settings, text_or_empty
 from rainlane.staging import new_folder, stage
 
 ROCKSDB = {
@@ -66,12 +66,13 @@ class StreamingDedup:
         are copies of one another. Other columns are not read.
         """
         text = F.col(text_column)
+        file, row = place_in_files(docs)
         docs.select(
             self.digest(normalised(text)).alias("digest"),
             F.col(id_column).cast("long").alias("id"),
             F.char_length(text_or_empty(text)).cast("long").alias("points"),
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
+            file.alias("file"),
+            row.alias("row"),
             F.octet_length(text_or_empty(text)).cast("long").alias("size"),
         ).write.mode("append").parquet(self.arrivals)
         self._run()
@@ -124,11 +125,9 @@ class StreamingDedup:
             "digest", "id", "points", "file", "row", "keep_file", "keep_row"
         )
         hits = stage(hits, "dedup-hits")
-        texts = contents.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.row_index").alias("row"),
-            F.col(text_column).alias("content"),
-        )
+        file, row = place_in_files(contents)
+        content = F.col(text_column).alias("content")
+        texts = contents.select(file.alias("file"), row.alias("row"), content)
         texts = hits.join(texts, ["file", "row"]).withColumn("content", normalised(F.col("content")))
         texts = stage(texts, "dedup-texts")
         stays = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))
@@ -177,9 +176,6 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 def drop_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are."""
     gone = exact_dedup(docs, id_column, text_column).where(~F.col("kept")).select("file", "row")
-    own = docs.select(
-        F.struct("*").alias("own"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"),
-    )
+    file, row = place_in_files(docs)
+    own = docs.select(F.struct("*").alias("own"), file.alias("file"), row.alias("row"))
     return own.join(gone, ["file", "row"], "left_anti").select("own.*")

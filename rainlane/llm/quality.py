@@ -245,7 +245,8 @@ class Model:
 def learn(features: DataFrame, first_prior: float = 0.5) -> Model | None:
     """Fit on all rows of ``features`` (role, numbers) with a role: 1 a trusted positive,
     0 unlabelled, null neither. None where positives or unlabelled rows are lacking."""
-    rows = features.where("role is not null").select("role", "numbers")
+    half = F.pmod(F.xxhash64("numbers"), F.lit(2)).cast("int").alias("half")
+    rows = features.where("role is not null").select("role", "numbers", half)
 
     def spread(frame: pd.DataFrame) -> np.ndarray:
         x = _matrix(frame["numbers"])
@@ -260,41 +261,61 @@ def learn(features: DataFrame, first_prior: float = 0.5) -> Model | None:
     size = basis.size
 
     def moments(frame: pd.DataFrame) -> np.ndarray:
-        x, role = basis(_matrix(frame["numbers"])), frame["role"].to_numpy()
+        x, role, half = basis(_matrix(frame["numbers"])), frame["role"].to_numpy(), frame["half"].to_numpy()
         parts = []
-        for own in (x[role == 1], x):
-            parts += [[len(own)], own.sum(axis=0), (own.T @ own).ravel()]
+        for chosen in (half == 0, half == 1):
+            for own in (x[chosen & (role == 1)], x[chosen]):
+                parts += [[len(own)], own.sum(axis=0), (own.T @ own).ravel()]
         return np.concatenate(parts)
 
-    both = add_up(rows, moments, 2 * (1 + size + size * size)).reshape(2, -1)
+    halves = add_up(rows, moments, 4 * (1 + size + size * size)).reshape(2, 2, -1)
+    both = halves.sum(axis=0)
     if not both[0, 0] or both[0, 0] == both[1, 0]:
         return None
-    positive, unlabelled = (
-        Moments(m[0], m[1 : 1 + size] / m[0], m[1 + size :].reshape(size, size) / m[0]) for m in both
-    )
-    model = Model(basis, fit(positive, unlabelled, first_prior), first_prior)
-    prior = estimate_prior(rows, model)
-    return Model(basis, fit(positive, unlabelled, prior), prior)
+
+    def fitted(sums: np.ndarray, prior: float) -> np.ndarray:
+        n = np.maximum(sums[:, :1], 1)
+        means = sums / n
+        positive, unlabelled = (
+            Moments(float(c[0]), m[1 : 1 + size], m[1 + size :].reshape(size, size)) for c, m in zip(n, means)
+        )
+        # Few positives say less than many, and are followed less closely.
+        return fit(positive, unlabelled, prior, ridge=1e-3 + 2 / positive.n)
+
+    crossed = [Model(basis, fitted(halves[1 - h], first_prior), first_prior) for h in (0, 1)]
+    prior = estimate_prior(rows, crossed)
+    return Model(basis, fitted(both, prior), prior)
 
 
-def estimate_prior(rows: DataFrame, model: Model) -> float:
+def estimate_prior(rows: DataFrame, models: list[Model]) -> float:
     """Share of positives among the unlabelled, from the shares of both above thresholds.
 
-    Thresholds that fewer than 2 % of the positives (or 20) lie above say too little.
+    Each half of the rows is scored by the model of the other half, so that no row counts
+    as a positive because the model has seen that it is one. Each share is taken a standard
+    error to the side that makes the ratio larger, so thresholds with few rows above say
+    little.
     """
 
     def histograms(frame: pd.DataFrame) -> np.ndarray:
-        f = np.clip((model.margins(_matrix(frame["numbers"])) + 2) / 4, 0, 1 - 1e-9)
-        at, role = (f * BINS).astype(np.int64), frame["role"].to_numpy()
+        numbers, half = _matrix(frame["numbers"]), frame["half"].to_numpy()
+        margins = np.where(half == 0, models[0].margins(numbers), models[1].margins(numbers))
+        at = (np.clip((margins + 2) / 4, 0, 1 - 1e-9) * BINS).astype(np.int64)
+        role = frame["role"].to_numpy()
         return np.concatenate(
             [np.bincount(at[role == 1], minlength=BINS), np.bincount(at, minlength=BINS)]
         )
 
-    positive, unlabelled = add_up(rows, histograms, 2 * BINS).reshape(2, BINS)
-    above_p = np.cumsum(positive[::-1])
-    above_u = np.cumsum(unlabelled[::-1])
-    enough = above_p >= min(max(20, 0.02 * above_p[-1]), above_p[-1])
-    ratio = (above_u[enough] / above_u[-1]) / (above_p[enough] / above_p[-1])
+    positive, unlabelled = (
+        np.cumsum(own[::-1]) for own in add_up(rows, histograms, 2 * BINS).reshape(2, BINS)
+    )
+
+    def share_and_error(above: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        share = above / above[-1]
+        return share, np.sqrt(share * (1 - share) / above[-1])
+
+    (p, p_error), (u, u_error) = share_and_error(positive), share_and_error(unlabelled)
+    sure = p > 2 * p_error
+    ratio = (u + u_error)[sure] / (p - p_error)[sure]
     return float(np.clip(ratio.min(), 0.05, 0.95))
 
 

@@ -282,7 +282,9 @@ def similar_groups(
 
 
 def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their group, all columns as they are."""
+    """The rows of ``docs`` with the smallest id of their group, all columns as they are. Rows
+    that share an id stay or go together."""
     groups = similar_groups(docs, id_column=id_column, text_column=text_column, **options)
     stays = groups.where("id <=> component_id").select(F.col("id").alias("_stays")).distinct()
-    return docs.join(stays, docs[id_column].cast("long").eqNullSafe(F.col("_stays")), "left_semi")
+    same = docs[id_column].cast("long").eqNullSafe(stays["_stays"])
+    return docs.join(stays, same, "left_semi")

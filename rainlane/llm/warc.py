@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import place_in_files
 from rainlane.staging import new_folder, stage
 
 # Fixed values of the WARC 1.1 format, RFC 4648 and HTTP.
@@ -90,11 +91,12 @@ def write_archives(
     all others. Repeated rows are records of their own: all but the first are revisits.
     Line ends in addresses are percent-encoded. Other columns are not read.
     """
+    file, row = place_in_files(pages)
     located = pages.select(
         F.col(id_column).alias("id"),
         _one_line(F.col(url_column)).alias("url"),
         F.coalesce(F.col(payload_column).cast("string"), F.lit("")).alias("payload"),
-        F.concat_ws("#", "_metadata.file_path", F.lpad(F.col("_metadata.row_index").cast("string"), 19, "0")).alias("tag"),
+        F.concat_ws("#", file, F.lpad(row.cast("string"), 19, "0")).alias("tag"),
     )
     headers = stage(
         located.select(

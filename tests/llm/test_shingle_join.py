@@ -1,0 +1,119 @@
+import random
+
+import numpy as np
+import pytest
+
+from rainlane.llm.components import connected
+from rainlane.llm.shingle_join import drop_near_copies, needed, similar_groups
+from rainlane.llm.shingles import WordHashes, shingle_set
+
+SCHEMA = "doc_id long, text string, node string, signature string, _stays string"
+
+
+def sets_of(rows, width):
+    result = []
+    for key, text, *_ in rows:
+        words = "".join(c.lower() if c.isascii() else c for c in text or "")
+        for blank in "\t\n\x0b\x0c\r":
+            words = words.replace(blank, " ")
+        words = [w for w in words.split(" ") if w]
+        size = min(width, len(words))
+        result.append((key, {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()))
+    return result
+
+
+def brute(rows, width, percent):
+    sets = sets_of(rows, width)
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j in range(i):
+            b = sets[j][1]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (key, _) in enumerate(sets):
+        at = find(i)
+        least[at] = key if least.get(at) is None else min(least[at], key if key is not None else least[at])
+    return sorted(((key, len(own), least[find(i)]) for i, (key, own) in enumerate(sets)), key=str)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    passage = " ".join(rng.choices(words, k=30))
+    rows, key = [], 0
+
+    def add(text):
+        nonlocal key
+        rows.append((key, text, "n", None, "s"))
+        key += 1
+
+    for family in range(6):
+        base = rng.choices(words, k=60 + 30 * family)
+        for copy in range(12):
+            own = list(base)
+            for _ in range(rng.randrange(1 + family)):
+                own[rng.randrange(len(own))] = rng.choice(words)
+            if copy % 4 == 3:
+                own = own[: -rng.randrange(1, 12)]
+            add(" ".join(own))
+    chain = rng.choices(words, k=100)
+    for step in range(8):  # neighbours are similar, the ends are not
+        add(" ".join(chain[step * 4 : step * 4 + 72]))
+    for _ in range(20):
+        add(passage + " " + " ".join(rng.choices(words, k=20)))
+    for text in ["one two three", "ONE  two\nthree", "one two", "", None, " \t", "é É", "É É", "x " * 30_000, "x"]:
+        add(text)
+    rows += [(0, rows[0][1], None, "n", "s"), (None, rows[0][1], None, None, None), (None, "no one else", "n", "n", "s")]
+    return rows
+
+
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
+def test_against_brute_force(spark, rows, width, percent):
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = similar_groups(docs, width, percent).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, width, percent)
+
+
+def test_drop_near_copies(spark, rows):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    left = drop_near_copies(docs)
+    assert left.columns == docs.columns
+    want = [r for r in brute(rows, 5, 80) if r[0] == r[2]]
+    assert sorted((str(r.doc_id) for r in left.collect())) == sorted(str(r[0]) for r in want)
+    assert similar_groups(docs.where("doc_id < 0")).collect() == []
+
+
+def test_long_text_is_hashed_in_slices(monkeypatch):
+    monkeypatch.setattr("rainlane.llm.shingles.SLICE", 7)
+    text = "alpha Beta\tgamma " * 50
+    assert WordHashes().of_text(text).tolist() == [WordHashes()[w] for w in text.encode().lower().split()]
+    assert len(shingle_set(WordHashes().of_text(text), 4)) == 3
+
+
+def test_needed():
+    assert [needed(n, 85) for n in (1, 7, 20, 100)] == [1, 6, 17, 85]
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_components(spark, seed):
+    rng = np.random.default_rng(seed)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (160, 2))] + [(i, i + 1) for i in range(400, 440)]
+    edges += [(500, k) for k in range(501, 560)]
+    root = list(range(600))
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: find(i) for e in edges for i in e if find(i) != i}
