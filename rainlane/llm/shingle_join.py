@@ -30,7 +30,7 @@ from rainlane.staging import stage
 
 COUNTERS = 1 << 20
 PIECE = 256
-PARTS = 64
+SKETCH = 16  # numbers of 64 bits
 BITMAP = 1 << 26
 LAST = 2**63 - 1
 
@@ -93,46 +93,47 @@ def needed(n: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, totals: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Columns id, signature, tokens (the prefix, rare ones first) and parts (how many
-    shingles fall into each of 64 parts, for the suffix filter)."""
+    """Columns id, signature, tokens (the prefix, rare ones first) and sketch: 1024 parts of
+    all shingles, and for each a bit that says whether an odd number of the set's falls into
+    it, for the suffix filter."""
     sent = docs.sparkSession.sparkContext.broadcast(totals)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, totals = WordHashes(), sent.value
         for batch in batches:
-            signatures, tokens, parts = [], [], []
+            signatures, tokens, sketches = [], [], []
             for text in batch.column(1):
                 own = shingle_set(hashes.of_text(text.as_py() or ""), width)
                 order = np.lexsort((own, totals[(own % np.uint64(COUNTERS)).astype(np.int64)]))
                 length = len(own) - needed(len(own), percent) + 1 if len(own) else 0
                 tokens.append(own[order[:length]].view(np.int64))
-                spread = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=PARTS)
-                parts.append(spread.astype("<u4").tobytes())
+                spread = np.bincount((own >> np.uint64(54)).astype(np.int64), minlength=64 * SKETCH)
+                sketches.append(np.packbits((spread & 1).astype(bool)).view(np.int64))
                 signatures.append(signature(own))
             columns = [
                 batch.column(0),
                 pa.array(signatures, pa.binary()),
                 pa.array(tokens, pa.list_(pa.int64())),
-                pa.array(parts, pa.binary()),
+                pa.array(sketches, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "signature", "tokens", "parts"])
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "signature", "tokens", "sketch"])
 
-    return docs.mapInArrow(made, "id long, signature binary, tokens array<long>, parts binary")
+    return docs.mapInArrow(made, "id long, signature binary, tokens array<long>, sketch array<long>")
 
 
-def suffix_filter(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs (n_a, n_b, parts_a, parts_b and more) that may overlap enough. Shingles of
-    different parts differ, so the overlap is at most the sum of the lesser counts."""
+def near_enough(percent: int) -> Column:
+    """The length and suffix filters for n_a, n_b, sketch_a and sketch_b.
 
-    @F.pandas_udf("boolean")
-    def maybe(n_a: pd.Series, n_b: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-        one = np.frombuffer(b"".join(a), "<u4").reshape(-1, PARTS).astype(np.int64)
-        two = np.frombuffer(b"".join(b), "<u4").reshape(-1, PARTS).astype(np.int64)
-        most = np.minimum(one, two).sum(axis=1)
-        return pd.Series(100 * most >= percent * (n_a + n_b - most).to_numpy())
-
-    near = f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    return pairs.where(near).where(maybe("n_a", "n_b", "parts_a", "parts_b"))
+    A shingle that only one of two sets has changes one bit, so the sets differ in at least
+    as many shingles as the sketches do in bits. Sets that are similar enough overlap by at
+    least percent * (n_a + n_b) / (100 + percent), and differ in what is left.
+    """
+    bits = sum(
+        F.bit_count(F.col("sketch_a")[k].bitwiseXOR(F.col("sketch_b")[k])) for k in range(SKETCH)
+    )
+    total = F.col("n_a") + F.col("n_b")
+    near = F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b")
+    return near & (bits * (100 + percent) <= total * (100 - percent))
 
 
 def _seen(ids: DataFrame) -> Column:
@@ -199,7 +200,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
 def _with_sizes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         own = nodes.select(
-            F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("parts").alias(f"parts_{end}")
+            F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"sketch_{end}")
         )
         pairs = pairs.join(own, end)
     return pairs
@@ -230,6 +231,7 @@ def similar_groups(
     own = own.dropDuplicates(["id", "signature"])
     nodes = stage(own.join(firsts, ["id", "signature"]), "join-nodes")
     postings = nodes.select("node", "n", F.posexplode("tokens").alias("at", "token"))
+    sized = nodes.select("node", "n", "sketch")
 
     check = partial(verify, nodes=firsts, docs=docs, width=width, percent=percent)
     lists = postings.groupBy("token").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("long"))
@@ -239,8 +241,8 @@ def similar_groups(
         .select("a", F.col("node").alias("b"))
         .distinct()
     )
-    first_pairs = stage(_with_sizes(stage(first_pairs, "join-pairs"), nodes), "join-sized")
-    tried = stage(suffix_filter(first_pairs, percent).select("a", "b"), "join-tried")
+    first_pairs = _with_sizes(stage(first_pairs, "join-pairs"), sized)
+    tried = stage(first_pairs.where(near_enough(percent)).select("a", "b"), "join-tried")
     links = stage(check(tried), "join-links")
     roots = connected(links)
 
@@ -252,22 +254,24 @@ def similar_groups(
     )
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_lists = placed.join(mixed.where("low < high").select("token"), "token", "left_semi")
-    open_lists = stage(open_lists, "join-open")
-    left = open_lists.select("token", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("root").alias("root_a"))
-    right = open_lists.select("token", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
-    # With this shingle as the first in common, what follows it bounds the overlap.
+    open_lists = stage(open_lists.join(nodes.select("node", "sketch"), "node"), "join-open")
+    left, right = (
+        open_lists.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "n", "at", "root", "sketch")])
+        for end in ("a", "b")
+    )
+    # With this shingle as the first in common, what follows it bounds the overlap. All
+    # filters are in the join, so that pairs that are far apart are never rows.
     most = "least(n_a - at_a, n_b - at_b)"
+    reachable = F.expr(f"100 * {most} >= {percent} * (n_a + n_b - {most})")
+    apart = F.expr("node_a < node_b and root_a <> root_b")
     rest = (
         left.join(right, "token")
-        .where("a < b and root_a <> root_b")
-        .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-        .where(f"100 * {most} >= {percent} * (n_a + n_b - {most})")
-        .select("a", "b")
+        .where(apart & reachable & near_enough(percent))
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    rest = suffix_filter(_with_sizes(stage(rest, "join-rest"), nodes), percent).select("a", "b")
-    more = check(stage(rest, "join-tried"))
+    more = check(stage(rest, "join-rest"))
     roots = connected(links.unionByName(more))
 
     named = firsts.join(roots, "node", "left").select("signature", "id", F.coalesce("root", "node").alias("root"))

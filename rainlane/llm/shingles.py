@@ -16,7 +16,7 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """64 bits of a hash of a word with A-Z in lower case; starts anew when it gets large."""
 
-    MOST = 500_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         found = hashlib.blake2b(word.lower(), digest_size=8).digest()
