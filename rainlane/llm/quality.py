@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 COSINES = 256
-REDUCERS = 16
+REDUCERS = 8
 BINS = 200
 CHUNK = 1 << 20
 
@@ -144,11 +144,12 @@ def add_up(features: DataFrame, values_of, size: int) -> np.ndarray:
         yield pd.DataFrame({"slot": [slot], "total": [total.tobytes()]})
 
     def joined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size)
+        total = None
         for frame in frames:
             for own in frame["total"]:
-                total += np.frombuffer(own)
-        yield pd.DataFrame({"slot": [0], "total": [total.tobytes()]})
+                total = np.frombuffer(own) + (0 if total is None else total)
+        if total is not None:  # a reducer that got nothing sends nothing
+            yield pd.DataFrame({"slot": [0], "total": [total.tobytes()]})
 
     schema = "slot int, total binary"
     parts = features.mapInPandas(partial, schema).repartition(REDUCERS, "slot")
