@@ -32,9 +32,10 @@ HEADLINE = (
     "csv_roundtrip",
     "json_records",
     "eval_report",
-    "scenario_draws",
     "stream_ingest",
     "incremental_trusted",
+    "hot_keys_join",
+    "daily_run",
     "rf_cv",
     "gbt_cv",
     "score_rf",

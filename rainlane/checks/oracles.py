@@ -68,25 +68,17 @@ report as (
   select 'Gradient Boosted Trees', sqrt(avg((y - p2) * (y - p2))), avg(abs(y - p2)), 2 from scored)"""
 
 
-def _unit(stream: str) -> str:
-    digest = f"md5('42:{stream}:' || cast(c_custkey + 1 as varchar))"
-    return f"(cast(cast('0x' || substr({digest}, 1, 13) as bigint) as double) / 4503599627370496.0::double)"
-
-
-_SCENARIO = f"""
+_SCENARIO = """
 select strftime(date '2025-03-01' + cast(c_custkey % 60 as int), '%Y-%m-%d') as date,
-       cast(c_custkey % 1000000000 + 1 as int) as id, c_mktsegment as city,
-       round(28.0::double + 1.5::double * (sqrt(-2.0::double * ln(1.0::double - {_unit('temp/r')}))
-             * cos(2.0::double * pi() * {_unit('temp/a')})), 1) as max_temp,
-       round(5.0::double * {_unit('precip')}, 2) as precipitation,
-       cast(floor({_unit('level')} * 6.0::double) + 1 as int) as congestion_level_num
+       c_custkey + 1 as id, c_mktsegment as city
 from customer"""
 
 _SCORED_BY_LEVEL = _with(
-    f""", means as (
+    """, means as (
   select congestion_level_num as level, avg(reported_incidents) as mean from incidents group by 1)
-select s.*, cast(round(mean) as int) as predicted_incidents
-from ({_SCENARIO}) s join means on least(s.congestion_level_num, 3) = level"""
+select strftime(date, '%Y-%m-%d') as date, cast(id as bigint) as id, city, max_temp, precipitation,
+       congestion_level_num, cast(round(mean) as int) as predicted_incidents
+from incidents join means on congestion_level_num = level"""
 )
 
 SQL = {
@@ -103,7 +95,13 @@ union all select 'joined_rows', count(*) from incidents"""
     "csv_roundtrip": _EXTRACT,
     "csv_text_roundtrip": """
 select cast(conv_id as varchar) as conv_id, cast(turn as varchar) as turn, role,
-       md5(text) as text_md5 from conversations""",
+       md5('  ' || text || ' ') as text_md5 from conversations""",
+    "hot_keys_join": """
+with totals as (select l_returnflag, sum(l_quantity) as total from lineitem group by 1),
+shares as (
+  select l_orderkey, l_linenumber, l_returnflag, round(l_quantity / total, 9) as share
+  from lineitem join totals using (l_returnflag))
+select side as hot_side, shares.* from shares cross join (values ('facts'), ('other')) sides(side)""",
     "ordinal_encode": """
 select event_id, cast(case event_type when 'click' then 1 when 'view' then 2 else 3 end as int) as code
 from events""",
@@ -256,8 +254,7 @@ from report
 union all
 select 'Best Model', null, null, (select model from report order by rmse, rank desc limit 1)"""
     ),
-    "scenario_spine": f"select date, id, city from ({_SCENARIO})",
-    "scenario_draws": f"select id, max_temp, precipitation, congestion_level_num from ({_SCENARIO})",
+    "scenario_spine": _SCENARIO,
     "score_rf_levels": _SCORED_BY_LEVEL,
     "score_gbt_levels": _SCORED_BY_LEVEL,
     "holdout_report_levels": _with(

@@ -17,14 +17,14 @@ from rainlane.functions import casting, naming
 from rainlane.functions.encoding import ordinal_code
 from rainlane.learning import trees
 from rainlane.operators import charts, metrics, splitting, summary
-from rainlane.operators.counts import stage_counts
+from rainlane.operators.counts import STAGE_COUNTS
 from rainlane.operators.joining import sliced_join
 from rainlane.operators.metadata import chart_descriptions, chart_metadata
 from rainlane.operators.scenario import scenario
 from rainlane.operators.unpack import pack_documents, unpack_days
 from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import chart_datasets, run_files
-from rainlane.plans.daily import run_daily
+from rainlane.plans.daily import run_daily, write_trusted
 from rainlane.plans.descriptive import descriptive, write_descriptive
 from rainlane.plans.forecasting import fit_and_report, holdout_scores, train_eval
 from rainlane.plans.trusted import build_trusted, typed_incidents
@@ -115,20 +115,45 @@ def raw_level_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def skew_sliced_join(spark: SparkSession, folder: str) -> DataFrame:
-    """The join beyond the broadcast limit."""
+    """The join beyond the broadcast limit, with so few rows to a task that days are cut."""
     incidents = typed_incidents(incident_extract(spark, folder), SETTINGS)
-    joined = sliced_join(incidents, weather_days(spark, folder), ["date"])
+    joined = sliced_join(incidents, weather_days(spark, folder), ["date"], rows_per_task=4)
     return joined.select(
         "date", "id", "city", VALUE, "max_temp", "precipitation", LEVEL
     )
 
 
+@query
+def hot_keys_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Three keys with all rows of one side, first of the facts and then of the other side."""
+    items = star_table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity"
+    )
+    totals = items.groupBy("l_returnflag").agg(F.sum("l_quantity").alias("total"))
+    key, rows = ["l_returnflag"], 5000
+    hot = {
+        "facts": sliced_join(items, totals, key, rows),
+        "other": sliced_join(totals, items, key, rows),
+    }
+    parts = [
+        joined.select(
+            F.lit(side).alias("hot_side"),
+            "l_orderkey",
+            "l_linenumber",
+            "l_returnflag",
+            F.round(F.col("l_quantity") / F.col("total"), 9).alias("share"),
+        )
+        for side, joined in hot.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query
 def stage_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """As the run from the raw to the trusted zone counts them."""
     layout = landed(spark, folder, "counts")
-    docs = read_weather_documents(spark, layout.raw_weather)
-    incidents = typed_incidents(read_extract(spark, layout.raw_incidents), SETTINGS)
-    return stage_counts(docs, unpack_days(docs), incidents, "date")
+    write_trusted(spark, layout, SETTINGS)
+    return read_table(spark, layout.stage_counts, STAGE_COUNTS)
 
 
 @query
@@ -146,7 +171,7 @@ def csv_text_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         F.col("conv_id").cast("string").alias("conv_id"),
         F.col("turn").cast("string").alias("turn"),
         "role",
-        "text",
+        F.concat(F.lit("  "), "text", F.lit(" ")).alias("text"),
     )
     land_extract(turns, path)
     back = read_extract(spark, path, turns.schema, multiline=True)
@@ -269,7 +294,7 @@ def level_totals(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def chart_bars_one_pass(spark: SparkSession, folder: str) -> DataFrame:
     """The three bar charts from one cube."""
-    data = analyse(trusted_of(spark, folder), SETTINGS).datasets
+    data = analyse(stage(trusted_of(spark, folder), "trusted"), SETTINGS).datasets
     binned = [
         data[kind].select(
             F.lit(kind).alias("chart"),
@@ -291,7 +316,7 @@ def chart_bars_one_pass(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def statistics_from_cube(spark: SparkSession, folder: str) -> DataFrame:
     """The descriptive tables as the daily run makes them, as names and values."""
-    tables = analyse(trusted_of(spark, folder), SETTINGS).tables
+    tables = analyse(stage(trusted_of(spark, folder), "trusted"), SETTINGS).tables
     levels = tables["congestion_stats"].select(
         F.concat(F.lit("level_"), F.col(LEVEL).cast("string")).alias("name"),
         F.round("avg_precip", 6).alias("value"),
@@ -338,7 +363,7 @@ def artifact_fields(spark: SparkSession, folder: str) -> DataFrame:
 def chart_metadata_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Metadata of the charts of the trusted rows, sized by their written datasets."""
     base = new_folder(spark, "charts")
-    for kind, data in chart_datasets(trusted_of(spark, folder), SETTINGS).items():
+    for kind, data in chart_datasets(stage(trusted_of(spark, folder), "trusted"), SETTINGS).items():
         data.write.json(f"{base}/{CHARTS[kind]['artifact']}")
     stamp = naming.run_stamp(F.lit("2025-03-01 12:30:05").cast("timestamp_ntz"))
     rows = chart_metadata(chart_descriptions(spark), run_files(spark, base), "s3://bucket", stamp)
@@ -412,7 +437,7 @@ def external_table_subset(spark: SparkSession, folder: str) -> DataFrame:
 def named_dataset(spark: SparkSession, folder: str) -> DataFrame:
     """Descriptive tables written, registered and read back by dataset name."""
     layout = Layout(new_folder(spark, "refined"))
-    write_descriptive(descriptive(trusted_of(spark, folder)), layout)
+    write_descriptive(descriptive(stage(trusted_of(spark, folder), "trusted"), SETTINGS), layout)
     names = ["congestion-stats", "global-stats", "correlations"]
     register_datasets(spark, layout, "rainlane_checks", names)
     levels = serve(spark, "/congestion-stats", "rainlane_checks").select(
@@ -529,27 +554,32 @@ def eval_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, "rmse", "mae").drop("evaluation_timestamp")
 
 
-def customer_scenario(spark: SparkSession, folder: str) -> DataFrame:
+@query
+def scenario_spine(spark: SparkSession, folder: str) -> DataFrame:
     """A scenario row per customer, spread over sixty days."""
     key = F.col("c_custkey")
-    return scenario(
+    rows = scenario(
         star_table(spark, folder, "customer"),
         offset=F.pmod(key, F.lit(60)),
-        key=key + 1,
-        row_id=F.pmod(key, F.lit(1_000_000_000)) + 1,
-        seed=SETTINGS.seed,
+        row_id=key + 1,
+        max_temp=F.col("c_acctbal"),
+        precipitation=F.col("c_acctbal"),
+        level=F.col("c_nationkey"),
         city=F.col("c_mktsegment"),
     )
+    return rows.select("date", "id", "city")
 
 
-@query
-def scenario_spine(spark: SparkSession, folder: str) -> DataFrame:
-    return customer_scenario(spark, folder).select("date", "id", "city")
-
-
-@query
-def scenario_draws(spark: SparkSession, folder: str) -> DataFrame:
-    return customer_scenario(spark, folder).select("id", "max_temp", "precipitation", LEVEL)
+def rows_to_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The trusted rows in the form of a scenario."""
+    return trusted_of(spark, folder).select(
+        naming.iso_date(F.col("date")).alias("date"),
+        F.col("id").cast("bigint").alias("id"),
+        "city",
+        "max_temp",
+        "precipitation",
+        LEVEL,
+    )
 
 
 @query
@@ -582,13 +612,13 @@ def fitted(spark: SparkSession, folder: str, regressor):
 @query
 def score_rf(spark: SparkSession, folder: str) -> DataFrame:
     model = fitted(spark, folder, trees.forest(SMALL, numTrees=10, maxDepth=3))
-    return trees.score(model, customer_scenario(spark, folder))
+    return trees.score(model, rows_to_score(spark, folder))
 
 
 @query
 def score_gbt(spark: SparkSession, folder: str) -> DataFrame:
     model = fitted(spark, folder, trees.boosted(SMALL, maxIter=3, maxDepth=3))
-    return trees.score(model, customer_scenario(spark, folder))
+    return trees.score(model, rows_to_score(spark, folder))
 
 
 # On the level alone, one tree that is deep enough predicts the mean of each level,
@@ -613,7 +643,7 @@ def fitted_to_levels(spark: SparkSession, folder: str, regressor):
 def score_rf_levels(spark: SparkSession, folder: str) -> DataFrame:
     forest = trees.forest(LEVELS_ONLY, numTrees=1, maxDepth=2, bootstrap=False)
     return trees.score(
-        fitted_to_levels(spark, folder, forest), customer_scenario(spark, folder)
+        fitted_to_levels(spark, folder, forest), rows_to_score(spark, folder)
     )
 
 
@@ -621,7 +651,7 @@ def score_rf_levels(spark: SparkSession, folder: str) -> DataFrame:
 def score_gbt_levels(spark: SparkSession, folder: str) -> DataFrame:
     boosted = trees.boosted(LEVELS_ONLY, maxIter=1, maxDepth=2)
     return trees.score(
-        fitted_to_levels(spark, folder, boosted), customer_scenario(spark, folder)
+        fitted_to_levels(spark, folder, boosted), rows_to_score(spark, folder)
     )
 
 
@@ -686,12 +716,14 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def incremental_trusted(spark: SparkSession, folder: str) -> DataFrame:
-    """Two arrivals that together hold all rows, each followed by a refresh."""
+    """Part of an export, all of it again in its place, and weather that comes in two parts;
+    a refresh after each."""
     layout = Layout(new_folder(spark, "refresh"))
-    extract = incident_extract(spark, folder)
-    early = F.col("congestion_level") == "F"
-    land_extract(extract.where(early), layout.raw_incidents, "append")
-    land_documents(pack_documents(weather_days(spark, folder), place=PLACE), layout.raw_weather)
+    extract, days = incident_extract(spark, folder), weather_days(spark, folder)
+    early = F.year("date") < 1995
+    land_extract(extract.where(F.col("congestion_level") == "F"), layout.raw_incidents)
+    land_documents(pack_documents(days.where(early), place=PLACE), layout.raw_weather)
     catch_up(spark, layout, SETTINGS)
-    land_extract(extract.where(~early), layout.raw_incidents, "append")
+    land_extract(extract, layout.raw_incidents)
+    land_documents(pack_documents(days.where(~early), place=PLACE), layout.raw_weather, "append")
     return catch_up(spark, layout, SETTINGS)

@@ -13,9 +13,8 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 
 from rainlane.functions.casting import rounded_int
-from rainlane.schemas import DOUBLE, SCENARIO, struct
+from rainlane.schemas import DOUBLE, struct
 from rainlane.settings import Settings
-from rainlane.sinks.tables import conformed
 from rainlane.staging import shared_dir
 
 LABEL = "label"
@@ -27,9 +26,10 @@ def assembler(features: tuple[str, ...], invalid: str = "error") -> VectorAssemb
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
 
 
-def labelled(trusted: DataFrame, settings: Settings) -> DataFrame:
-    """Only the columns a fit reads, with the target renamed."""
-    return trusted.withColumnRenamed(settings.label, LABEL).select(LABEL, *settings.features)
+def labelled(trusted: DataFrame, settings: Settings, *more: str) -> DataFrame:
+    """Only the columns a fit reads, with the target renamed, and those of ``more``."""
+    named = trusted.withColumnRenamed(settings.label, LABEL)
+    return named.select(LABEL, *settings.features, *more)
 
 
 def forest(settings: Settings, **params) -> RandomForestRegressor:
@@ -53,9 +53,13 @@ def param_grid(regressor, grid: Mapping[str, tuple]) -> list[dict]:
     return builder.build()
 
 
-def cross_validated(regressor, grid: Mapping[str, tuple], settings: Settings) -> CrossValidator:
-    """K-fold search by RMSE; the fits of one fold run side by side."""
+def cross_validated(
+    regressor, grid: Mapping[str, tuple], settings: Settings, fold_column: str = ""
+) -> CrossValidator:
+    """K-fold search by RMSE; the fits of one fold run side by side. ``fold_column`` names
+    a column with the fold of each row, 0 to folds - 1; without it folds are drawn."""
     return CrossValidator(
+        foldCol=fold_column,
         estimator=regression_chain(regressor, settings),
         estimatorParamMaps=param_grid(regressor, grid),
         evaluator=RegressionEvaluator(labelCol=LABEL, predictionCol="prediction", metricName="rmse"),
@@ -91,8 +95,6 @@ def _in_grid_order(fitted: CrossValidatorModel, grid: Mapping[str, tuple], setti
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Scenario columns plus the prediction rounded to a whole number."""
-    scored = model.transform(conformed(rows, SCENARIO))
-    return scored.select(
-        *SCENARIO.fieldNames(), rounded_int("prediction").alias("predicted_incidents")
-    )
+    """The rows plus the prediction rounded to a whole number."""
+    scored = model.transform(rows)
+    return scored.select(*rows.columns, rounded_int("prediction").alias("predicted_incidents"))

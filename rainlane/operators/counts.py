@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from rainlane.schemas import LONG, TEXT, struct
+
+STAGE_COUNTS = struct(stage=TEXT, n_rows=LONG)
+
+
+@contextmanager
+def counted_stages(spark: SparkSession, path: str) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Give a function that has the rows of a frame counted as they pass by, and write all
+    counts to ``path`` after the block, in which each frame has to be computed."""
+    seen: dict[str, tuple[Observation, DataFrame]] = {}
+
+    def count(rows: DataFrame, name: str) -> DataFrame:
+        own = Observation(name)
+        seen[name] = own, rows
+        return rows.observe(own, F.count(F.lit(1)).alias("n"))
+
+    yield count
+    # What the engine found needless to compute, as the other side of an empty join, is
+    # counted on its own.
+    counts = [(name, own.get["n"] if "n" in own.get else rows.count()) for name, (own, rows) in seen.items()]
+    spark.createDataFrame(counts, STAGE_COUNTS).write.mode("overwrite").parquet(path)
+
 
 def stage_counts(docs: DataFrame, days: DataFrame, incidents: DataFrame, key: str) -> DataFrame:
     """Rows of the documents, the unpacked days, the incidents and their join.

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rainlane.staging import stage
 
-# At most this many keys can each hold more than 1/1000 of all rows.
-_MOST_HOT_KEYS = 1000
+ROWS_PER_TASK = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 _ROW_OVERHEAD_BYTES = 32
 
@@ -31,7 +31,11 @@ def measured_bytes(df: DataFrame) -> int | None:
 
 
 def join_measured(
-    facts: DataFrame, other: DataFrame, keys: Sequence[str], broadcast_max_bytes: int
+    facts: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    broadcast_max_bytes: int,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``facts`` joined with ``other`` on ``keys``; each key column appears once.
 
@@ -43,59 +47,70 @@ def join_measured(
     size = measured_bytes(written)
     if size is not None and size <= broadcast_max_bytes:
         return facts.join(F.broadcast(written), list(keys), "inner")
-    return sliced_join(facts, written, keys)
+    return sliced_join(facts, written, keys, rows_per_task)
 
 
 def sliced_join(
-    facts: DataFrame, other: DataFrame, keys: Sequence[str], fan_out: int | None = None
+    facts: DataFrame, other: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
-    """Shuffled inner join that cuts each hot key of ``facts`` into slices.
+    """Shuffled inner join that cuts a key into slices where either side has more than
+    ``rows_per_task`` rows of it.
 
-    A key with more than 1/1000 of the rows is hot; it gets slices in
-    proportion to its share, about ``fan_out`` for all rows together. By count
-    there can be no more than 1000 such keys, so the table of hot keys is safe
-    to broadcast. Rows of the other side are repeated once per slice of their
-    key, so the result is that of the plain join.
+    Rows of a key are counted on both sides. A side with n rows of a key gets
+    ceil(n / rows_per_task) slices, and each of its rows goes to one slice of its own side
+    and to all slices of the other, so every pair meets once and the result is that of the
+    plain join.
 
     The slice of a row follows from its content and its input partition: the
     same when a lost task is run again, and different for copies of one row
     that lie in different partitions.
     """
     keys = list(keys)
-    spark = facts.sparkSession
-    fan_out = fan_out or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
-    per_key = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    per_key = stage(per_key.where(_all_present(keys)), "rows-per-key")
-    total = per_key.agg(F.sum("_rows")).first()[0] or 0
-    hot = per_key.where(F.col("_rows") * _MOST_HOT_KEYS > total).select(
-        *keys, F.ceil(F.col("_rows") / F.lit(max(total, 1)) * fan_out).cast("int").alias("_slices")
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    counts = (
+        facts.select(*keys, one.alias("_facts"), none.alias("_other"))
+        .unionByName(other.select(*keys, none.alias("_facts"), one.alias("_other")))
+        .where(_all_present(keys))
+        .groupBy(*keys)
+        .agg(F.sum("_facts").alias("_facts"), F.sum("_other").alias("_other"))
     )
+
+    def slices(side: str) -> Column:
+        return F.ceil(F.col(side) / F.lit(rows_per_task)).cast("bigint").alias(f"{side}_slices")
+
+    # A key that one side lacks joins with nothing and needs no slices.
+    hot = stage(
+        counts.where((F.greatest("_facts", "_other") > rows_per_task) & (F.least("_facts", "_other") > 0))
+        .select(*keys, slices("_facts"), slices("_other")),
+        "hot-keys",
+    )
+    size = measured_bytes(hot)
     if hot.isEmpty():
         return facts.join(other.hint("merge"), keys, "inner")
-    hot = F.broadcast(hot)
-    content = [c for c in facts.columns if c not in keys] or keys
-    sliced_facts = (
-        facts.where(_all_present(keys))
+    if size is not None and size <= BROADCAST_MAX_BYTES:
+        hot = F.broadcast(hot)
+    left = _in_slices(facts, hot, keys, own="_facts", across="_other")
+    right = _in_slices(other, hot, keys, own="_other", across="_facts")
+    on = [*keys, "_facts_slice", "_other_slice"]
+    return left.join(right.hint("merge"), on, "inner").drop("_facts_slice", "_other_slice")
+
+
+def _in_slices(rows: DataFrame, hot: DataFrame, keys: list[str], own: str, across: str) -> DataFrame:
+    """Each row in a slice of its own side, repeated for each slice of the other side."""
+    content = [c for c in rows.columns if c not in keys] or keys
+    first = F.lit(0).cast("bigint")
+    place = F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.col(f"{own}_slices"))
+    last = F.coalesce(F.col(f"{across}_slices") - 1, first)
+    return (
+        rows.where(_all_present(keys))
         .join(hot, keys, "left")
-        .withColumn(
-            "_slice",
-            F.coalesce(
-                F.pmod(F.xxhash64(*content, F.spark_partition_id()), F.col("_slices").cast("bigint")),
-                F.lit(0).cast("bigint"),
-            ),
-        )
-        .drop("_slices")
-    )
-    last = F.coalesce(F.col("_slices") - 1, F.lit(0)).cast("bigint")
-    sliced_other = (
-        other.join(hot, keys, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_slices")
+        .withColumn(f"{own}_slice", F.coalesce(place, first))
+        .withColumn(f"{across}_slice", F.explode(F.sequence(first, last)))
+        .drop("_facts_slices", "_other_slices")
     )
-    return sliced_facts.join(sliced_other.hint("merge"), [*keys, "_slice"], "inner").drop("_slice")
 
 
-def _all_present(keys: Sequence[str]):
+def _all_present(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
         condition = condition & F.col(key).isNotNull()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainlane.functions.casting import lenient_date
 
 
-def unpack_days(docs: DataFrame) -> DataFrame:
-    """One row (date, max_temp, precipitation) per array position.
+def unpack_days(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """One row (date, max_temp, precipitation) per array position, with the columns of
+    the document that ``carry`` names.
 
     A shorter array is padded with NULL; a document whose arrays are NULL or
     empty gives no row.
@@ -19,9 +22,8 @@ def unpack_days(docs: DataFrame) -> DataFrame:
         F.col("daily.temperature_2m_max").alias("temperature_2m_max"),
         F.col("daily.precipitation_sum").alias("precipitation_sum"),
     )
-    return docs.select(F.inline(zipped).alias("time", "max_temp", "precipitation")).select(
-        lenient_date("time").alias("date"), "max_temp", "precipitation"
-    )
+    rows = docs.select(*carry, F.inline(zipped).alias("time", "max_temp", "precipitation"))
+    return rows.select(lenient_date("time").alias("date"), "max_temp", "precipitation", *carry)
 
 
 def pack_documents(days: DataFrame, per: str = "year", place: dict | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ class Analysis:
 
 
 def analyse(trusted: DataFrame, settings: Settings) -> Analysis:
-    """The results of ``descriptive`` and ``chart_datasets``.
+    """All of them; give it a written table, as it is read three times.
 
     The first pass makes one row: global statistics, correlations and the ends
     of the binned columns. The second makes the row of the correlation matrix;

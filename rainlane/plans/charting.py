@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainlane.fixed_values import CHARTS
-from rainlane.operators.charts import binned_mean, level_totals
 from rainlane.operators.metadata import chart_descriptions, chart_metadata
-from rainlane.operators.summary import correlation_matrix
+from rainlane.plans.analysis import analyse
 from rainlane.settings import Layout, Settings
 from rainlane.sinks.tables import append_table
 from rainlane.sources.artifacts import artifact_files
@@ -19,13 +18,7 @@ from rainlane.sources.artifacts import artifact_files
 
 def chart_datasets(trusted: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     """The dataset of each chart, by chart kind."""
-    value, level, bins = settings.label, "congestion_level_num", settings.bins
-    return {
-        "temp_incidents_bar": binned_mean(trusted, "max_temp", bins, value, level),
-        "precip_incidents_bar": binned_mean(trusted, "precipitation", bins, value, level),
-        "correlation_heatmap": correlation_matrix(trusted, [value, *settings.features]),
-        "congestion_incidents_bar": level_totals(trusted, value, level),
-    }
+    return analyse(trusted, settings).datasets
 
 
 def write_charts(

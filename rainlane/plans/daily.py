@@ -7,30 +7,39 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from rainlane.catalog.datasets import register_datasets
+from rainlane.operators.counts import counted_stages
 from rainlane.operators.unpack import unpack_days
 from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import write_charts
 from rainlane.plans.descriptive import write_descriptive
 from rainlane.plans.forecasting import write_forecast
-from rainlane.plans.trusted import build_trusted
+from rainlane.plans.trusted import join_typed, typed_incidents
 from rainlane.schemas import TRUSTED
 from rainlane.settings import Layout, Settings
 from rainlane.sinks.tables import overwrite_table
 from rainlane.sources.documents import read_weather_documents
 from rainlane.sources.extracts import read_extract
 from rainlane.sources.tables import read_table
-from rainlane.streaming.refresh import on_landed_days, take_in
+from rainlane.staging import own_folders
+from rainlane.streaming.refresh import note_refined, refined_state, take_in, trusted_by_month, trusted_state
 
 
 def write_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    days = unpack_days(read_weather_documents(spark, layout.raw_weather))
-    overwrite_table(
-        build_trusted(days, read_extract(spark, layout.raw_incidents), settings), layout.trusted
-    )
+    """Build the trusted table, and write the number of rows at each stage of it."""
+    docs = read_weather_documents(spark, layout.raw_weather)
+    incidents = typed_incidents(read_extract(spark, layout.raw_incidents), settings)
+    with counted_stages(spark, layout.stage_counts) as count:
+        days = count(unpack_days(count(docs, "weather_documents")), "weather_days")
+        joined = join_typed(days, count(incidents, "incident_rows"), settings)
+        overwrite_table(count(joined, "joined_rows"), layout.trusted)
 
 
 def refine(
-    trusted: DataFrame, layout: Layout, settings: Settings, database: str | None = None
+    trusted: DataFrame,
+    layout: Layout,
+    settings: Settings,
+    database: str | None = None,
+    with_models: bool = True,
 ) -> None:
     """All refined tables from the trusted one; with ``database`` they are
     registered there for serving."""
@@ -38,9 +47,15 @@ def refine(
     analysis = analyse(trusted, settings)
     write_descriptive(analysis.tables, layout)
     write_charts(spark, analysis.datasets, layout, run_time)
-    write_forecast(trusted, layout, settings, run_time)
+    if with_models:
+        write_forecast(trusted, layout, settings, run_time)
     if database:
-        register_datasets(spark, layout, database)
+        names = None if with_models else list(DESCRIPTIVE)
+        register_datasets(spark, layout, database, names)
+
+
+#: Served datasets that need no models.
+DESCRIPTIVE = ("congestion-stats", "global-stats", "correlations", "visualizations")
 
 
 def run_daily(
@@ -51,8 +66,9 @@ def run_daily(
 ) -> None:
     """Run the steps in order in one session; any error ends the run."""
     settings = settings or Settings()
-    write_trusted(spark, layout, settings)
-    refine(read_table(spark, layout.trusted, TRUSTED), layout, settings, database)
+    with own_folders(spark):
+        write_trusted(spark, layout, settings)
+        refine(read_table(spark, layout.trusted, TRUSTED), layout, settings, database)
 
 
 def run_on_arrival(
@@ -60,20 +76,20 @@ def run_on_arrival(
     layout: Layout,
     settings: Settings | None = None,
     database: str | None = None,
+    with_models: bool = True,
 ) -> bool:
-    """The same for what has newly arrived in the raw zone; nothing new, no run.
+    """The same for what has changed in the raw zone; nothing changed, no run.
 
     Returns whether the tables were refined. A run that failed on the way is
-    taken up again by the next call.
+    taken up again by the next call. Without ``with_models`` the models, which
+    are fitted on the whole table, are left to the daily run.
     """
     settings = settings or Settings()
-    take_in(spark, layout, settings)
-    runs = []
-
-    def refine_all(_days: DataFrame) -> None:
-        trusted = read_table(spark, layout.trusted_by_month, TRUSTED)
-        refine(trusted, layout, settings, database)
-        runs.append(True)
-
-    on_landed_days(spark, layout, "refined", refine_all).awaitTermination()
-    return bool(runs)
+    with own_folders(spark):
+        take_in(spark, layout, settings)
+        state = trusted_state(spark, layout)
+        if state == refined_state(spark, layout):
+            return False
+        refine(trusted_by_month(spark, layout), layout, settings, database, with_models)
+        note_refined(spark, layout, state)
+    return True

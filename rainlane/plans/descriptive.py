@@ -6,19 +6,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from rainlane.operators import summary
-from rainlane.schemas import CONGESTION_STATS, CORRELATIONS, GLOBAL_STATS
-from rainlane.settings import Layout
-from rainlane.sinks.tables import conformed, overwrite_table
+from rainlane.plans.analysis import analyse
+from rainlane.settings import Layout, Settings
+from rainlane.sinks.tables import overwrite_table
 
 
-def descriptive(trusted: DataFrame) -> dict[str, DataFrame]:
+def descriptive(trusted: DataFrame, settings: Settings | None = None) -> dict[str, DataFrame]:
     """Global statistics, statistics per level, correlations."""
-    return {
-        "global_stats": conformed(summary.global_stats(trusted), GLOBAL_STATS),
-        "congestion_stats": conformed(summary.level_stats(trusted), CONGESTION_STATS),
-        "correlations": conformed(summary.correlations(trusted), CORRELATIONS),
-    }
+    return analyse(trusted, settings or Settings()).tables
 
 
 def write_descriptive(tables: Mapping[str, DataFrame], layout: Layout) -> None:

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainlane.fixed_values import MODEL_GBT, MODEL_RF
 from rainlane.learning import trees
 from rainlane.operators.metrics import evaluation_report
 from rainlane.operators.scenario import default_scenario
-from rainlane.operators.splitting import random_parts
+from rainlane.operators.splitting import hashed_in_training
 from rainlane.schemas import MODEL_EVALUATION, PREDICTIONS, SCENARIO
 from rainlane.settings import Layout, Settings
 from rainlane.sinks.tables import conformed, overwrite_table
 from rainlane.sources.tables import read_table
+from rainlane.staging import stage
 
 
 @dataclass(frozen=True)
@@ -38,13 +40,20 @@ def holdout_scores(rf: PipelineModel, gbt: PipelineModel, holdout: DataFrame) ->
 
 
 def fit_and_report(
-    train: DataFrame, holdout: DataFrame, settings: Settings, run_time: datetime | None = None
+    train: DataFrame,
+    holdout: DataFrame,
+    settings: Settings,
+    run_time: datetime | None = None,
+    fold_column: str = "",
 ) -> Fitted:
     """Search both grids on ``train`` and report on ``holdout``."""
     trees.prepare_checkpoints(train.sparkSession)
     grids = settings.grids
-    rf = trees.cross_validated(trees.forest(settings), grids.rf, settings).fit(train).bestModel
-    gbt = trees.cross_validated(trees.boosted(settings), grids.gbt, settings).fit(train).bestModel
+
+    def best(regressor, grid) -> PipelineModel:
+        return trees.cross_validated(regressor, grid, settings, fold_column).fit(train).bestModel
+
+    rf, gbt = best(trees.forest(settings), grids.rf), best(trees.boosted(settings), grids.gbt)
     report = evaluation_report(
         holdout_scores(rf, gbt, holdout),
         trees.LABEL,
@@ -54,14 +63,47 @@ def fit_and_report(
     return Fitted(rf, gbt, report)
 
 
-def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None = None) -> Fitted:
-    """The same on the two parts of a seeded random split.
+def model_rows(trusted: DataFrame, settings: Settings) -> DataFrame:
+    """Labelled rows with their part and fold, written once for all fits.
 
-    ``trusted`` is read from files, as the split needs a fixed partitioning.
+    Part and fold follow from the content of a row, so equal rows are in one part, and
+    neither the partitioning nor a lost task changes them. Rows that lack the label or a
+    feature raise, with their number, or are left out, by ``settings.missing``.
+    ``settings.fit_rows`` bounds the training part by a share of it that the content of a
+    row decides too.
     """
-    rows = trees.labelled(trusted, settings)
-    train, holdout = random_parts(rows, settings.train_share, settings.seed)
-    return fit_and_report(train, holdout, settings, run_time)
+    wanted = [settings.label, *settings.features]
+    complete = reduce(Column.__and__, (F.col(c).isNotNull() for c in wanted))
+    lacking = trusted.agg(F.count_if(~complete)).first()[0]
+    if lacking and settings.missing != "leave_out":
+        raise ValueError(f"{lacking} rows lack the label or a feature; missing='leave_out' drops them")
+    content = F.xxhash64(*trusted.columns)
+    rows = trees.labelled(
+        trusted.where(complete).withColumns(
+            {
+                "in_training": hashed_in_training(content, settings.train_share, settings.seed),
+                "fold": F.pmod(F.xxhash64(content, F.lit(settings.seed + 1)), F.lit(settings.grids.folds)).cast("int"),
+                "draw": F.pmod(F.xxhash64(content, F.lit(settings.seed + 2)), F.lit(1_000_000)),
+            }
+        ),
+        settings,
+        "in_training",
+        "fold",
+        "draw",
+    )
+    rows = stage(rows, "model-rows")
+    if settings.fit_rows is not None:
+        n = rows.where("in_training").count()
+        share = int(1_000_000 * min(1.0, settings.fit_rows / max(n, 1)))
+        rows = rows.where(~F.col("in_training") | (F.col("draw") < share))
+    return rows.drop("draw")
+
+
+def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None = None) -> Fitted:
+    """The same on the two parts of a stable split, with folds that are as stable."""
+    rows = model_rows(trusted, settings)
+    train, holdout = rows.where("in_training"), rows.where("not in_training")
+    return fit_and_report(train, holdout, settings, run_time, fold_column="fold")
 
 
 def write_forecast(

@@ -38,6 +38,15 @@ INCIDENTS = struct(
     id=TEXT, city=TEXT, reported_incidents=WHOLE, date=DATE, congestion_level_num=WHOLE
 )
 
+# Which state of which raw file a landed row comes from.
+FILE_VERSION = struct(source_file=TEXT, source_time=TIME)
+
+
+def landed(rows: T.StructType) -> T.StructType:
+    """Landed rows: typed, with their source, and stored by month."""
+    return T.StructType([*rows.fields, *FILE_VERSION.fields, T.StructField("month", DATE)])
+
+
 TRUSTED = struct(
     date=DATE,
     id=TEXT,

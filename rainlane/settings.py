@@ -10,7 +10,10 @@ from rainlane.fixed_values import LEVEL_CODES, LEVEL_DEFAULT
 
 @dataclass(frozen=True)
 class TreeGrids:
-    """Cross-validation grids; the defaults are the full 27 and 12 settings."""
+    """Cross-validation grids; the defaults are the full 27 and 12 settings.
+
+    The default values are fixed: the reports are made for these searches.
+    """
 
     rf: Mapping[str, tuple] = field(
         default_factory=lambda: {
@@ -41,6 +44,10 @@ class Settings:
     grids: TreeGrids = field(default_factory=TreeGrids)
     train_share: float = 0.7
     seed: int = 42
+    # Rows without a label or a feature: "raise", or "leave_out" and report how many.
+    missing: str = "raise"
+    # At most about so many labelled rows are fitted on; None takes all.
+    fit_rows: int | None = None
     # Upper limit of raw files per micro-batch; None takes all that have arrived.
     files_per_batch: int | None = None
     # The weather side is broadcast only when its measured size is below this.
@@ -80,6 +87,18 @@ class Layout:
     def trusted_by_month(self) -> str:
         return self.at("trusted", "joined_by_month")
 
+    @property
+    def trusted_sources(self) -> str:
+        return self.at("trusted", "sources_by_month")
+
+    @property
+    def stage_counts(self) -> str:
+        return self.at("trusted", "stage_counts")
+
+    @property
+    def refined_state(self) -> str:
+        return self.at("refined", "state")
+
     @property
     def global_stats(self) -> str:
         return self.at("refined", "descriptive_stats", "global_stats")

@@ -16,5 +16,13 @@ def land_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def land_extract(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header in every file and no index column; doubled quotes."""
-    rows.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header in every file and no index column; doubled quotes, and texts with
+    the blanks they have at both ends."""
+    (
+        rows.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -8,21 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rainlane.schemas import INCIDENT_EXTRACT
+from rainlane.sources.raw_files import STREAM_OPTIONS, checked, with_corrupt
 
 # A header that differs from the schema raises instead of shifting columns;
-# quotes inside a field are doubled.
-CSV_OPTIONS = {"header": True, "enforceSchema": False, "escape": '"'}
+# quotes inside a field are doubled. Whole lines are parsed, so that a line with a field
+# too few or too many is found out whichever columns are wanted.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "escape": '"', "columnPruning": False}
 
 
 def read_extract(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType = INCIDENT_EXTRACT,
     multiline: bool = False,
+    corrupt: str = "raise",
+    sources: bool = False,
 ) -> DataFrame:
     """CSV files under a path or glob; an empty field is NULL. ``multiline`` reads
-    fields with line breaks, at the price of one task per file."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multiline).csv(path)
+    fields with line breaks, at the price of one task per file. A line with a field too
+    few or too many raises, or is kept as such."""
+    reader = spark.read.schema(with_corrupt(schema)).options(**CSV_OPTIONS)
+    return checked(reader.option("multiLine", multiline).csv(path), schema, corrupt, sources)
 
 
 def stream_extract(
@@ -30,11 +36,13 @@ def stream_extract(
     path: str,
     schema: T.StructType = INCIDENT_EXTRACT,
     files_per_batch: int | None = None,
+    sources: bool = False,
 ) -> DataFrame:
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    """Lines of the files as they arrive below ``path``, which need not be there yet."""
+    reader = spark.readStream.schema(with_corrupt(schema)).options(**CSV_OPTIONS, **STREAM_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(path)
+    return checked(reader.csv(f"{path}/*"), schema, "raise", sources)
 
 
 def read_relational_table(

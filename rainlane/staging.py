@@ -5,9 +5,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders made since each enclosing ``own_folders`` began.
+_made: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder, as named by ``spark.checkpoint.dir``.
@@ -29,7 +34,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/rainlane/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/rainlane/{name}-{uuid.uuid4().hex}"
+    for folders in _made:
+        folders.append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -37,3 +45,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def own_folders(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders that were made within the block at its end. For plans that
+    write their results elsewhere; frames over staged tables don't outlive the block."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            remove(spark, path)

@@ -1,26 +1,40 @@
-"""Arrival-driven ingest: each new raw file is read exactly once."""
+"""Arrival-driven ingest: each version of a raw file is read exactly once."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rainlane.operators.unpack import unpack_days
 from rainlane.plans.trusted import typed_incidents
+from rainlane.schemas import FILE_VERSION, INCIDENTS, WEATHER_DAYS, landed
 from rainlane.settings import Layout, Settings
-from rainlane.sources.documents import stream_weather_documents
-from rainlane.sources.extracts import stream_extract
+from rainlane.sources.documents import read_weather_documents, stream_weather_documents
+from rainlane.sources.extracts import read_extract, stream_extract
+from rainlane.sources.raw_files import file_versions
+
+LANDED = {"incidents": landed(INCIDENTS), "weather": landed(WEATHER_DAYS)}
+VERSION = FILE_VERSION.fieldNames()
+
+
+def month_of() -> Column:
+    return F.trunc("date", "month")
 
 
 def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has arrived to a parquet table and stop.
+    """Append what has arrived to a parquet table stored by month, and stop.
 
     The checkpoint remembers the files already read, and the sink's own log
     makes a repeated batch count once.
     """
     return (
-        rows.writeStream.format("parquet")
+        rows.withColumn("month", month_of())
+        .writeStream.format("parquet")
         .outputMode("append")
+        .partitionBy("month")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -30,7 +44,7 @@ def land_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 def ingest_incidents(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
     extract = stream_extract(
-        spark, layout.raw_incidents, files_per_batch=settings.files_per_batch
+        spark, layout.raw_incidents, files_per_batch=settings.files_per_batch, sources=True
     )
     return land_stream(
         typed_incidents(extract, settings), layout.landed_incidents, layout.checkpoint("incidents")
@@ -38,5 +52,70 @@ def ingest_incidents(spark: SparkSession, layout: Layout, settings: Settings) ->
 
 
 def ingest_weather(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
-    docs = stream_weather_documents(spark, layout.raw_weather, settings.files_per_batch)
-    return land_stream(unpack_days(docs), layout.landed_weather, layout.checkpoint("weather"))
+    docs = stream_weather_documents(
+        spark, layout.raw_weather, settings.files_per_batch, sources=True
+    )
+    return land_stream(
+        unpack_days(docs, VERSION), layout.landed_weather, layout.checkpoint("weather")
+    )
+
+
+def read_raw(
+    spark: SparkSession, layout: Layout, side: str, settings: Settings, paths: list[str]
+) -> DataFrame:
+    """Rows of given raw files, as the streams land them."""
+    if side == "incidents":
+        return typed_incidents(read_extract(spark, paths, sources=True), settings)
+    return unpack_days(read_weather_documents(spark, paths, sources=True), VERSION)
+
+
+def raw_path(layout: Layout, side: str) -> str:
+    return layout.raw_incidents if side == "incidents" else layout.raw_weather
+
+
+def landed_paths(layout: Layout, side: str) -> list[str]:
+    """Where the stream lands rows, and where rows of rewritten files are added."""
+    first = layout.landed_incidents if side == "incidents" else layout.landed_weather
+    return [first, f"{first}_rewritten"]
+
+
+def landed_rows(spark: SparkSession, layout: Layout, side: str) -> DataFrame:
+    """All rows landed of one side, those of former versions of files included. A side
+    from which nothing has come yet is empty."""
+    parts = [
+        spark.read.schema(LANDED[side]).parquet(path)
+        for path in landed_paths(layout, side)
+        if not file_versions(spark, path).isEmpty()
+    ]
+    empty = spark.createDataFrame([], LANDED[side])
+    return empty if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def land_rewritten(spark: SparkSession, layout: Layout, settings: Settings) -> None:
+    """Read raw files again that were written anew under a name that was read before.
+
+    A stream takes each name once. The names that changed come to the driver, as the
+    names of all files of a scan do.
+    """
+    for side, schema in LANDED.items():
+        read = landed_rows(spark, layout, side).select(*VERSION).distinct()
+        changed = (
+            file_versions(spark, raw_path(layout, side))
+            .join(read.select("source_file").distinct(), "source_file", "left_semi")
+            .join(read, VERSION, "left_anti")
+        )
+        paths = [unquote(r.source_file) for r in changed.collect()]
+        if paths:
+            (
+                read_raw(spark, layout, side, settings, paths)
+                .withColumn("month", month_of())
+                .select(*schema.fieldNames())
+                .write.mode("append")
+                .partitionBy("month")
+                .parquet(landed_paths(layout, side)[1])
+            )
+
+
+def live_rows(spark: SparkSession, layout: Layout, side: str, rows: DataFrame) -> DataFrame:
+    """``rows`` whose file is still there as it was when they were read."""
+    return rows.join(file_versions(spark, raw_path(layout, side)), VERSION, "left_semi")

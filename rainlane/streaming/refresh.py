@@ -1,110 +1,129 @@
-"""Keeps the trusted table up with arrivals by redoing only the months they touch."""
+"""Keeps the trusted table up with the raw zone by redoing only the months that changed."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from rainlane.plans.trusted import join_typed
-from rainlane.schemas import INCIDENTS, TRUSTED, WEATHER_DAYS
+from rainlane.schemas import DATE, FILE_VERSION, LONG, TEXT, TRUSTED, struct
 from rainlane.settings import Layout, Settings
+from rainlane.sources.raw_files import file_versions
 from rainlane.sources.tables import read_table
-from rainlane.staging import stage
-from rainlane.streaming.arrivals import ingest_incidents, ingest_weather
-
-LANDED = {"incidents": INCIDENTS, "weather": WEATHER_DAYS}
+from rainlane.staging import remove
+from rainlane.streaming.arrivals import (
+    LANDED,
+    VERSION,
+    ingest_incidents,
+    ingest_weather,
+    land_rewritten,
+    landed_rows,
+    live_rows,
+    month_of,
+)
+
+MANIFEST = struct(side=TEXT, **{f.name: f.dataType for f in FILE_VERSION.fields}, month=DATE)
+STATE = struct(n=LONG, mark=LONG)
+
+
+def _table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A table of this module, or an empty one where it isn't written yet."""
+    if file_versions(spark, path).isEmpty():
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+
+
+def _sources(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The files that each month has rows from, as the raw zone is now."""
+    sides = [
+        live_rows(spark, layout, side, landed_rows(spark, layout, side).where("month is not null").select(*VERSION, "month").distinct())
+        .select(F.lit(side).alias("side"), *VERSION, "month")
+        for side in LANDED
+    ]
+    return reduce(DataFrame.unionByName, sides)
+
+
+def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> list[date]:
+    """Redo the months whose sources aren't those they were last built from; these months.
+
+    A manifest says what each month was built from, and is written after the month. So a
+    rerun of an export, a rewritten or a deleted file, and a late one redo their months, a
+    run that failed is made up for by the next one, and a repeated run does nothing. A
+    month is built from all its live rows and replaces its old files; no other month is
+    read.
+    """
+    now = _sources(spark, layout)
+    was = _table(spark, layout.trusted_sources, MANIFEST)
+    keys = MANIFEST.fieldNames()
+    changed = now.join(was, keys, "left_anti").unionByName(was.join(now, keys, "left_anti"))
+    months = sorted(r.month for r in changed.select("month").distinct().collect())
+    if not months:
+        return months
+
+    def of_months(side: str) -> DataFrame:
+        rows = landed_rows(spark, layout, side).where(F.col("month").isin(months))
+        return live_rows(spark, layout, side, rows).drop(*VERSION, "month")
+
+    rows = join_typed(of_months("weather"), of_months("incidents"), settings)
+    seen = Observation("months")
+    # Rebalancing gathers a month into few files and splits a month that is too large.
+    rows = rows.withColumn("month", month_of()).observe(seen, F.collect_set("month").alias("months"))
+    _replace_months(rows.hint("rebalance", "month"), layout.trusted_by_month)
+    for month in set(months) - set(seen.get.get("months") or []):
+        remove(spark, f"{layout.trusted_by_month}/month={month}")
+    _replace_months(now.where(F.col("month").isin(months)), layout.trusted_sources)
+    left = {r.month for r in now.select("month").distinct().collect()}
+    for month in set(months) - left:
+        remove(spark, f"{layout.trusted_sources}/month={month}")
+    return months
+
+
+def _replace_months(rows: DataFrame, path: str) -> None:
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(path)
+    )
 
 
-def landed_path(layout: Layout, side: str) -> str:
-    return layout.landed_incidents if side == "incidents" else layout.landed_weather
+def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> list[date]:
+    """Land all arrivals and refresh the trusted table; the months that were redone."""
+    for step in (ingest_incidents, ingest_weather):
+        step(spark, layout, settings).awaitTermination()
+    land_rewritten(spark, layout, settings)
+    return refresh_trusted(spark, layout, settings)
 
 
-def on_landed_days(
-    spark: SparkSession, layout: Layout, name: str, action: Callable[[DataFrame], None]
-) -> StreamingQuery:
-    """Call ``action`` with the days of all rows landed since its last success.
+def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
+    """The trusted table with everything that has arrived."""
+    take_in(spark, layout, settings)
+    return trusted_by_month(spark, layout)
 
-    The checkpoint ``name`` moves on only after the action; one that failed is
-    called again by the next run. Nothing landed, no call.
-    """
 
-    def act(days: DataFrame, _batch: int) -> None:
-        if not days.isEmpty():
-            action(days)
-
-    sides = []
-    for side, schema in LANDED.items():
-        path = landed_path(layout, side)
-        # A side from which nothing has come yet is an empty table.
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
-        sides.append(spark.readStream.schema(schema).parquet(path).select("date"))
-    return (
-        sides[0]
-        .unionByName(sides[1])
-        .writeStream.foreachBatch(act)
-        .option("checkpointLocation", layout.checkpoint(name))
-        .trigger(availableNow=True)
-        .start()
-    )
+def trusted_by_month(spark: SparkSession, layout: Layout) -> DataFrame:
+    if file_versions(spark, layout.trusted_by_month).isEmpty():
+        return spark.createDataFrame([], TRUSTED)
+    return read_table(spark, layout.trusted_by_month, TRUSTED)
 
 
-def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> StreamingQuery:
-    """Redo the months of all days that were landed since the last refresh.
+def trusted_state(spark: SparkSession, layout: Layout) -> tuple[int, int]:
+    """Number and a checksum of the sources that the trusted table was built from."""
+    row = _table(spark, layout.trusted_sources, MANIFEST).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.bit_xor(F.xxhash64(*MANIFEST.fieldNames())), F.lit(0)).alias("mark"),
+    ).first()
+    return row.n, row.mark
 
-    A month is rebuilt from everything landed so far and replaces its old
-    files, so a repeated batch gives the same table. Rows landed after the
-    rebuild belong to a later batch that rebuilds the month again.
-    """
 
-    def rebuild(arrived: DataFrame) -> None:
-        session = arrived.sparkSession
-        months = arrived.where(F.col("date").isNotNull()).select(month_of().alias("month"))
-        months = stage(months.distinct(), "arrived-months")
-        first, last = months.agg(F.min("month"), F.max(F.last_day("month"))).first()
-        if first is None:
-            return
-
-        def of_arrived_months(side: str) -> DataFrame:
-            rows = read_table(session, landed_path(layout, side), LANDED[side])
-            return (
-                rows.where(F.col("date").between(first, last))
-                .withColumn("month", month_of())
-                .join(months, "month", "left_semi")
-                .drop("month")
-            )
-
-        rows = join_typed(
-            of_arrived_months("weather"),
-            of_arrived_months("incidents"),
-            settings,
-        )
-        # Rebalancing gathers a month into few files and splits a month that is too large.
-        (
-            rows.withColumn("month", month_of())
-            .hint("rebalance", "month")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("month")
-            .parquet(layout.trusted_by_month)
-        )
-
-    return on_landed_days(spark, layout, "trusted", rebuild)
-
-
-def month_of():
-    return F.trunc("date", "month")
-
-
-def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> None:
-    """Land all arrivals and refresh the trusted table."""
-    for step in (ingest_incidents, ingest_weather, refresh_trusted):
-        step(spark, layout, settings).awaitTermination()
+def refined_state(spark: SparkSession, layout: Layout) -> tuple[int, int]:
+    """The state that the refined tables were last made from; nothing yet is (0, 0)."""
+    row = _table(spark, layout.refined_state, STATE).first()
+    return (row.n, row.mark) if row else (0, 0)
 
 
-def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
-    """The trusted table with everything that has arrived."""
-    take_in(spark, layout, settings)
-    return read_table(spark, layout.trusted_by_month, TRUSTED)
+def note_refined(spark: SparkSession, layout: Layout, state: tuple[int, int]) -> None:
+    spark.createDataFrame([state], STATE).write.mode("overwrite").parquet(layout.refined_state)

@@ -1,3 +1,5 @@
+import os
+import re
 from collections import Counter
 from datetime import date, timedelta
 
@@ -12,7 +14,8 @@ from rainlane.settings import Layout, Settings
 from rainlane.sinks.raw import land_documents, land_extract
 from rainlane.sources.documents import read_weather_documents
 from rainlane.sources.extracts import read_extract
-from rainlane.streaming.arrivals import ingest_incidents, ingest_weather
+from rainlane.streaming.arrivals import ingest_incidents, ingest_weather, landed_rows
+from rainlane.staging import remove
 from rainlane.streaming.refresh import catch_up, refresh_trusted
 
 SETTINGS = Settings()
@@ -87,7 +90,7 @@ def test_refresh_leaves_other_months_alone(spark, tmp_path):
     assert catch_up(spark, layout, SETTINGS).count() == 3
     assert files("2022-01-01") == january
     assert files("2022-02-01") != february
-    refresh_trusted(spark, layout, SETTINGS).awaitTermination()
+    assert refresh_trusted(spark, layout, SETTINGS) == []
     assert files("2022-01-01") == january
 
 
@@ -96,16 +99,14 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     arrive_incidents(spark, layout, 0, 1)
     arrive_weather(spark, layout, 0, 1)
     before = rows_of(catch_up(spark, layout, SETTINGS))
-    # The refresh loses its place, as after a failure before the batch was noted.
-    again = Layout(str(tmp_path))
-    object.__setattr__(again, "checkpoint", lambda name: str(tmp_path / "checkpoints" / "lost"))
-    refresh_trusted(spark, again, SETTINGS).awaitTermination()
+    # The refresh failed before it noted what the month was built from.
+    remove(spark, layout.trusted_sources)
+    assert refresh_trusted(spark, layout, SETTINGS) == [date(2022, 1, 1)]
     assert rows_of(spark.read.schema(TRUSTED).parquet(layout.trusted_by_month)) == before
 
 
 def test_one_side_may_come_first(spark, tmp_path):
     layout = Layout(str(tmp_path))
-    (tmp_path / "raw" / "api").mkdir(parents=True)
     arrive_incidents(spark, layout, 0)
     assert catch_up(spark, layout, SETTINGS).count() == 0
     arrive_weather(spark, layout, 0)
@@ -125,8 +126,6 @@ def test_rows_without_a_date_are_landed_but_not_trusted(spark, tmp_path):
 
 def test_nothing_has_arrived_yet(spark, tmp_path):
     layout = Layout(str(tmp_path))
-    for zone in ("api", "mysql"):
-        (tmp_path / "raw" / zone).mkdir(parents=True)
     assert not daily.run_on_arrival(spark, layout)
 
 
@@ -148,3 +147,91 @@ def test_a_failed_run_is_taken_up_again(spark, tmp_path, monkeypatch):
     arrive_incidents(spark, layout, 0)
     assert daily.run_on_arrival(spark, layout)
     assert refined == [1, 2]
+
+
+def whole_export(spark, layout, *numbers):
+    rows = [(f"{d}", "M", str(n), "Bajo", (START + timedelta(days=d)).isoformat()) for d, n in enumerate(numbers)]
+    land_extract(spark.createDataFrame(rows, INCIDENT_EXTRACT).coalesce(1), layout.raw_incidents)
+
+
+def test_a_repeated_export_replaces_the_former_one(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_weather(spark, layout, 0, 1, 40)
+    whole_export(spark, layout, 5, 6)
+    assert catch_up(spark, layout, SETTINGS).count() == 2
+    whole_export(spark, layout, 7, 6)
+    again = catch_up(spark, layout, SETTINGS)
+    assert rows_of(again) == full_rebuild(spark, layout)
+    assert sorted(r.reported_incidents for r in again.collect()) == [6, 7]
+
+
+def test_a_rewritten_file_replaces_its_rows(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_weather(spark, layout, 0, 1, 2, 40)
+    folder = tmp_path / "raw" / "mysql"
+    folder.mkdir(parents=True)
+    head = "id,city,reported_incidents,congestion_level,incident_date\n"
+    day = [(START + timedelta(days=d)).isoformat() for d in range(60)]
+    (folder / "year.csv").write_text(f"{head}1,M,5,Bajo,{day[0]}\n2,M,6,Bajo,{day[40]}\n")
+    assert catch_up(spark, layout, SETTINGS).count() == 2
+    for n in (8, 9):
+        (folder / "year.csv").write_text(f"{head}1,M,{n},Bajo,{day[0]}\n3,M,{n},Bajo,{day[1]}\n")
+        got = catch_up(spark, layout, SETTINGS)
+        assert rows_of(got) == full_rebuild(spark, layout)
+        assert [r.reported_incidents for r in got.collect()] == [n, n]
+        os.utime(folder / "year.csv", (n * 1e6, n * 1e6))
+    (folder / "year.csv").unlink()
+    assert catch_up(spark, layout, SETTINGS).count() == 0
+
+
+def test_a_back_dated_file_is_read(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0)
+    arrive_weather(spark, layout, 0, 1)
+    assert catch_up(spark, layout, SETTINGS).count() == 1
+    arrive_incidents(spark, layout, 1)
+    newest = max((tmp_path / "raw" / "mysql").glob("part*"), key=lambda p: p.stat().st_mtime_ns)
+    os.utime(newest, (1e9, 1e9))
+    assert catch_up(spark, layout, SETTINGS).count() == 2
+
+
+@pytest.mark.parametrize("line", ["4,M,5,Bajo", "4,M,5,Bajo,2022-01-01,more"])
+def test_a_line_with_other_fields_raises(spark, tmp_path, line):
+    layout = Layout(str(tmp_path))
+    (tmp_path / "raw" / "mysql").mkdir(parents=True)
+    head = "id,city,reported_incidents,congestion_level,incident_date\n"
+    (tmp_path / "raw" / "mysql" / "a.csv").write_text(f"{head}1,M,5,Bajo,2022-01-01\n{line}\n")
+    kept = read_extract(spark, layout.raw_incidents, corrupt="keep")
+    assert [r._corrupt_record for r in kept.collect()] == [None, line]
+    with pytest.raises(Exception, match="corrupt input"):
+        read_extract(spark, layout.raw_incidents).select("id").collect()
+    with pytest.raises(Exception, match="corrupt input"):
+        catch_up(spark, layout, SETTINGS)
+
+
+def test_a_cut_off_document_raises(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_weather(spark, layout, 0)
+    (tmp_path / "raw" / "api" / "cut.json").write_text('{"daily": {"time": ["2022-01-02"')
+    kept = read_weather_documents(spark, layout.raw_weather, corrupt="keep").collect()
+    assert sum(r._corrupt_record is not None for r in kept) == 1
+    with pytest.raises(Exception, match="corrupt input"):
+        read_weather_documents(spark, layout.raw_weather).count()
+
+
+def test_a_refresh_reads_the_changed_months_only(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0, 40)
+    arrive_weather(spark, layout, 0, 40)
+    catch_up(spark, layout, SETTINGS)
+    rows = landed_rows(spark, layout, "weather").where(F.col("month").isin([date(2022, 2, 1)]))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*month", plan)
+    assert rows.count() == 1
+
+
+def test_texts_keep_their_blanks(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    land_extract(spark.createDataFrame([("  Cali ", " Bajo")], "id string, city string"), path)
+    schema = spark.createDataFrame([], "id string, city string").schema
+    assert read_extract(spark, path, schema).collect() == [("  Cali ", " Bajo")]

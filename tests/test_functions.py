@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from rainlane.functions import casting, draws
+from rainlane.functions import casting
 from rainlane.functions.binning import bin_edges
 from rainlane.functions.correlation import pearson
 from rainlane.functions.encoding import ordinal_code
@@ -128,27 +128,6 @@ def test_pearson_without_variance_is_null(spark):
     assert diagonal == {"a": None, "b": 1.0}
 
 
-def test_draws_do_not_depend_on_the_partitioning(spark):
-    def drawn(parts):
-        rows = spark.range(2000).repartition(parts)
-        return sorted(
-            rows.select(
-                "id",
-                draws.normal(F.col("id"), "t", 7, 28.0, 1.5),
-                draws.uniform(F.col("id"), "p", 7, 0.0, 5.0),
-                draws.whole(F.col("id"), "l", 7, 1, 6),
-            ).collect()
-        )
-
-    one, many = drawn(1), drawn(7)
-    assert one == many
-    normal = pd.Series([r[1] for r in one])
-    assert normal.mean() == pytest.approx(28.0, abs=0.15)
-    assert normal.std() == pytest.approx(1.5, abs=0.1)
-    assert all(0.0 <= r[2] < 5.0 for r in one)
-    assert {r[3] for r in one} == {1, 2, 3, 4, 5, 6}
-
-
 def test_text_of_every_type(spark):
     row = spark.sql(
         "SELECT 1 AS i, CAST(NULL AS STRING) AS s, 1.5D AS d, true AS b, DATE'2022-01-02' AS day, "
@@ -161,5 +140,3 @@ def test_text_of_every_type(spark):
         "ts": "2022-01-02 03:04:05.000", "st": "{w=1, h=null}", "m": "{k=v, n=null}",
         "a": "[1, 2]", "ns": "",
     }
-
-

@@ -133,8 +133,8 @@ def test_trusted_rows(spark, limit):
         (date(2022, 1, 2), "2", "M", 9, 22.0, 3.0, 2),
     ]
     plan = trusted._jdf.queryExecution().executedPlan().toString()
-    assert ("SortMergeJoin" in plan) == ("_slice" in plan) == (limit == 0)
-    assert "BroadcastHashJoin" in plan
+    assert ("SortMergeJoin" in plan) == (limit == 0)
+    assert ("BroadcastHashJoin" in plan) == (limit > 0)
 
 
 def test_join_on_more_than_the_date(spark):
@@ -257,3 +257,32 @@ def test_landing_twice_overwrites(spark, tmp_path):
     for _ in range(2):
         land_extract(extract(spark, ("1", "M", "3", "Alto", "2022-01-01")), path)
     assert read_extract(spark, path).count() == 1
+
+
+@pytest.fixture
+def no_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.mark.usefixtures("no_coalescing")
+@pytest.mark.parametrize("hot", ["facts", "other", "both"])
+def test_a_hot_key_of_either_side_is_cut(spark, hot):
+    n_facts, n_other = {"facts": (4000, 3), "other": (3, 4000), "both": (400, 400)}[hot]
+    facts = spark.range(n_facts).select(F.lit("k").alias("k"), F.col("id").alias("v"))
+    other = spark.range(n_other).select(F.lit("k").alias("k"), F.col("id").alias("w"))
+    joined = sliced_join(facts, other, ["k"], rows_per_task=100)
+    parts = joined.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert sum(r["count"] for r in parts) == n_facts * n_other
+    assert len(parts) > 2
+    assert joined.select("v", "w").distinct().count() == n_facts * n_other
+
+
+@pytest.mark.usefixtures("no_coalescing")
+def test_equal_keys_above_the_target_are_cut_too(spark):
+    facts = spark.range(4000).select((F.col("id") % 4).alias("k"), "id")
+    joined = sliced_join(facts, spark.range(4).select(F.col("id").alias("k")), ["k"], rows_per_task=200)
+    places = joined.select("k", F.spark_partition_id().alias("p"))
+    per_key = places.groupBy("k").agg(F.count_distinct("p").alias("parts")).collect()
+    assert all(r.parts > 1 for r in per_key) and joined.count() == 4000
