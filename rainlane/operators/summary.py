@@ -29,13 +29,14 @@ def global_columns() -> list[Column]:
 
 
 def correlation_columns() -> list[Column]:
-    incidents = F.col("reported_incidents").cast("double")
+    """By the rule of the matrix: missing and NaN values are left out, results clipped."""
+    incidents = known("reported_incidents")
     others = {
         "temp_corr": "max_temp",
         "precip_corr": "precipitation",
         "congestion_corr": "congestion_level_num",
     }
-    return [pearson(incidents, F.col(c).cast("double")).alias(a) for a, c in others.items()]
+    return [clipped(pearson(incidents, known(c))).alias(a) for a, c in others.items()]
 
 
 def global_stats(trusted: DataFrame) -> DataFrame:

@@ -26,29 +26,34 @@ def unpack_days(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return rows.select(lenient_date("time").alias("date"), "max_temp", "precipitation", *carry)
 
 
-def pack_documents(days: DataFrame, per: str = "year", place: dict | None = None) -> DataFrame:
-    """Documents of parallel arrays, one per calendar year (or quarter, month, week).
+def pack_documents(
+    days: DataFrame, per: str = "year", place: dict | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """Documents of parallel arrays, one per calendar year (or quarter, month, week) and
+    place. ``place`` names the one place of all rows, ``by`` the columns that tell places
+    apart, such as latitude and longitude, and give them to the document.
 
-    A date that occurs twice raises, so a document holds at most 366 values.
+    A date that occurs twice in a place raises, so a document holds at most 366 values.
     """
-    place = place or {}
+    place, by = place or {}, list(by)
     single = F.col("_n") == 1
     repeated = F.raise_error(F.concat(F.lit("more than one row for "), F.col("date").cast("string")))
     series = (
-        days.groupBy("date")
+        days.groupBy(*by, "date")
         .agg(
             F.count(F.lit(1)).alias("_n"),
             F.any_value("max_temp").alias("max_temp"),
             F.any_value("precipitation").alias("precipitation"),
         )
-        .withColumn("max_temp", F.when(single, F.col("max_temp")).otherwise(repeated.cast("double")))
-        .groupBy(F.trunc("date", per).alias("_doc"))
+        .withColumn("date", F.when(single, F.col("date")).otherwise(repeated.cast("date")))
+        .groupBy(*by, F.trunc("date", per).alias("_doc"))
         .agg(F.array_sort(F.collect_list(F.struct("date", "max_temp", "precipitation"))).alias("_s"))
     )
     iso = F.transform("_s", lambda e: F.date_format(e["date"], "yyyy-MM-dd"))
 
     def scalar(name: str, dtype: str) -> Column:
-        return F.lit(place.get(name)).cast(dtype).alias(name)
+        value = F.col(name) if name in by else F.lit(place.get(name))
+        return value.cast(dtype).alias(name)
 
     return series.select(
         scalar("latitude", "double"),

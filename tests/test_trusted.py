@@ -286,3 +286,14 @@ def test_equal_keys_above_the_target_are_cut_too(spark):
     places = joined.select("k", F.spark_partition_id().alias("p"))
     per_key = places.groupBy("k").agg(F.count_distinct("p").alias("parts")).collect()
     assert all(r.parts > 1 for r in per_key) and joined.count() == 4000
+
+
+def test_documents_of_several_places(spark):
+    rows = [(1.0, 5.0, date(2022, 1, 1), 20.0, 0.0), (2.0, 5.0, date(2022, 1, 1), 21.0, 1.0), (2.0, 5.0, date(2022, 1, 2), 22.0, 2.0)]
+    days = spark.createDataFrame(rows, "latitude double, longitude double, date date, max_temp double, precipitation double")
+    docs = pack_documents(days, by=("latitude", "longitude")).collect()
+    assert sorted((d.latitude, d.longitude, list(d.daily.temperature_2m_max)) for d in docs) == [
+        (1.0, 5.0, [20.0]), (2.0, 5.0, [21.0, 22.0])
+    ]
+    with pytest.raises(Exception, match="more than one row"):
+        pack_documents(days).select("daily.time").collect()
