@@ -6,7 +6,7 @@ share a shingle of both prefixes, so only prefixes are shuffled, by shingle. Doc
 equal sets are one node from the start.
 
 Links are wanted for the groups they make, so a list of documents that share a prefix
-shingle is not expanded into pairs. Each document is paired with the first of the list;
+shingle is not expanded into pairs. Each document is paired with a central one of the list;
 what these pairs connect is found out, and only pairs of documents of a list that are not
 connected by then are looked at one by one, under the length and positional filters. Pairs
 are made distinct, pass the suffix filter, and are verified once, on the whole sets.
@@ -234,11 +234,14 @@ def similar_groups(
     sized = nodes.select("node", "n", "sketch")
 
     check = partial(verify, nodes=firsts, docs=docs, width=width, percent=percent)
-    lists = postings.groupBy("token").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("long"))
+    # The document with the fewest rarer shingles before this one is the nearest to what a
+    # list has in common, so the others are paired with it.
+    first = F.min(F.struct("at", "node"))["node"]
+    lists = postings.groupBy("token").agg(first.alias("a"), F.count(F.lit(1)).alias("long"))
     first_pairs = (
         postings.join(lists.where("long > 1"), "token")
         .where("a <> node")
-        .select("a", F.col("node").alias("b"))
+        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
     first_pairs = _with_sizes(stage(first_pairs, "join-pairs"), sized)
