@@ -554,6 +554,18 @@ def eval_report(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, "rmse", "mae").drop("evaluation_timestamp")
 
 
+@query
+def report_time(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows of a report have one time, the same for all."""
+    rows = metrics.evaluation_report(fixed_predictions(spark, folder), trees.LABEL, PREDICTIONS)
+    time = F.col("evaluation_timestamp")
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(time).alias("n_times"),
+        F.count_if(time.isNull()).alias("n_missing"),
+    )
+
+
 @query
 def scenario_spine(spark: SparkSession, folder: str) -> DataFrame:
     """A scenario row per customer, spread over sixty days."""
