@@ -47,6 +47,11 @@ class LineIndex:
     same identifier are one document. A null text is one empty line. Each change is
     written as a new version next to the last, so a change that fails leaves the index
     as it was.
+
+    ``shards`` is fixed for an index. The frequent keys of one shard, and the filter over
+    them, are one task's work, so there should be a shard for every million or so. Above
+    ``filter_bytes`` for all filters together they are not broadcast, and all postings go to
+    the join with the counts; the result is the same.
     """
 
     def __init__(
