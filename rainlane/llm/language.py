@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,14 @@ def gram_codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.diff(cuts, prepend=0)
 
 
+def gram_ids(ids: dict[int, int], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``gram_codes`` as the numbers that ``ids`` has for them; new codes get the next ones."""
+    codes, counts = gram_codes(words)
+    found, back = np.unique(codes, return_inverse=True)
+    numbers = [ids.setdefault(code, len(ids)) for code in found.tolist()]
+    return np.array(numbers, np.int64)[back], counts
+
+
 class GramIds:
     """N-gram codes as small numbers, which a task hands out as it meets them."""
 
@@ -61,13 +70,9 @@ class GramIds:
 
     def restart(self) -> None:
         self.ids: dict[int, int] = {}
-        self.words = WordCache(self._encode, most_words=200_000)
-
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        codes, counts = gram_codes(words)
-        found, back = np.unique(codes, return_inverse=True)
-        ids = [self.ids.setdefault(c, len(self.ids)) for c in found.tolist()]
-        return np.array(ids, np.int64)[back], counts
+        # The cache must not refer back to this object, or both would outlive their task
+        # until the garbage collector comes to them.
+        self.words = WordCache(partial(gram_ids, self.ids), most_words=150_000)
 
     def counts(self, texts: list[str]) -> Iterator[np.ndarray]:
         """How often each n-gram occurs in each text, by number. Memory is bounded by a

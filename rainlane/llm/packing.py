@@ -97,7 +97,8 @@ class CachedTokenizer:
 
 @lru_cache(maxsize=1)
 def tokenizer_at(path: str) -> CachedTokenizer:
-    """The tokenizer of a worker process, which later tasks of it use again."""
+    """The tokenizer of a worker process, which later tasks of it use again. Its cache of
+    words refers to it, so one per task would pile up until the garbage collector comes."""
     return CachedTokenizer(path)
 
 
@@ -220,6 +221,8 @@ def pack(
             close(pieces)
         if out:
             yield flush()
+        # The worker keeps the tokenizer, but not the words of this task.
+        tokenizer.words.restart()
 
     own = docs.select(F.col(id_column).cast(id_type).alias("id"), F.col(text_column).alias("text"))
     return own.mapInArrow(packed, schema)

@@ -24,9 +24,10 @@ class WordCache(dict):
     ):
         super().__init__()
         self.encode, self.most_words, self.most_chars = encode, most_words, most_chars
-        self._restart()
+        self.restart()
 
-    def _restart(self) -> None:
+    def restart(self) -> None:
+        """Forget all words, and free what they took."""
         self.clear()
         self.new: list[str] = []
         self.chars = 0
@@ -54,4 +55,4 @@ class WordCache(dict):
 
     def end_batch(self) -> None:
         if len(self) > self.most_words or self.chars > self.most_chars:
-            self._restart()
+            self.restart()
