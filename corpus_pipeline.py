@@ -22,13 +22,16 @@ LEAST_SCORE = 0.2
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents themselves name. Those without
-    a letter and those far from every profile go. Where no language is named, all stay."""
+    a letter and those far from every profile go; those without a label get the language
+    found. Where no language is named, all stay."""
     profiles = language.learn_profiles(docs)
     if not profiles.languages:
         return docs
     found = language.identify(docs, profiles)
     near = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return found.where(near).select("row.*")
+    label = F.coalesce("lang", "lang_pred").alias("lang")
+    kept = found.where(near).select("row.*", "lang_pred")
+    return kept.select(*[label if name == "lang" else name for name in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OTHER = "other"
-MOST_ROUNDS, CLOSE = 1000, 1e-9
+MOST_ROUNDS, CLOSE, MET = 1000, 1e-9, 1e-6
 
 
 def n_words(text_column: str = "text") -> Column:
@@ -90,19 +90,53 @@ def rake(totals: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     return weights
 
 
+def wanted_shares(own: Mapping[str, float], names: list[str], counted: np.ndarray) -> np.ndarray:
+    """Shares of ``names`` and, last, of all other values: the share that ``own`` gives
+    ``OTHER``, or what the named ones leave of 1, or, where they leave nothing, the counted
+    one. In that case the named ones share the rest as ``own`` says."""
+    named = np.array([own[name] for name in names], np.float64)
+    rest = own.get(OTHER, 1 - named.sum())
+    if OTHER not in own and rest < CLOSE:
+        rest = counted[-1] / max(counted.sum(), 1)
+        named = named / named.sum() * (1 - rest)
+    return np.array([*named, rest])
+
+
+def meet(totals: np.ndarray, shares: list[np.ndarray]) -> np.ndarray:
+    """``rake`` to ``shares``, or, where these can't be met together, to the shares nearest
+    to them, in steps of a quarter towards the counted ones, that can. The counted ones
+    always can, so no cell is driven to 0 but by a share of 0."""
+    axes = range(totals.ndim)
+
+    def margins(weights: np.ndarray) -> list[np.ndarray]:
+        return [weights.sum(axis=tuple(a for a in axes if a != axis)) / max(weights.sum(), 1e-300) for axis in axes]
+
+    weights = totals.astype(np.float64)
+    for axis, share in zip(axes, shares):
+        weights = weights * (share > 0).reshape([-1 if a == axis else 1 for a in axes])
+    counted = margins(weights)
+    wanted = [np.where(have > 0, share, 0.0) for have, share in zip(counted, shares)]
+    for part in (0, 0.25, 0.5, 0.75, 1):
+        goals = [(1 - part) * w / max(w.sum(), 1e-300) + part * c for w, c in zip(wanted, counted)]
+        found = rake(weights, goals)
+        if all(np.abs(now - goal).max() < MET for now, goal in zip(margins(found), goals)):
+            break
+    return found
+
+
 def calibrate(
     docs: DataFrame, tokens: Column, margins: Mapping[str, Column], targets: Mapping[str, Mapping[str, float]]
 ) -> DataFrame:
     """Columns row (all columns of ``docs``), tokens, probability and one for each margin.
 
     ``targets`` has the wanted share of tokens for each named value of a margin; what is
-    left of 1 goes to all other values together, null among them. So there are no more
+    left of 1 goes to all other values together, null among them. Where nothing is left, they
+    keep the share they have; only a share of 0 given to ``OTHER`` drops them. So there are no more
     cells than the targets name, whatever the data, and only their totals come to the
     driver. The cell that is raised most is kept whole, others in proportion. An empty
     table gives no rows.
     """
-    values = {name: [*own, OTHER] for name, own in targets.items()}
-    shares = [np.array([*own.values(), max(0.0, 1 - sum(own.values()))]) for own in targets.values()]
+    values = {name: [*(v for v in own if v != OTHER), OTHER] for name, own in targets.items()}
 
     def cell_value(name: str) -> Column:
         value = margins[name].cast("string")
@@ -117,7 +151,11 @@ def calibrate(
     totals = np.zeros([len(own) for own in values.values()])
     for cell in cells:
         totals[tuple(own.index(cell[name]) for name, own in values.items())] = cell.total
-    raised = np.divide(rake(totals, shares), totals, out=np.zeros_like(totals), where=totals > 0)
+    shares = []
+    for axis, (name, own) in enumerate(targets.items()):
+        counted = totals.sum(axis=tuple(a for a in range(totals.ndim) if a != axis))
+        shares.append(wanted_shares(own, values[name][:-1], counted))
+    raised = np.divide(meet(totals, shares), totals, out=np.zeros_like(totals), where=totals > 0)
     if raised.max() > 0:
         raised = raised / raised.max()
     table = F.array(*[F.lit(float(x)) for x in raised.ravel()])

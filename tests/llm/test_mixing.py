@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from rainlane.llm.mixing import calibrate, keyword_topic, mix, n_words, rake, text_margins
+from rainlane.llm.mixing import calibrate, keyword_topic, meet, mix, n_words, rake, text_margins
+from rainlane.llm.queries import TARGETS as REGISTERED
 
 SCHEMA = "doc_id long, text string, lang string, source string, tokens string, kept string"
 TARGETS = {"source": {"a": 0.5, "b": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"topic0": 0.5, "topic1": 0.5}}
@@ -68,3 +69,30 @@ def test_topic_is_the_keyword(spark):
     frame = spark.createDataFrame([(t,) for t in texts], "text string")
     topics = [r[0] for r in frame.select(keyword_topic(1000)(F.col("text"))).collect()]
     assert topics[0] == topics[1] != topics[2] == topics[3]
+
+
+def test_unnamed_and_null_languages_can_be_kept(spark):
+    docs = docs_of(spark).withColumn("lang", F.expr("CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'it' ELSE lang END"))
+    whole = mix(docs, n_words(), text_margins(topics=2), TARGETS).select("row.lang", "tokens", "probability", "kept", F.col("lang").alias("cell")).toPandas()
+    for odd in (whole[whole["lang"].isna()], whole[whole["lang"] == "it"]):
+        assert len(odd) == 300 and odd["probability"].min() > 0 and odd["kept"].any()
+    weight = whole["tokens"] * whole["probability"]
+    share = weight.groupby(whole["cell"]).sum() / weight.sum()
+    counted = whole["tokens"][whole["cell"] == "other"].sum() / whole["tokens"].sum()
+    assert abs(share["other"] - counted) < 1e-6
+    assert abs(share["en"] / share["de"] - 0.6 / 0.4) < 1e-6
+    left_out = mix(docs, n_words(), text_margins(topics=2), TARGETS | {"lang": {"en": 0.6, "de": 0.4, "other": 0.0}})
+    assert left_out.where("kept and lang = 'other'").count() == 0
+
+
+def test_registered_targets_keep_unlabelled_documents(spark):
+    docs = docs_of(spark).withColumn("lang", F.expr("CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'it' ELSE 'en' END"))
+    kept = mix(docs, n_words(), text_margins(), REGISTERED).where("kept").select("row.lang").distinct().collect()
+    assert {r.lang for r in kept} == {None, "it", "en"}
+
+
+def test_margins_that_cannot_be_met_drop_no_cell():
+    totals = np.array([[0.0, 5.0], [90.0, 5.0]])  # the first source has the second language only
+    found = meet(totals, [np.array([0.25, 0.75]), np.array([0.9, 0.1])])
+    assert (found[totals > 0] > 1e-3).all()
+    assert (meet(totals, [np.array([0.5, 0.5]), np.array([1.0, 0.0])])[:, 1] == 0).all()

@@ -64,3 +64,13 @@ def test_packing(stages):
 def test_run_on_an_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_unlabelled_documents_get_the_language_found(spark, tables):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    english = docs.where("lang = 'en' AND n_chars > 500").orderBy("doc_id").limit(20).withColumn("doc_id", F.col("doc_id") + 10_000)
+    found = corpus_pipeline.identify_language(spark, docs.unionByName(english.withColumn("lang", F.lit(None))), tables)
+    assert [r.lang for r in found.where("doc_id >= 10000").collect()] == ["en"] * 20
+    fifth = found.withColumn("lang", F.when(F.col("doc_id") < 10_000, F.col("lang")).otherwise("it"))
+    mixed = mix(fifth, n_words(), text_margins(), TARGETS).where("row.doc_id >= 10000")
+    assert mixed.where("probability > 0").count() == 20
