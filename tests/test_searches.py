@@ -1,0 +1,37 @@
+"""What the registered searches search: each is stopped before its fits."""
+
+from types import SimpleNamespace
+
+import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.tuning import CrossValidator
+
+from rainlane.checks.registered import QUERIES
+
+FULL = {"RandomForestRegressor": 27, "GBTRegressor": 12}
+
+
+@pytest.fixture
+def searches(monkeypatch):
+    made = []
+
+    def fit(self, rows):
+        first, regressor = self.getEstimator().getStages()
+        made.append((type(regressor).__name__, len(self.getEstimatorParamMaps()), self.getNumFolds(), self.getFoldCol()))
+        rounds = regressor.maxIter if regressor.hasParam("maxIter") else regressor.numTrees
+        small = Pipeline(stages=[first, regressor.copy({rounds: 1, regressor.maxDepth: 1})])
+        maps = self.getEstimatorParamMaps()
+        return SimpleNamespace(bestModel=small.fit(rows), getEstimatorParamMaps=lambda: maps, avgMetrics=[0.0] * len(maps))
+
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    return made
+
+
+@pytest.mark.parametrize("name", ["rf_cv", "gbt_cv", "rf_cv_levels", "gbt_cv_levels", "holdout_report", "daily_run"])
+def test_registered_searches_are_full(spark, tables, searches, name):
+    rows = QUERIES[name](spark, tables).collect()
+    assert searches and all(found == (kind, FULL[kind], 5, "fold") for found in searches for kind in [found[0]])
+    if "_cv" in name:
+        assert len(rows) == FULL[searches[0][0]]
+    else:
+        assert {s[0] for s in searches} == set(FULL)
