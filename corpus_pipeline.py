@@ -19,6 +19,10 @@ from rainlane.staging import stage
 #: A document that is farther than this from all profiles is in none of their languages.
 LEAST_SCORE = 0.2
 
+#: Words that the mixing stage draws, with repeats where that needs them. None: as many as
+#: the targets allow without repeats.
+MIX_WORDS: int | None = None
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents themselves name. Those without
@@ -46,8 +50,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample in which sources, languages and topics have their target shares of words."""
-    mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS)
-    return mixed.where("kept").select("row.*")
+    mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS, budget=MIX_WORDS)
+    return mixing.drawn(mixed)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

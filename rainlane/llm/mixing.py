@@ -10,17 +10,40 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Callable, Mapping
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rainlane.staging import stage
+
 OTHER = "other"
 MOST_ROUNDS, CLOSE, MET = 1000, 1e-9, 1e-6
 
 
+@dataclass(frozen=True)
+class Tempered:
+    """Targets of a margin that follow from its data: every value is named, with its counted
+    share to the power ``power``, raised against the most common value at most ``most`` times,
+    so that a rare value can't make the sample small. Values beyond the ``values`` most
+    common, and null, count as one."""
+
+    power: float = 0.7
+    most: float = 2.0
+    values: int = 1000
+
+    def shares(self, counted: np.ndarray) -> np.ndarray:
+        part = counted / max(counted.max(), 1)
+        raised = np.power(part, self.power - 1, out=np.ones_like(part), where=part > 0)
+        wanted = part * np.minimum(raised, self.most)
+        return wanted / max(wanted.sum(), 1e-300)
+
+
+Targets = Mapping[str, Mapping[str, float] | Tempered]
+
+
 def n_words(text_column: str = "text") -> Column:
     """Weight of a document: its words, at least 1; null counts as empty."""
     words = F.size(F.split(F.trim(F.coalesce(F.col(text_column), F.lit(""))), r"\s+"))
@@ -90,10 +113,12 @@ def rake(totals: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
     return weights
 
 
-def wanted_shares(own: Mapping[str, float], names: list[str], counted: np.ndarray) -> np.ndarray:
+def wanted_shares(own: Mapping[str, float] | Tempered, names: list[str], counted: np.ndarray) -> np.ndarray:
     """Shares of ``names`` and, last, of all other values: the share that ``own`` gives
     ``OTHER``, or what the named ones leave of 1, or, where they leave nothing, the counted
     one. In that case the named ones share the rest as ``own`` says."""
+    if isinstance(own, Tempered):
+        return own.shares(counted)
     named = np.array([own[name] for name in names], np.float64)
     rest = own.get(OTHER, 1 - named.sum())
     if OTHER not in own and rest < CLOSE:
@@ -125,49 +150,68 @@ def meet(totals: np.ndarray, shares: list[np.ndarray]) -> np.ndarray:
 
 
 def calibrate(
-    docs: DataFrame, tokens: Column, margins: Mapping[str, Column], targets: Mapping[str, Mapping[str, float]]
+    docs: DataFrame,
+    tokens: Column,
+    margins: Mapping[str, Column],
+    targets: Targets,
+    budget: int | None = None,
 ) -> DataFrame:
     """Columns row (all columns of ``docs``), tokens, probability and one for each margin.
 
     ``targets`` has the wanted share of tokens for each named value of a margin; what is
     left of 1 goes to all other values together, null among them. Where nothing is left, they
-    keep the share they have; only a share of 0 given to ``OTHER`` drops them. So there are no more
-    cells than the targets name, whatever the data, and only their totals come to the
-    driver. The cell that is raised most is kept whole, others in proportion. An empty
-    table gives no rows.
-    """
-    values = {name: [*(v for v in own if v != OTHER), OTHER] for name, own in targets.items()}
-
-    def cell_value(name: str) -> Column:
-        value = margins[name].cast("string")
-        return F.when(value.isin(values[name][:-1]), value).otherwise(F.lit(OTHER))
+    keep the share they have; only a share of 0 given to ``OTHER`` drops them. With
+    ``Tempered`` the values are named by the data. So there are no more cells than the
+    targets allow, whatever the data, and only their totals come to the driver.
 
+    ``budget`` is the expected number of tokens drawn; a probability above 1 is then the
+    expected number of copies. Without it the cell that is raised most is kept whole, others
+    in proportion. An empty table gives no rows.
+    """
     placed = docs.select(
         F.struct("*").alias("row"),
         tokens.cast("long").alias("tokens"),
-        *[cell_value(name).alias(name) for name in targets],
+        *[margins[name].cast("string").alias(name) for name in targets],
     )
-    cells = placed.groupBy(*targets).agg(F.sum("tokens").alias("total")).collect()
+    values = {name: [*(v for v in own if v != OTHER), OTHER] for name, own in targets.items() if not isinstance(own, Tempered)}
+
+    def narrowed(frame: DataFrame) -> DataFrame:
+        return frame.withColumns(
+            {n: F.when(F.col(n).isin(own[:-1]), F.col(n)).otherwise(F.lit(OTHER)) for n, own in values.items()}
+        )
+
+    cells = narrowed(placed).groupBy(*targets).agg(F.sum("tokens").alias("total"))
+    tempered = {name: own for name, own in targets.items() if isinstance(own, Tempered)}
+    if tempered:
+        cells = stage(cells, "mixing-cells")
+    for name, own in tempered.items():
+        by_value = cells.where(F.col(name) != OTHER).groupBy(name).agg(F.sum("total").alias("total"))
+        most = by_value.orderBy(F.desc("total"), name).limit(own.values).collect()
+        values[name] = [*sorted(r[name] for r in most), OTHER]
+    cells = narrowed(cells).groupBy(*targets).agg(F.sum("total").alias("total")).collect()
+
+    values = {name: values[name] for name in targets}
+    at = {name: {v: k for k, v in enumerate(own)} for name, own in values.items()}
     totals = np.zeros([len(own) for own in values.values()])
     for cell in cells:
-        totals[tuple(own.index(cell[name]) for name, own in values.items())] = cell.total
+        totals[tuple(at[name][cell[name]] for name in targets)] = cell.total
     shares = []
     for axis, (name, own) in enumerate(targets.items()):
         counted = totals.sum(axis=tuple(a for a in range(totals.ndim) if a != axis))
         shares.append(wanted_shares(own, values[name][:-1], counted))
     raised = np.divide(meet(totals, shares), totals, out=np.zeros_like(totals), where=totals > 0)
-    if raised.max() > 0:
+    if budget is not None:
+        raised = raised * budget
+    elif raised.max() > 0:
         raised = raised / raised.max()
-    table = F.array(*[F.lit(float(x)) for x in raised.ravel()])
-    place = F.lit(0)
-    for name, own in values.items():
-        index = reduce(
-            lambda rest, k: F.when(F.col(name) == own[k], F.lit(k)).otherwise(rest),
-            range(len(own) - 1),
-            F.lit(len(own) - 1),
-        )
-        place = place * len(own) + index
-    return placed.withColumn("probability", F.get(table, place))
+    found = [
+        (*(cell[name] for name in targets), float(raised[tuple(at[name][cell[name]] for name in targets)]))
+        for cell in cells
+    ]
+    schema = ", ".join([*(f"`{name}` string" for name in targets), "probability double"])
+    table = docs.sparkSession.createDataFrame(found, schema)
+    joined = narrowed(placed).join(F.broadcast(table), list(targets))
+    return joined.select("row", "tokens", *targets, "probability")
 
 
 def draw(id_column: Column, seed: int = 0) -> Column:
@@ -179,11 +223,21 @@ def mix(
     docs: DataFrame,
     tokens: Column,
     margins: Mapping[str, Column],
-    targets: Mapping[str, Mapping[str, float]],
+    targets: Targets,
     id_column: str = "doc_id",
     seed: int = 0,
+    budget: int | None = None,
 ) -> DataFrame:
-    """``calibrate`` and kept: whether the document is drawn. Rows that share an identifier
-    are drawn alike if their cells are."""
-    calibrated = calibrate(docs, tokens, margins, targets)
-    return calibrated.withColumn("kept", draw(F.col(f"row.{id_column}"), seed) < F.col("probability"))
+    """``calibrate``, copies and kept: how often the document is drawn and whether it is. Rows
+    that share an identifier are drawn alike if their cells are."""
+    calibrated = calibrate(docs, tokens, margins, targets, budget)
+    whole = F.floor("probability")
+    again = draw(F.col(f"row.{id_column}"), seed) < F.col("probability") - whole
+    copies = (whole + again.cast("long")).cast("long")
+    return calibrated.withColumn("copies", copies).withColumn("kept", F.col("copies") > 0)
+
+
+def drawn(mixed: DataFrame) -> DataFrame:
+    """The rows of ``mix`` as often as they are drawn."""
+    kept = mixed.where("kept")
+    return kept.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*")

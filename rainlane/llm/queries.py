@@ -14,10 +14,10 @@ from rainlane.staging import stage
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
-#: Wanted shares of tokens; what is left of 1 goes to all values that are not named. Where
+#: Wanted shares of tokens. Those of sources follow from their counted shares; else what is left of 1 goes to all values that are not named. Where
 #: nothing is left, as with lang, these keep the share they have.
 TARGETS = {
-    "source": {"src0": 0.25},
+    "source": mixing.Tempered(),
     "lang": {"en": 0.5, "fr": 0.18, "de": 0.18, "es": 0.14},
     "topic": {f"topic{k}": 1 / 8 for k in range(8)},
 }

@@ -1,7 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from rainlane.llm.mixing import calibrate, keyword_topic, meet, mix, n_words, rake, text_margins
+from rainlane.llm.mixing import Tempered, calibrate, drawn, keyword_topic, meet, mix, n_words, rake, text_margins
 from rainlane.llm.queries import TARGETS as REGISTERED
 
 SCHEMA = "doc_id long, text string, lang string, source string, tokens string, kept string"
@@ -96,3 +96,26 @@ def test_margins_that_cannot_be_met_drop_no_cell():
     found = meet(totals, [np.array([0.25, 0.75]), np.array([0.9, 0.1])])
     assert (found[totals > 0] > 1e-3).all()
     assert (meet(totals, [np.array([0.5, 0.5]), np.array([1.0, 0.0])])[:, 1] == 0).all()
+
+
+def test_sources_follow_from_their_shares(spark):
+    """One source with a hundredth of the rows does not make the sample small."""
+    docs = docs_of(spark).withColumn("source", F.expr("CASE WHEN doc_id % 100 = 0 THEN 'src0' ELSE source END"))
+    targets = TARGETS | {"source": REGISTERED["source"]}
+    whole = mix(docs, n_words(), text_margins(topics=2), targets).toPandas()
+    assert set(whole["source"]) == {"a", "b", "c", "d", "src0"} and len(whole) == 3000
+    assert (whole["tokens"] * whole["probability"]).sum() / whole["tokens"].sum() > 0.3
+    few = mix(docs, n_words(), text_margins(topics=2), TARGETS | {"source": Tempered(values=2)})
+    assert few.select("source").distinct().count() == 3
+
+
+def test_budget(spark):
+    docs = docs_of(spark)
+    have = docs.select(F.sum(n_words())).first()[0]
+    for size in (0.1, 1.0, 2.5):
+        mixed = mix(docs, n_words(), text_margins(topics=2), TARGETS, budget=int(size * have))
+        whole = mixed.toPandas()
+        assert abs((whole["tokens"] * whole["probability"]).sum() - size * have) < 2
+        assert ((whole["copies"] - whole["probability"]).abs() < 1).all()
+        assert abs((whole["tokens"] * whole["copies"]).sum() / (size * have) - 1) < 0.15
+        assert drawn(mixed).count() == whole["copies"].sum() and drawn(mixed).columns == docs.columns
