@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLANKS = r"[\x20\x09-\x0D]"
 
@@ -15,6 +21,33 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def freeing(function: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``function`` as it is, but at the end of its task the worker gives the memory back
+    that its caches took; workers live on, and the next stage may need it."""
+
+    @wraps(function)
+    def freed(batches: Batches) -> Batches:
+        try:
+            yield from function(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return freed
+
+
+def with_row(given: DataFrame, more: str) -> T.StructType:
+    """The column row of ``given``, as it is whatever the names in it, and the columns of the
+    DDL text ``more``."""
+    return T.StructType([given.schema["row"], *T.StructType.fromDDL(more).fields])
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -15,9 +15,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import freeing, with_row
 from rainlane.llm.wordcache import WordCache
 from rainlane.staging import stage
 
@@ -109,6 +110,7 @@ class Profiles:
 def count_grams(docs: DataFrame, text_column: str, language_column: str) -> DataFrame:
     """Columns lang, code, n: n-grams of all whole texts by language."""
 
+    @freeing
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, totals = GramIds(), {}
 
@@ -116,7 +118,7 @@ def count_grams(docs: DataFrame, text_column: str, language_column: str) -> Data
             codes = grams.codes()
             for lang, counts in totals.items():
                 at = np.flatnonzero(counts)
-                arrays = [pa.array([lang] * len(at)), pa.array(codes[at]), pa.array(counts[at])]
+                arrays = [pa.array([lang] * len(at), pa.string()), pa.array(codes[at]), pa.array(counts[at])]
                 yield pa.RecordBatch.from_arrays(arrays, names=["lang", "code", "n"])
             totals.clear()
             grams.restart()
@@ -145,17 +147,23 @@ def learn_profiles(
     text_column: str = "text",
     language_column: str = "lang",
     size: int = PROFILE_SIZE,
+    most_languages: int = 1000,
 ) -> Profiles:
     """Profiles from all rows with text and language; of equally frequent n-grams the one
-    with the smaller code points is first. What comes to the driver is ``size`` numbers
-    for each language."""
+    with the smaller code points is first. A language none of whose texts has a letter has
+    no profile. Of more than ``most_languages`` names, as in a column that holds anything,
+    those with the most n-grams (ties: by name) are learned. What comes to the driver is at
+    most ``size`` numbers for each of them."""
     counts = stage(count_grams(docs, text_column, language_column), "language-grams")
-    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
-    codes = []
-    for lang in languages:
-        top = counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "code").limit(size)
-        codes.append(tuple(r.code for r in top.select("code").collect()))
-    return Profiles(tuple(languages), tuple(codes), size)
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    learned = totals.orderBy(F.desc("total"), "lang").limit(most_languages).select("lang")
+    by_rank = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
+    top = counts.withColumn("rank", F.row_number().over(by_rank)).where(F.col("rank") <= size)
+    found: dict[str, list] = {}
+    for row in top.join(F.broadcast(learned), "lang").select("lang", "rank", "code").collect():
+        found.setdefault(row.lang, []).append((row.rank, row.code))
+    languages = sorted(found)
+    return Profiles(tuple(languages), tuple(tuple(c for _, c in sorted(found[lang])) for lang in languages), size)
 
 
 class Ranker:
@@ -206,6 +214,7 @@ def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text") ->
     name is taken. An empty table gives no rows.
     """
 
+    @freeing
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranker = Ranker(profiles)
         for batch in batches:
@@ -219,5 +228,4 @@ def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text") ->
             )
 
     given = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
-    row = given.schema["row"].dataType.simpleString()
-    return given.mapInArrow(predicted, f"row {row}, lang_pred string, score double")
+    return given.mapInArrow(predicted, with_row(given, "lang_pred string, score double"))

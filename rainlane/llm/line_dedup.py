@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import with_row
 from rainlane.llm.cuckoo import CuckooFilter, Full
 from rainlane.staging import new_folder
 
@@ -205,7 +206,6 @@ class LineIndex:
             F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("id"),
         )
         given = own.join(self.dropped(), ["known", "id"], "left").select("row", "text", "keys")
-        row = given.schema["row"].dataType.simpleString()
 
         def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -227,7 +227,7 @@ class LineIndex:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "n_lines", "n_dropped", "kept_text"])
 
-        return given.mapInArrow(cleaned, f"row {row}, n_lines long, n_dropped long, kept_text string")
+        return given.mapInArrow(cleaned, with_row(given, "n_lines long, n_dropped long, kept_text string"))
 
 
 def _lines_of(text: str | None) -> list[bytes]:

@@ -20,6 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import freeing, with_row
+
 COSINES = 256
 REDUCERS = 8
 BINS = 200
@@ -111,6 +113,7 @@ def featurise(docs: DataFrame, text_column: str = "text") -> DataFrame:
     Null and empty texts have numbers too; repeated rows and an empty table are fine.
     """
 
+    @freeing
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [text_features(text.as_py()).tobytes() for text in batch.column(1)]
@@ -118,10 +121,9 @@ def featurise(docs: DataFrame, text_column: str = "text") -> DataFrame:
                 [batch.column(0), pa.array(found, pa.binary())], names=["row", "numbers"]
             )
 
-    rest = [F.col(f"`{name}`") for name in docs.columns if name != text_column]
+    rest = [F.col("`" + name.replace("`", "``") + "`") for name in docs.columns if name != text_column]
     given = docs.select(F.struct(*rest).alias("row"), F.col(text_column).alias("text"))
-    row = given.schema["row"].dataType.simpleString()
-    return given.mapInArrow(numbered, f"row {row}, numbers binary")
+    return given.mapInArrow(numbered, with_row(given, "numbers binary"))
 
 
 def _matrix(numbers: pd.Series) -> np.ndarray:
@@ -335,5 +337,4 @@ def score(features: DataFrame, model: Model | None) -> DataFrame:
                 found = 1 / (1 + np.exp(-2 * np.clip(found, -15, 15)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["row", "score"])
 
-    row = features.schema["row"].dataType.simpleString()
-    return features.select("row", "numbers").mapInArrow(scored, f"row {row}, score double")
+    return features.select("row", "numbers").mapInArrow(scored, with_row(features, "score double"))

@@ -67,3 +67,20 @@ def test_undetermined_empty_and_unlearned(spark):
     assert identify(empty, profiles).collect() == []
     assert {r.lang_pred for r in identify(docs, learn_profiles(empty)).collect()} == {"und"}
     assert {(r.row.lang, r.lang_pred) for r in identify(docs, profiles).collect()} == {(k, k) for k in TEXTS}
+
+
+def test_languages_without_a_letter(spark):
+    """A task may hold documents of a language none of which has a letter."""
+    rows = [(i, f"{TEXTS['en']} {i}", "en", "s", "r") for i in range(7)]
+    rows += [(10 + i, t, "de", "s", "r") for i, t in enumerate(["", "", "12 34", "--", "7", ""])]
+    docs = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    profiles = learn_profiles(docs)
+    assert profiles.languages == ("en",)
+    found = {r.row.id: r.lang_pred for r in identify(docs, profiles).collect()}
+    assert {found[i] for i in range(7)} == {"en"} and {found[i] for i in range(10, 16)} == {"und"}
+
+
+def test_most_languages(spark):
+    docs = spark.createDataFrame([(i, t * (i + 1), k, "s", "r") for i, (k, t) in enumerate(TEXTS.items())], SCHEMA)
+    assert learn_profiles(docs, most_languages=2).languages == ("de", "fr")
+    assert learn_profiles(docs).languages == ("de", "en", "fr")
