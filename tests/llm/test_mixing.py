@@ -1,9 +1,90 @@
+import hashlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
-from rainlane.llm.mixing import Tempered, calibrate, drawn, keyword_topic, meet, mix, n_words, rake, text_margins
+from rainlane.llm.mixing import Tempered, calibrate, draw, drawn, keyword_topic, meet, mix, n_words, rake, text_margins
 from rainlane.llm.queries import TARGETS as REGISTERED
 
+def brute(rows, targets):
+    """A plain rake over a dictionary of cells: (cell of each row, probability of each row).
+    ``rows`` are (tokens, value of each margin)."""
+    def cell_of(values):
+        return tuple(
+            v if v is not None and (isinstance(own, Tempered) or v in own) else "other"
+            for v, own in zip(values, targets.values())
+        )
+
+    cells = [cell_of(values) for _, *values in rows]
+    counted = {}
+    for (tokens, *_), cell in zip(rows, cells):
+        counted[cell] = counted.get(cell, 0) + tokens
+    whole = sum(counted.values())
+
+    def margin(weights, axis):
+        found = {}
+        for cell, weight in weights.items():
+            found[cell[axis]] = found.get(cell[axis], 0) + weight
+        return found
+
+    goals = []
+    for axis, own in enumerate(targets.values()):
+        have = margin(counted, axis)
+        if isinstance(own, Tempered):
+            top = max(have.values())
+            wanted = {v: n / top * min((n / top) ** (own.power - 1), own.most) for v, n in have.items()}
+        else:
+            wanted, left = dict(own), 1 - sum(own.values())
+            if left < 1e-9:
+                left = have.get("other", 0) / whole
+                wanted = {v: share * (1 - left) / sum(own.values()) for v, share in own.items()}
+            wanted.setdefault("other", left)
+        wanted = {v: wanted[v] for v in have}
+        goals.append({v: share / sum(wanted.values()) for v, share in wanted.items()})
+    for part in (0, 0.25, 0.5, 0.75, 1):
+        weights = {cell: n / whole for cell, n in counted.items()}
+        nearer = [
+            {v: (1 - part) * share + part * margin(weights, axis)[v] for v, share in goal.items()}
+            for axis, goal in enumerate(goals)
+        ]
+        for _ in range(1000):
+            for axis, goal in enumerate(nearer):
+                now = margin(weights, axis)
+                weights = {c: w * goal[c[axis]] / now[c[axis]] if now[c[axis]] else 0 for c, w in weights.items()}
+        if all(abs(margin(weights, a)[v] - share) < 1e-6 for a, goal in enumerate(nearer) for v, share in goal.items()):
+            break
+    raised = {cell: weights[cell] / n for cell, n in counted.items()}
+    return [raised[cell] / max(raised.values()) for cell in cells]
+
+
+def words_of(text):
+    return max(1, len((text or "").strip(" ").split()))
+
+
+def topic_of(text, topics=8):
+    counts = {}
+    for word in (text or "").lower().split():
+        counts[word] = counts.get(word, 0) + 1
+    long = [w for w in counts if len(w) >= 5]
+    best = min(long, key=lambda w: (-counts[w], w), default="")
+    digest = hashlib.blake2b(best.encode(), digest_size=8).digest()
+    return f"topic{int.from_bytes(digest, 'little') % topics}"
+
+
+def check_against_brute(docs, targets):
+    """Probabilities by ``brute``, and documents kept by the draw that their identifier decides."""
+    rows = docs.select("doc_id", "text", "source", "lang", draw(F.col("doc_id")).alias("draw")).collect()
+    measured = [(words_of(r.text), r.source, r.lang, topic_of(r.text)) for r in rows]
+    wanted = {r.doc_id: (r.draw, p) for r, p in zip(rows, brute(measured, targets))}
+    mixed = mix(docs, n_words(), text_margins(), targets).select("row.doc_id", "probability", "kept").collect()
+    assert len(mixed) == len(rows)
+    for r in mixed:
+        at, p = wanted[r.doc_id]
+        assert abs(r.probability - p) < 1e-6
+        assert abs(at - p) < 1e-6 or r.kept == (at < p)
+    return {r.doc_id for r in mixed if r.kept}
+
+
 SCHEMA = "doc_id long, text string, lang string, source string, tokens string, kept string"
 TARGETS = {"source": {"a": 0.5, "b": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"topic0": 0.5, "topic1": 0.5}}
 
@@ -119,3 +200,15 @@ def test_budget(spark):
         assert ((whole["copies"] - whole["probability"]).abs() < 1).all()
         assert abs((whole["tokens"] * whole["copies"]).sum() / (size * have) - 1) < 0.15
         assert drawn(mixed).count() == whole["copies"].sum() and drawn(mixed).columns == docs.columns
+
+
+def test_rake_and_draw_against_brute_force(spark):
+    """A null and a fifth language, a rare source and a null one among the rows."""
+    docs = docs_of(spark, 1200).withColumns(
+        {
+            "lang": F.expr("CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN 'it' ELSE lang END"),
+            "source": F.expr("CASE WHEN doc_id % 50 = 0 THEN 'src0' WHEN doc_id % 50 = 1 THEN NULL ELSE source END"),
+        }
+    )
+    kept = check_against_brute(docs, REGISTERED)
+    assert {r.lang for r in docs.collect() if r.doc_id in kept} == {None, "it", "en", "de"}

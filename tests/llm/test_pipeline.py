@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from rainlane.llm.mixing import mix, n_words, text_margins
 from rainlane.llm.queries import TARGETS
+from tests.llm.test_mixing import check_against_brute
 from tests.llm.test_packing import check_pieces
 from tests.llm.test_shingle_join import brute as near_brute
 
@@ -52,8 +53,7 @@ def test_near_copies(stages):
 
 
 def test_mixing(stages):
-    mixed = mix(stages[3], n_words(), text_margins(), TARGETS)
-    assert ids(stages[4]) == ids(mixed.where("kept").select("row.doc_id")) <= ids(stages[3])
+    assert ids(stages[4]) == check_against_brute(stages[3], TARGETS)
 
 
 def test_packing(stages):
