@@ -48,6 +48,12 @@ def with_row(given: DataFrame, more: str) -> T.StructType:
     return T.StructType([given.schema["row"], *T.StructType.fromDDL(more).fields])
 
 
+def has_bit(bits: Column, place: Column) -> Column:
+    """Whether a bitmap as ``bitmap_construct_agg`` makes it has the bit."""
+    byte = F.conv(F.hex(F.substring(bits, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.getbit(byte, F.pmod(place, F.lit(8)).cast("int")) == 1
+
+
 def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 

@@ -10,11 +10,12 @@ has for another row, is compared with the full bytes of the row that stays.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rainlane.llm.common import BLANKS, place_in_files, settings, text_or_empty
+from rainlane.llm.common import BLANKS, has_bit, place_in_files, settings, text_or_empty
 from rainlane.staging import new_folder, stage
 
 ROCKSDB = {
@@ -54,8 +55,10 @@ class StreamingDedup:
         folder: str | None = None,
         digest: Callable[[Column], Column] = sha256,
         files_per_batch: int = 4096,
+        bitmaps_at_once: int = 8192,
     ):
         self.spark, self.digest, self.files_per_batch = spark, digest, files_per_batch
+        self.bitmaps_at_once = bitmaps_at_once
         self.folder = folder or new_folder(spark, "streaming-dedup")
         self.arrivals, self.checkpoint = f"{self.folder}/arrivals", f"{self.folder}/stream"
 
@@ -113,6 +116,38 @@ class StreamingDedup:
             (-value[best]["backwards"]).alias("keep_row"),
         )
 
+    def _texts_of(self, hits: DataFrame, contents: DataFrame, text_column: str) -> DataFrame:
+        """Columns file, row and content of the rows of ``contents`` that are hits.
+
+        A bit per row says which are, so no other text leaves its scan, whatever the size of
+        the table. The bitmaps, one for 32,768 rows of a file, are broadcast, at most
+        ``bitmaps_at_once`` of 4 KB at a time; where there are more, each part of the files
+        is scanned with its own.
+        """
+        rows_each = 1 << 15
+        bitmaps = stage(
+            hits.groupBy("file", F.floor(F.col("row") / rows_each).alias("stretch")).agg(
+                F.bitmap_construct_agg(F.pmod("row", F.lit(rows_each))).alias("bits")
+            ),
+            "dedup-bitmaps",
+        )
+        passes = max(1, -(-bitmaps.count() // self.bitmaps_at_once))
+        file, row = place_in_files(contents)
+        texts = contents.select(file.alias("file"), row.alias("row"), F.col(text_column).alias("content"))
+
+        def part(frame: DataFrame, k: int) -> DataFrame:
+            return frame if passes == 1 else frame.where(F.pmod(F.xxhash64("file"), F.lit(passes)) == k)
+
+        found = [
+            part(texts, k)
+            .withColumn("stretch", F.floor(F.col("row") / rows_each))
+            .join(F.broadcast(part(bitmaps, k)), ["file", "stretch"])
+            .where(has_bit(F.col("bits"), F.pmod("row", F.lit(rows_each))))
+            .select("file", "row", "content")
+            for k in range(passes)
+        ]
+        return reduce(DataFrame.unionByName, found)
+
     def decisions(self, contents: DataFrame, text_column: str = "text") -> DataFrame:
         """Per row taken in: digest, id, file, row, keep_id, group_size, kept.
 
@@ -125,9 +160,7 @@ class StreamingDedup:
             "digest", "id", "points", "file", "row", "keep_file", "keep_row"
         )
         hits = stage(hits, "dedup-hits")
-        file, row = place_in_files(contents)
-        content = F.col(text_column).alias("content")
-        texts = contents.select(file.alias("file"), row.alias("row"), content)
+        texts = self._texts_of(hits, contents, text_column)
         texts = hits.join(texts, ["file", "row"]).withColumn("content", normalised(F.col("content")))
         texts = stage(texts, "dedup-texts")
         stays = (F.col("file") == F.col("keep_file")) & (F.col("row") == F.col("keep_row"))

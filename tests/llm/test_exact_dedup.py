@@ -62,3 +62,24 @@ def test_drop_copies_keeps_all_columns_and_empty_tables(from_files):
     assert left.columns == docs.columns
     assert sorted(r.doc_id or 99 for r in left.collect()) == [3, 6, 7, 9, 11, 12, 99]
     assert exact_dedup(from_files([], SCHEMA)).collect() == []
+
+
+def test_only_texts_of_hits_are_compared(spark, from_files):
+    """By bitmaps, also where each part of the files has its own; of 90 rows 30 are hits."""
+    rows = [(i, f"text {i if i < 60 else i % 15}", "", "") for i in range(90)]
+    docs = from_files(rows, SCHEMA, files=7)
+    for at_once in (8192, 2):
+        dedup = StreamingDedup(spark, bitmaps_at_once=at_once)
+        dedup.add(docs)
+        hits = dedup.rows().join(dedup.state().where("n > 1"), "digest")
+        assert dedup._texts_of(hits, docs, "text").count() == hits.count() == 45
+        found = dedup.decisions(docs)
+        assert {(r.id, r.group_size, r.keep_id) for r in found.collect()} == {(k, n, keep) for k, _, n, keep in brute(rows)}
+
+
+def test_parts_of_the_files_are_scanned_once(spark, from_files):
+    docs = from_files([(i, str(i), "", "") for i in range(30)], SCHEMA, files=5)
+    part = docs.where(F.pmod(F.xxhash64(docs.metadataColumn("_metadata").getField("file_path")), F.lit(3)) == 1)
+    part.collect()
+    scans = part._jdf.queryExecution().executedPlan().collectLeaves()
+    assert scans.apply(0).metrics().apply("numFiles").value() < 5
