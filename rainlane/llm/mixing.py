@@ -164,6 +164,8 @@ def calibrate(
     ``Tempered`` the values are named by the data. So there are no more cells than the
     targets allow, whatever the data, and only their totals come to the driver.
 
+    All of ``docs`` is written once on the way, so give it without columns that are not needed.
+
     ``budget`` is the expected number of tokens drawn; a probability above 1 is then the
     expected number of copies. Without it the cell that is raised most is kept whole, others
     in proportion. An empty table gives no rows.
@@ -173,6 +175,8 @@ def calibrate(
         tokens.cast("long").alias("tokens"),
         *[margins[name].cast("string").alias(name) for name in targets],
     )
+    # Written once: tokens and margins may cost a pass over the texts.
+    placed = stage(placed, "mixing-placed")
     values = {name: [*(v for v in own if v != OTHER), OTHER] for name, own in targets.items() if not isinstance(own, Tempered)}
 
     def narrowed(frame: DataFrame) -> DataFrame:

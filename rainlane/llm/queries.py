@@ -137,8 +137,11 @@ def op7_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS)
+    margins = mixing.text_margins()
+    measured = table(spark, folder, "documents").select(
+        "doc_id", mixing.n_words().alias("tokens"), *[margin.alias(name) for name, margin in margins.items()]
+    )
+    mixed = mixing.mix(measured, F.col("tokens"), {name: F.col(name) for name in margins}, TARGETS)
     return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
 
 
