@@ -10,6 +10,7 @@ so at most one window of a partition is padded.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import freeing
 from rainlane.llm.wordcache import WordCache
 
 ROWS_AT_ONCE, WORDS_AT_ONCE = 256, 500
@@ -36,13 +38,15 @@ class CachedTokenizer:
     """
 
     def __init__(self, path: str):
+        # A worker is one of as many as there are cores; threads of its own only take memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         names = (self.tokenizer.id_to_token(i) for i in range(self.tokenizer.get_vocab_size()))
         self.opens = np.array([name.startswith(BLANK_NAME) for name in names])
-        self.words = WordCache(self._encode_words, most_words=500_000)
+        self.words = WordCache(self._encode_words, most_words=250_000)
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -169,6 +173,7 @@ def pack(
         "sequence_id bigint, offset bigint" + ", ids array<int>" * with_ids
     )
 
+    @freeing
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = tokenizer_at(tokenizer_path)
         levels = SumOfSquares(window)

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rainlane.llm.common import freeing, has_bit
 from rainlane.llm.components import connected
 from rainlane.llm.shingles import WordHashes, shingle_set
 from rainlane.staging import stage
@@ -43,6 +44,7 @@ def scan_sets(docs: DataFrame, width: int) -> DataFrame:
     """Columns id, signature and n per row of ``docs`` (id, text), and piece and counters:
     at the end of each task how many of its shingles fell into each counter."""
 
+    @freeing
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counters = WordHashes(), np.zeros(COUNTERS, np.uint32)
         for batch in batches:
@@ -98,6 +100,7 @@ def prefixes(docs: DataFrame, totals: np.ndarray, width: int, percent: int) -> D
     it, for the suffix filter."""
     sent = docs.sparkSession.sparkContext.broadcast(totals)
 
+    @freeing
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, totals = WordHashes(), sent.value
         for batch in batches:
@@ -136,36 +139,25 @@ def near_enough(percent: int) -> Column:
     return near & (bits * (100 + percent) <= total * (100 - percent))
 
 
-def _seen(ids: DataFrame) -> Column:
-    """A test of the column id by a bitmap of fixed size; it lets all ``ids`` through, and
-    few others. It only spares a shuffle; a join decides."""
+def _seen(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of ``ids``, and few others, by a bitmap of fixed size (8 MB).
+    It only spares a shuffle; a join decides."""
     place = F.pmod(F.xxhash64("id"), F.lit(BITMAP))
-    rows = (
-        ids.select(place.alias("place"))
-        .groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
-        .collect()
+    bitmaps = ids.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
     )
-    whole = {r.bucket: np.frombuffer(r.bits, np.uint8) for r in rows}
-    sent = ids.sparkSession.sparkContext.broadcast(whole)
-
-    @F.pandas_udf("boolean")
-    def maybe(buckets: pd.Series, positions: pd.Series) -> pd.Series:
-        own, at, found = buckets.to_numpy(), positions.to_numpy(), np.zeros(len(buckets), bool)
-        for bucket, bits in sent.value.items():
-            rows = np.flatnonzero(own == bucket)
-            found[rows] = bits[at[rows] // 8] >> (at[rows] % 8).astype(np.uint8) & 1
-        return pd.Series(found)
-
-    return maybe(F.bitmap_bucket_number(place), F.bitmap_bit_position(place))
+    placed = docs.withColumns({"bucket": F.bitmap_bucket_number(place), "position": F.bitmap_bit_position(place)})
+    met = placed.join(F.broadcast(bitmaps), "bucket").where(has_bit(F.col("bits"), F.col("position")))
+    return met.select(*docs.columns)
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The distinct ``pairs`` (a, b) whose whole sets are similar enough."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stage(ends.join(nodes, "node").select("node", "id", "signature"), "join-wanted")
-    texts = docs.where(_seen(wanted)).join(wanted, "id")
+    texts = _seen(docs, wanted).join(wanted, "id")
 
+    @freeing
     def own_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -182,6 +174,7 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
     second = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
 
+    @freeing
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
