@@ -19,23 +19,34 @@ from rainlane.staging import stage
 #: A document that is farther than this from all profiles is in none of their languages.
 LEAST_SCORE = 0.2
 
+#: Rows that a worker gets at a time; texts may be long, and a worker holds what it got.
+ROWS_AT_ONCE = 1000
+
 #: Words that the mixing stage draws, with repeats where that needs them. None: as many as
 #: the targets allow without repeats.
 MIX_WORDS: int | None = None
 
 
+def short_batches(spark: SparkSession) -> None:
+    """A setting of the session that this pipeline runs in; results don't depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the documents themselves name. Those without
     a letter and those far from every profile go; those without a label get the language
     found. Where no language is named, all stay."""
+    short_batches(spark)
     profiles = language.learn_profiles(docs)
     if not profiles.languages:
         return docs
     found = language.identify(docs, profiles)
     near = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    label = F.coalesce("lang", "lang_pred").alias("lang")
-    kept = found.where(near).select("row.*", "lang_pred")
-    return kept.select(*[label if name == "lang" else name for name in docs.columns])
+    row = F.col("row")
+    label = F.coalesce(row.getField("lang"), "lang_pred")
+    return found.where(near).select(
+        *[(label if name == "lang" else row.getField(name)).alias(name) for name in docs.columns]
+    )
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,17 +56,20 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest doc_id of each group linked by a similarity of 0.8 on five-word shingles."""
+    short_batches(spark)
     return shingle_join.drop_near_copies(docs, width=5, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample in which sources, languages and topics have their target shares of words."""
+    short_batches(spark)
     mixed = mixing.mix(docs, mixing.n_words(), mixing.text_margins(), TARGETS, budget=MIX_WORDS)
     return mixing.drawn(mixed)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 1024 tokens, with their ids."""
+    short_batches(spark)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(docs, tokenizer).withColumnRenamed("id", "doc_id")
 
