@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from itertools import product
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -13,6 +13,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import DataFrame, SparkSession
 
 from rainlane.functions.casting import rounded_int
+from rainlane.learning.prefixes import PrefixPipeline
 from rainlane.schemas import DOUBLE, struct
 from rainlane.settings import Settings
 from rainlane.staging import shared_dir
@@ -42,8 +43,8 @@ def boosted(settings: Settings, **params) -> GBTRegressor:
     return GBTRegressor(featuresCol="features", labelCol=LABEL, seed=settings.seed, **params)
 
 
-def regression_chain(regressor, settings: Settings) -> Pipeline:
-    return Pipeline(stages=[assembler(settings.features), regressor])
+def regression_chain(regressor, settings: Settings) -> PrefixPipeline:
+    return PrefixPipeline(stages=[assembler(settings.features), regressor])
 
 
 def param_grid(regressor, grid: Mapping[str, tuple]) -> list[dict]:
@@ -56,8 +57,9 @@ def param_grid(regressor, grid: Mapping[str, tuple]) -> list[dict]:
 def cross_validated(
     regressor, grid: Mapping[str, tuple], settings: Settings, fold_column: str = ""
 ) -> CrossValidator:
-    """K-fold search by RMSE; the fits of one fold run side by side. ``fold_column`` names
-    a column with the fold of each row, 0 to folds - 1; without it folds are drawn."""
+    """K-fold search by RMSE; the fits of one fold run side by side, one for all sizes of an
+    ensemble. ``fold_column`` names a column with the fold of each row, 0 to folds - 1;
+    without it folds are drawn."""
     return CrossValidator(
         foldCol=fold_column,
         estimator=regression_chain(regressor, settings),
