@@ -16,11 +16,16 @@ def register_table(
     spark: SparkSession, name: str, path: str, schema: T.StructType
 ) -> DataFrame:
     """(Re)declare an external parquet table; its columns are found by name, so the
-    declaration may name fewer than the files hold. A table or view of that name that
-    isn't external is left alone, and raises."""
+    declaration may name fewer than the files hold. One that is declared so already is only
+    moved, so that it is never missing. A table or view of that name that isn't external is
+    left alone, and raises."""
     if spark.catalog.tableExists(name):
         if spark.catalog.getTable(name).tableType != "EXTERNAL":
             raise ValueError(f"{name} is there already and no external table")
+        if spark.table(name).schema.simpleString() == schema.simpleString():
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+            return spark.table(name)
         spark.sql(f"DROP TABLE {name}")
     return spark.catalog.createTable(name, path=path, source="parquet", schema=schema)
 

@@ -67,6 +67,31 @@ report as (
   union all
   select 'Gradient Boosted Trees', sqrt(avg((y - p2) * (y - p2))), avg(abs(y - p2)), 2 from scored)"""
 
+# The folds of a search: rows, and per fold the totals by level of all other rows.
+_FOLDS = """, folds as (
+  select cast(id as bigint) % 5 as fold, congestion_level_num as level, cast(reported_incidents as double) as y
+  from incidents),
+totals as (
+  select k.fold, level, count(*) as n, sum(y) as total
+  from folds join (select unnest(range(5)) as fold) k on folds.fold <> k.fold group by k.fold, level),
+by_levels as (
+  select f.fold, sqrt(avg((y - total / n) * (y - total / n))) as rmse
+  from folds f join totals t on f.fold = t.fold and f.level = t.level group by f.fold)"""
+
+
+def _split(name: str, totals: str) -> str:
+    """A tree of one split of the levels, that with the least squared error: mean per level."""
+    return f"""{name}_sides as (
+  select t.fold, cut, t.level <= cut as below, sum(n) as n, sum(total) as total
+  from {totals} t, (select unnest([1, 2]) as cut) group by 1, 2, 3),
+{name}_cut as (
+  select fold, arg_max(cut, gain) as cut
+  from (select fold, cut, sum(total * total / n) as gain from {name}_sides group by fold, cut) group by fold),
+{name} as (
+  select t.fold, t.level, t.n, t.total, s.total / s.n as mean
+  from {totals} t join {name}_cut c on c.fold = t.fold
+  join {name}_sides s on s.fold = t.fold and s.cut = c.cut and s.below = (t.level <= c.cut))"""
+
 
 _SCENARIO = """
 select strftime(date '2025-03-01' + cast(c_custkey % 60 as int), '%Y-%m-%d') as date,
@@ -256,6 +281,39 @@ select 'Best Model', null, null, (select model from report order by rmse, rank d
     ),
     "report_time": "select 3 as n_rows, 1 as n_times, 0 as n_missing",
     "scenario_spine": _SCENARIO,
+    "rf_cv_levels": _with(
+        f"""{_FOLDS}
+select trees::double as "numTrees", depth::double as "maxDepth", least::double as "minInstancesPerNode",
+       round(rmse, 6) as avg_rmse
+from (select avg(rmse) as rmse from by_levels), (select unnest([50, 100, 150]) as trees),
+     (select unnest([5, 10, 15]) as depth), (select unnest([1, 5, 10]) as least)"""
+    ),
+    "gbt_cv_levels": _with(
+        f"""{_FOLDS}
+select rounds::double as "maxIter", depth::double as "maxDepth", step::double as "stepSize",
+       round(rmse, 6) as avg_rmse
+from (select avg(rmse) as rmse from by_levels), (select unnest([50, 100]) as rounds),
+     (select unnest([3, 5, 7]) as depth), (select unnest([0.01, 0.1]) as step)"""
+    ),
+    "boosting_rounds": _with(
+        f"""{_FOLDS},
+{_split('one', 'totals')},
+rest as (select fold, level, n, 2 * (total - n * mean) as total from one),
+{_split('two', 'rest')},
+errors as (
+  select f.fold, one.mean - y as first, one.mean + 0.1::double * two.mean - y as second
+  from folds f join one on one.fold = f.fold and one.level = f.level
+  join two on two.fold = f.fold and two.level = f.level),
+by_fold as (
+  select fold, sqrt(avg(first * first)) as first, sqrt(avg(second * second)) as second from errors group by fold)
+select unnest([1.0::double, 2.0]) as "maxIter", 1.0::double as "maxDepth", 0.1::double as "stepSize",
+       unnest([round(avg(first), 6), round(avg(second), 6)]) as avg_rmse from by_fold"""
+    ),
+    "stored_model_scores": _with(
+        """, means as (
+  select congestion_level_num as level, cast(round(avg(reported_incidents)) as int) as mean from incidents group by 1)
+select id, mean as rf_incidents, mean as gbt_incidents from incidents join means on congestion_level_num = level"""
+    ),
     "score_rf_levels": _SCORED_BY_LEVEL,
     "score_gbt_levels": _SCORED_BY_LEVEL,
     "holdout_report_levels": _with(
@@ -281,10 +339,30 @@ select 'Best Model', null, null, (select model from report order by rmse, rank d
        cast(sum(reported_incidents) as bigint) as label_sum from incidents"""
     ),
     "daily_run": _with(
-        """select 'trusted' as dataset, count(*) as n_rows from incidents
-union all select 'congestion-stats', count(distinct congestion_level_num) from incidents
-union all select * from (values ('global-stats', 1::bigint), ('correlations', 1), ('visualizations', 4),
-  ('test-data', 60), ('model-evaluation', 3), ('predictions-rf', 60), ('predictions-gbt', 60))"""
+        """, found as (
+  select 'global-stats' as dataset, 'all' as item, unnest(['min_incidents', 'max_incidents', 'avg_incidents',
+    'std_incidents', 'min_temp', 'max_temp', 'avg_temp', 'min_precip', 'max_precip', 'avg_precip']) as measure,
+    unnest([min(reported_incidents)::double, max(reported_incidents), avg(reported_incidents),
+      stddev_samp(reported_incidents), min(max_temp), max(max_temp), avg(max_temp), min(precipitation),
+      max(precipitation), avg(precipitation)]) as value from incidents
+  union all
+  select 'correlations', 'all', unnest(['temp_corr', 'precip_corr', 'congestion_corr']),
+    unnest([corr(reported_incidents, max_temp), corr(reported_incidents, precipitation),
+      corr(reported_incidents, congestion_level_num)]) from incidents
+  union all
+  select 'congestion-stats', cast(congestion_level_num as varchar),
+    unnest(['days_count', 'avg_incidents', 'avg_temp', 'avg_precip']),
+    unnest([count(*)::double, avg(reported_incidents), avg(max_temp), avg(precipitation)])
+  from incidents group by congestion_level_num
+  union all
+  select 'visualizations', unnest(['temp_incidents_bar', 'precip_incidents_bar', 'correlation_heatmap',
+    'congestion_incidents_bar']), 'charts', 1
+  union all
+  select 'stage-counts', 'weather_documents', 'n_rows', count(distinct year(date)) from weather
+  union all select 'stage-counts', 'weather_days', 'n_rows', count(*) from weather
+  union all select 'stage-counts', 'incident_rows', 'n_rows', count(*) from orders
+  union all select 'stage-counts', 'joined_rows', 'n_rows', count(*) from incidents)
+select dataset, item, measure, round(value, 6) as value from found"""
     ),
     "stream_ingest": """
 select cast(o_orderdate as date) as date, cast(o_orderkey as varchar) as id, o_orderpriority as city,
@@ -292,4 +370,16 @@ select cast(o_orderdate as date) as date, cast(o_orderkey as varchar) as id, o_o
        cast(case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as int) as congestion_level_num
 from orders""",
     "incremental_trusted": _with("select * from incidents"),
+    "set_aside_arrivals": _with(
+        """select 'trusted' as stage, count(*) as n_rows from incidents
+union all select 'incidents_rows', count(*) from orders
+union all select 'incidents_rejected', 0
+union all select 'weather_rows', count(*) from weather
+union all select 'weather_rejected', count(distinct year(date)) from weather"""
+    ),
+    "compacted_arrivals": """
+select cast(o_orderdate as date) as date, cast(o_orderkey as varchar) as id, o_orderpriority as city,
+       cast(floor(o_totalprice / 1000) as int) as reported_incidents,
+       cast(case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as int) as congestion_level_num
+from orders""",
 }

@@ -5,17 +5,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rainlane.catalog.datasets import as_records, register_datasets, register_table, serve
-from rainlane.fixed_values import CHARTS, DATASETS, MODEL_GBT, MODEL_RF
+from rainlane.fixed_values import CHARTS, MODEL_GBT, MODEL_RF
 from rainlane.functions import casting, naming
 from rainlane.functions.encoding import ordinal_code
 from rainlane.learning import trees
+from rainlane.learning.store import load_models, save_models
 from rainlane.operators import charts, metrics, splitting, summary
 from rainlane.operators.counts import STAGE_COUNTS
 from rainlane.operators.joining import sliced_join
@@ -24,11 +26,11 @@ from rainlane.operators.scenario import scenario
 from rainlane.operators.unpack import pack_documents, unpack_days
 from rainlane.plans.analysis import analyse
 from rainlane.plans.charting import chart_datasets, run_files
-from rainlane.plans.daily import run_daily, write_trusted
+from rainlane.plans.daily import DESCRIPTIVE, run_daily, write_trusted
 from rainlane.plans.descriptive import descriptive, write_descriptive
-from rainlane.plans.forecasting import fit_and_report, holdout_scores, model_rows, train_eval
+from rainlane.plans.forecasting import fit_and_report, holdout_scores, model_rows, scored_days, train_eval
 from rainlane.plans.trusted import build_trusted, typed_incidents
-from rainlane.schemas import LONG, TEXT, TRUSTED, struct
+from rainlane.schemas import LONG, TEXT, struct
 from rainlane.settings import Layout, Settings, TreeGrids
 from rainlane.sinks.raw import land_documents, land_extract
 from rainlane.sinks.tables import append_table, overwrite_table
@@ -39,7 +41,8 @@ from rainlane.sources.star_tables import STATUS_CODES, incident_extract, star_ta
 from rainlane.sources.tables import read_table
 from rainlane.staging import new_folder, stage
 from rainlane.streaming.arrivals import ingest_incidents
-from rainlane.streaming.refresh import catch_up
+from rainlane.streaming.ledger import arrival_counts
+from rainlane.streaming.refresh import catch_up, listings_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -585,27 +588,27 @@ def rows_to_score(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def searched(spark: SparkSession, folder: str, regressor, grid, settings: Settings) -> DataFrame:
-    """Mean RMSE of every setting of ``grid``, over the stable folds of all rows."""
+def searched(spark: SparkSession, rows: DataFrame, regressor, grid, settings: Settings) -> DataFrame:
+    """Mean RMSE of every setting of ``grid`` over the folds of ``rows``."""
     trees.prepare_checkpoints(spark)
-    rows = model_rows(stage(trusted_of(spark, folder), "training"), settings)
     search = trees.cross_validated(regressor, grid, settings, fold_column="fold")
     return trees.search_results(spark, search.fit(rows), grid)
 
 
-@query
+def rows_to_search(spark: SparkSession, folder: str) -> DataFrame:
+    return model_rows(stage(trusted_of(spark, folder), "training"), SETTINGS)
+
+
 def rf_cv(spark: SparkSession, folder: str) -> DataFrame:
     """The full search: 27 settings, 5 folds."""
-    return searched(spark, folder, trees.forest(SETTINGS), SETTINGS.grids.rf, SETTINGS)
+    return searched(spark, rows_to_search(spark, folder), trees.forest(SETTINGS), SETTINGS.grids.rf, SETTINGS)
 
 
-@query
 def gbt_cv(spark: SparkSession, folder: str) -> DataFrame:
     """The full search: 12 settings, 5 folds."""
-    return searched(spark, folder, trees.boosted(SETTINGS), SETTINGS.grids.gbt, SETTINGS)
+    return searched(spark, rows_to_search(spark, folder), trees.boosted(SETTINGS), SETTINGS.grids.gbt, SETTINGS)
 
 
-@query
 def holdout_report(spark: SparkSession, folder: str) -> DataFrame:
     """Both full searches, fit and evaluate both models."""
     return train_eval(stage(trusted_of(spark, folder), "training"), SETTINGS).report.drop(
@@ -613,6 +616,10 @@ def holdout_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Searches on all features, which take longer than a check has; see the README for their time.
+FULL_SEARCHES: dict[str, Query] = {"rf_cv": rf_cv, "gbt_cv": gbt_cv, "holdout_report": holdout_report}
+
+
 def fitted(spark: SparkSession, folder: str, regressor):
     rows = trees.labelled(stage(trusted_of(spark, folder), "training"), SETTINGS)
     return trees.regression_chain(regressor, SETTINGS).fit(rows)
@@ -648,18 +655,36 @@ def fitted_to_levels(spark: SparkSession, folder: str, regressor):
     return trees.regression_chain(regressor, LEVELS_ONLY).fit(rows)
 
 
-# The same feature under the full grids.
+# The same feature under the full grids, and folds that SQL can state. Any tree that is deep
+# enough predicts the mean of each level of the training rows if it is grown on all of them.
 LEVEL_SEARCH = replace(SETTINGS, features=(LEVEL,))
 
 
+def level_folds(spark: SparkSession, folder: str) -> DataFrame:
+    rows = trusted_of(spark, folder).withColumn("fold", F.pmod(F.col("id").cast("bigint"), F.lit(5)).cast("int"))
+    return stage(trees.labelled(rows, LEVEL_SEARCH, "fold").coalesce(1), "level-folds")
+
+
 @query
 def rf_cv_levels(spark: SparkSession, folder: str) -> DataFrame:
-    return searched(spark, folder, trees.forest(LEVEL_SEARCH), LEVEL_SEARCH.grids.rf, LEVEL_SEARCH)
+    forest = trees.forest(LEVEL_SEARCH, bootstrap=False)
+    found = searched(spark, level_folds(spark, folder), forest, LEVEL_SEARCH.grids.rf, LEVEL_SEARCH)
+    return rounded(found, "avg_rmse")
 
 
 @query
 def gbt_cv_levels(spark: SparkSession, folder: str) -> DataFrame:
-    return searched(spark, folder, trees.boosted(LEVEL_SEARCH), LEVEL_SEARCH.grids.gbt, LEVEL_SEARCH)
+    boosted = trees.boosted(LEVEL_SEARCH)
+    found = searched(spark, level_folds(spark, folder), boosted, LEVEL_SEARCH.grids.gbt, LEVEL_SEARCH)
+    return rounded(found, "avg_rmse")
+
+
+@query
+def boosting_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    """Trees of one split, of which one is too few for three levels: each round counts."""
+    grid = {"maxIter": (1, 2), "maxDepth": (1,), "stepSize": (0.1,)}
+    found = searched(spark, level_folds(spark, folder), trees.boosted(LEVEL_SEARCH), grid, LEVEL_SEARCH)
+    return rounded(found, "avg_rmse")
 
 
 @query
@@ -678,6 +703,21 @@ def score_gbt_levels(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def stored_model_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Both models written, read again and applied to all days."""
+    layout = Layout(new_folder(spark, "store"), run="one")
+    grids = LEVELS_ONLY.grids
+    forest = fitted_to_levels(spark, folder, trees.forest(LEVELS_ONLY, numTrees=1, maxDepth=2, bootstrap=False))
+    boosted = fitted_to_levels(spark, folder, trees.boosted(LEVELS_ONLY, maxIter=1, maxDepth=2))
+    report = metrics.evaluation_report(fixed_predictions(spark, folder), trees.LABEL, PREDICTIONS)
+    models = {MODEL_RF: (forest, grids.rf), MODEL_GBT: (boosted, grids.gbt)}
+    save_models(layout, models, report, datetime.now(timezone.utc))
+    stored = load_models(spark, layout)
+    scored = scored_days(trusted_of(spark, folder), stored[MODEL_RF], stored[MODEL_GBT], LEVELS_ONLY)
+    return scored.select("id", "rf_incidents", "gbt_incidents")
+
+
 @query
 def holdout_report_levels(spark: SparkSession, folder: str) -> DataFrame:
     """Search, fit and report on the stable parts."""
@@ -705,21 +745,27 @@ def holdout_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def measures(rows: DataFrame, dataset: str, key: Column, *columns: str) -> DataFrame:
+    """One row per value: dataset, item, measure, value."""
+    values = [F.struct(F.lit(c).alias("measure"), F.round(F.col(c).cast("double"), 6).alias("value")) for c in columns]
+    return rows.select(F.lit(dataset).alias("dataset"), key.cast("string").alias("item"), F.inline(F.array(*values)))
+
+
 @query
 def daily_run(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole run on the landed tables: rows of each served dataset."""
+    """The run without models on the landed tables: what the served tables say."""
     layout = landed(spark, folder, "daily")
-    run_daily(spark, layout, SETTINGS, database="rainlane_daily")
-    counts = [
-        serve(spark, name, "rainlane_daily").agg(
-            F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("n_rows")
-        )
-        for name in DATASETS
+    run_daily(spark, layout, SETTINGS, database="rainlane_daily", with_models=False)
+    tables = {name: serve(spark, name, "rainlane_daily") for name in DESCRIPTIVE}
+    whole = F.lit("all")
+    parts = [
+        measures(tables["global-stats"], "global-stats", whole, *tables["global-stats"].columns),
+        measures(tables["correlations"], "correlations", whole, *tables["correlations"].columns),
+        measures(tables["congestion-stats"], "congestion-stats", F.col(LEVEL), "days_count", "avg_incidents", "avg_temp", "avg_precip"),
+        measures(tables["visualizations"].groupBy("visualization_type").agg(F.count(F.lit(1)).alias("charts")), "visualizations", F.col("visualization_type"), "charts"),
+        measures(read_table(spark, layout.stage_counts, STAGE_COUNTS), "stage-counts", F.col("stage"), "n_rows"),
     ]
-    trusted = read_table(spark, layout.trusted, TRUSTED).agg(
-        F.lit("trusted").alias("dataset"), F.count(F.lit(1)).alias("n_rows")
-    )
-    return reduce(DataFrame.unionByName, counts, trusted)
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Arrivals.
@@ -750,3 +796,26 @@ def incremental_trusted(spark: SparkSession, folder: str) -> DataFrame:
     land_extract(extract, layout.raw_incidents)
     land_documents(pack_documents(days.where(~early), place=PLACE), layout.raw_weather, "append")
     return catch_up(spark, layout, SETTINGS)
+
+
+@query
+def set_aside_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Each weather document arrives cut off as well; what can be read is taken in, and the rest
+    is put aside and counted."""
+    layout, settings = landed(spark, folder, "aside"), replace(SETTINGS, corrupt="set_aside")
+    documents = spark.read.text(layout.raw_weather, wholetext=True)
+    cut = stage(documents.select(F.expr("substr(value, 1, length(value) div 2)").alias("value")), "cut")
+    cut.write.mode("append").option("maxRecordsPerFile", 1).text(layout.raw_weather)
+    trusted = catch_up(spark, layout, settings).agg(F.lit("trusted").alias("stage"), F.count(F.lit(1)).alias("n_rows"))
+    counts = arrival_counts(spark, layout, listings_of(spark, layout))
+    return counts.where("stage not like '%files'").unionByName(trusted)
+
+
+@query
+def compacted_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """An export that came three times is landed once in the end."""
+    layout, settings = Layout(new_folder(spark, "compacted")), replace(SETTINGS, dead_share=0.0)
+    for _ in range(3):
+        land_extract(incident_extract(spark, folder), layout.raw_incidents)
+        catch_up(spark, layout, settings)
+    return spark.read.parquet(layout.landed_incidents).select("date", "id", "city", VALUE, LEVEL)

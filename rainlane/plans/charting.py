@@ -22,9 +22,14 @@ def chart_datasets(trusted: DataFrame, settings: Settings) -> dict[str, DataFram
 
 
 def write_charts(
-    spark: SparkSession, datasets: Mapping[str, DataFrame], layout: Layout, run_time: datetime
+    spark: SparkSession,
+    datasets: Mapping[str, DataFrame],
+    layout: Layout,
+    run_time: datetime,
+    before: DataFrame | None = None,
 ) -> None:
-    """Write each dataset as a JSON artifact and append their metadata."""
+    """Write each dataset as a JSON artifact and append their metadata. ``before``: metadata
+    that the table of another run has, to go on with."""
     stamp = f"{run_time:%Y%m%d_%H%M%S}"
     run_folder = f"{layout.charts}/{stamp}"
     for kind, data in datasets.items():
@@ -32,7 +37,7 @@ def write_charts(
     metadata = chart_metadata(
         chart_descriptions(spark), run_files(spark, run_folder), layout.charts, F.lit(stamp)
     )
-    append_table(metadata, layout.chart_metadata)
+    append_table(metadata if before is None else before.unionByName(metadata), layout.chart_metadata)
 
 
 def run_files(spark: SparkSession, run_folder: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rainlane.fixed_values import MODEL_GBT, MODEL_RF
-from rainlane.learning import trees
+from rainlane.learning import store, trees
 from rainlane.operators.metrics import evaluation_report
 from rainlane.operators.scenario import default_scenario
 from rainlane.operators.splitting import hashed_in_training
@@ -92,6 +92,9 @@ def model_rows(trusted: DataFrame, settings: Settings) -> DataFrame:
         "draw",
     )
     rows = stage(rows, "model-rows")
+    # Fits are many short jobs; a task for a few rows would only add to each of them.
+    n = rows.count()
+    rows = stage(rows.repartition(max(1, n // settings.rows_per_fit_task)), "model-rows")
     if settings.fit_rows is not None:
         n = rows.where("in_training").count()
         share = int(1_000_000 * min(1.0, settings.fit_rows / max(n, 1)))
@@ -109,13 +112,30 @@ def train_eval(trusted: DataFrame, settings: Settings, run_time: datetime | None
 def write_forecast(
     trusted: DataFrame, layout: Layout, settings: Settings, run_time: datetime | None = None
 ) -> Fitted:
-    spark = trusted.sparkSession
+    """Fit, report, store the models, and score with them."""
     fitted = train_eval(trusted, settings, run_time)
     overwrite_table(conformed(fitted.report, MODEL_EVALUATION), layout.model_evaluation)
-    overwrite_table(
-        conformed(default_scenario(spark, settings.seed), SCENARIO), layout.scenario
-    )
-    rows = read_table(spark, layout.scenario, SCENARIO)
-    overwrite_table(conformed(trees.score(fitted.rf, rows), PREDICTIONS), layout.predictions_rf)
-    overwrite_table(conformed(trees.score(fitted.gbt, rows), PREDICTIONS), layout.predictions_gbt)
+    report = read_table(trusted.sparkSession, layout.model_evaluation, MODEL_EVALUATION)
+    models = {MODEL_RF: (fitted.rf, settings.grids.rf), MODEL_GBT: (fitted.gbt, settings.grids.gbt)}
+    store.save_models(layout, models, report, run_time or datetime.now(timezone.utc))
+    write_scores(trusted, fitted.rf, fitted.gbt, layout, settings)
     return fitted
+
+
+def write_scores(
+    trusted: DataFrame, rf: PipelineModel, gbt: PipelineModel, layout: Layout, settings: Settings
+) -> None:
+    """The scenario and its scores, and the trusted days that have all features with both scores."""
+    spark = trusted.sparkSession
+    overwrite_table(conformed(default_scenario(spark, settings.seed), SCENARIO), layout.scenario)
+    rows = read_table(spark, layout.scenario, SCENARIO)
+    overwrite_table(conformed(trees.score(rf, rows), PREDICTIONS), layout.predictions_rf)
+    overwrite_table(conformed(trees.score(gbt, rows), PREDICTIONS), layout.predictions_gbt)
+    overwrite_table(scored_days(trusted, rf, gbt, settings), layout.scored_days)
+
+
+def scored_days(trusted: DataFrame, rf: PipelineModel, gbt: PipelineModel, settings: Settings) -> DataFrame:
+    """Rows with all features, and what both models predict for them as whole numbers."""
+    complete = trusted.dropna(subset=list(settings.features))
+    by_rf = trees.score(rf, complete).withColumnRenamed("predicted_incidents", "rf_incidents")
+    return trees.score(gbt, by_rf).withColumnRenamed("predicted_incidents", "gbt_incidents")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from rainlane.fixed_values import LEVEL_CODES, LEVEL_DEFAULT
 
@@ -48,21 +48,46 @@ class Settings:
     missing: str = "raise"
     # At most about so many labelled rows are fitted on; None takes all.
     fit_rows: int | None = None
+    # Rows that a task of a fit reads, about.
+    rows_per_fit_task: int = 50_000
+    # Raw input that can't be read: "raise", or "set_aside" in a table of its own and go on.
+    corrupt: str = "raise"
+    # Landed rows of files that are gone or written anew, as a share of the live ones, from
+    # which on they are cleared out.
+    dead_share: float = 0.5
     # Upper limit of raw files per micro-batch; None takes all that have arrived.
     files_per_batch: int | None = None
     # The weather side is broadcast only when its measured size is below this.
     broadcast_max_bytes: int = 64 << 20
+    # Runs whose refined tables are kept; readers may still be at the one before the last.
+    keep_runs: int = 2
+
+    @property
+    def corrupt_mode(self) -> str:
+        """What the sources do with input that can't be read."""
+        return {"raise": "raise", "set_aside": "keep"}[self.corrupt]
 
 
 @dataclass(frozen=True)
 class Layout:
-    """Paths of the raw, trusted and refined zones under one root."""
+    """Paths of the raw, trusted and refined zones under one root. The refined tables are those
+    of ``run``, if it is named."""
 
     root: str
+    run: str | None = None
 
     def at(self, *parts: str) -> str:
         return "/".join((self.root.rstrip("/"), *parts))
 
+    def of_run(self, run: str) -> Layout:
+        return replace(self, run=run)
+
+    def run_folder(self, run: str) -> str:
+        return self.at("refined", "runs", run)
+
+    def refined(self, *parts: str) -> str:
+        return "/".join((self.run_folder(self.run), *parts)) if self.run else self.at("refined", *parts)
+
     @property
     def raw_weather(self) -> str:
         return self.at("raw", "api")
@@ -71,13 +96,25 @@ class Layout:
     def raw_incidents(self) -> str:
         return self.at("raw", "mysql")
 
+    def landed(self, side: str) -> str:
+        return self.at("landed", "rows", side)
+
+    def rejected(self, side: str) -> str:
+        return self.at("landed", "rejected", side)
+
+    def ledger(self, side: str) -> str:
+        return self.at("landed", "ledger", side)
+
     @property
     def landed_weather(self) -> str:
-        return self.at("landed", "weather")
+        return self.landed("weather")
 
     @property
     def landed_incidents(self) -> str:
-        return self.at("landed", "incidents")
+        return self.landed("incidents")
+
+    def raw_rejected(self, side: str) -> str:
+        return self.at("trusted", "raw_rejected", side)
 
     @property
     def trusted(self) -> str:
@@ -101,15 +138,15 @@ class Layout:
 
     @property
     def global_stats(self) -> str:
-        return self.at("refined", "descriptive_stats", "global_stats")
+        return self.refined("descriptive_stats", "global_stats")
 
     @property
     def congestion_stats(self) -> str:
-        return self.at("refined", "descriptive_stats", "congestion_stats")
+        return self.refined("descriptive_stats", "congestion_stats")
 
     @property
     def correlations(self) -> str:
-        return self.at("refined", "descriptive_stats", "correlations")
+        return self.refined("descriptive_stats", "correlations")
 
     @property
     def charts(self) -> str:
@@ -117,23 +154,38 @@ class Layout:
 
     @property
     def chart_metadata(self) -> str:
-        return self.at("refined", "visualizations_metadata")
+        return self.refined("visualizations_metadata")
 
     @property
     def scenario(self) -> str:
-        return self.at("refined", "models", "test_data")
+        return self.refined("models", "test_data")
 
     @property
     def model_evaluation(self) -> str:
-        return self.at("refined", "models", "results", "model_evaluation")
+        return self.refined("models", "results", "model_evaluation")
 
     @property
     def predictions_rf(self) -> str:
-        return self.at("refined", "models", "results", "predictions_rf")
+        return self.refined("models", "results", "predictions_rf")
 
     @property
     def predictions_gbt(self) -> str:
-        return self.at("refined", "models", "results", "predictions_gbt")
+        return self.refined("models", "results", "predictions_gbt")
+
+    @property
+    def scored_days(self) -> str:
+        return self.refined("models", "results", "scored_days")
+
+    @property
+    def model_cards(self) -> str:
+        return self.refined("models", "cards")
+
+    def model(self, name: str) -> str:
+        return self.refined("models", "fitted", name.lower().replace(" ", "_"))
+
+    @property
+    def published(self) -> str:
+        return self.at("refined", "published")
 
     def checkpoint(self, stream: str) -> str:
-        return self.at("checkpoints", stream)
+        return self.at("checkpoints", "landing", stream)

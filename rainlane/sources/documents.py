@@ -18,11 +18,15 @@ def read_weather_documents(
 
 
 def stream_weather_documents(
-    spark: SparkSession, path: str, files_per_batch: int | None = None, sources: bool = False
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    sources: bool = False,
+    corrupt: str = "raise",
 ) -> DataFrame:
     """Documents as they arrive below ``path``, which need not be there yet."""
     reader = spark.readStream.schema(with_corrupt(WEATHER_DOCUMENT)).option("multiLine", True)
     reader = reader.options(**STREAM_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return checked(reader.json(f"{path}/*"), WEATHER_DOCUMENT, "raise", sources)
+    return checked(reader.json(f"{path}/*"), WEATHER_DOCUMENT, corrupt, sources)

@@ -37,12 +37,13 @@ def stream_extract(
     schema: T.StructType = INCIDENT_EXTRACT,
     files_per_batch: int | None = None,
     sources: bool = False,
+    corrupt: str = "raise",
 ) -> DataFrame:
     """Lines of the files as they arrive below ``path``, which need not be there yet."""
     reader = spark.readStream.schema(with_corrupt(schema)).options(**CSV_OPTIONS, **STREAM_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return checked(reader.csv(f"{path}/*"), schema, "raise", sources)
+    return checked(reader.csv(f"{path}/*"), schema, corrupt, sources)
 
 
 def read_relational_table(

@@ -53,6 +53,11 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 @contextmanager
 def own_folders(spark: SparkSession) -> Iterator[None]:
     """Remove the folders that were made within the block at its end. For plans that

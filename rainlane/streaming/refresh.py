@@ -11,61 +11,60 @@ from pyspark.sql import functions as F
 from rainlane.plans.trusted import join_typed
 from rainlane.schemas import DATE, FILE_VERSION, LONG, TEXT, TRUSTED, struct
 from rainlane.settings import Layout, Settings
-from rainlane.sources.raw_files import file_versions
-from rainlane.sources.tables import read_table
-from rainlane.staging import remove
+from rainlane.staging import remove, stage
 from rainlane.streaming.arrivals import (
-    LANDED,
-    VERSION,
-    ingest_incidents,
-    ingest_weather,
-    land_rewritten,
+    compact,
+    ingest,
+    land_unknown,
     landed_rows,
-    live_rows,
+    list_raw,
     month_of,
 )
+from rainlane.streaming.ledger import SIDES, VERSION, live_files, read_or_empty
 
 MANIFEST = struct(side=TEXT, **{f.name: f.dataType for f in FILE_VERSION.fields}, month=DATE)
 STATE = struct(n=LONG, mark=LONG)
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A table of this module, or an empty one where it isn't written yet."""
-    if file_versions(spark, path).isEmpty():
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+Listings = dict[str, DataFrame]
 
 
-def _sources(spark: SparkSession, layout: Layout) -> DataFrame:
-    """The files that each month has rows from, as the raw zone is now."""
-    sides = [
-        live_rows(spark, layout, side, landed_rows(spark, layout, side).where("month is not null").select(*VERSION, "month").distinct())
-        .select(F.lit(side).alias("side"), *VERSION, "month")
-        for side in LANDED
-    ]
-    return reduce(DataFrame.unionByName, sides)
+def listings_of(spark: SparkSession, layout: Layout) -> Listings:
+    """The raw zone as it is now."""
+    return {side: list_raw(spark, layout, side) for side in SIDES}
 
 
-def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) -> list[date]:
+def refresh_trusted(
+    spark: SparkSession, layout: Layout, settings: Settings, listings: Listings | None = None
+) -> list[date]:
     """Redo the months whose sources aren't those they were last built from; these months.
 
     A manifest says what each month was built from, and is written after the month. So a
     rerun of an export, a rewritten or a deleted file, and a late one redo their months, a
-    run that failed is made up for by the next one, and a repeated run does nothing. A
-    month is built from all its live rows and replaces its old files; no other month is
-    read.
+    run that failed is made up for by the next one, and a repeated run does nothing. What
+    there is to do follows from manifest, ledger and listing; a month is built from all its
+    live rows and replaces its old files, and landed rows of other months are not read.
     """
-    now = _sources(spark, layout)
-    was = _table(spark, layout.trusted_sources, MANIFEST)
+    listings = listings or listings_of(spark, layout)
+    live = {
+        side: stage(live_files(spark, layout, side, listings[side]).where("month is not null"), "live-files")
+        for side in SIDES
+    }
     keys = MANIFEST.fieldNames()
+    now = reduce(
+        DataFrame.unionByName,
+        [live[side].select(F.lit(side).alias("side"), *VERSION, "month").distinct() for side in SIDES],
+    )
+    was = read_or_empty(spark, layout.trusted_sources, MANIFEST)
     changed = now.join(was, keys, "left_anti").unionByName(was.join(now, keys, "left_anti"))
     months = sorted(r.month for r in changed.select("month").distinct().collect())
     if not months:
         return months
 
     def of_months(side: str) -> DataFrame:
-        rows = landed_rows(spark, layout, side).where(F.col("month").isin(months))
-        return live_rows(spark, layout, side, rows).drop(*VERSION, "month")
+        files = live[side].where(F.col("month").isin(months))
+        rows = landed_rows(spark, layout, side, files).where(F.col("month").isin(months))
+        return rows.drop(*VERSION, "month")
 
     rows = join_typed(of_months("weather"), of_months("incidents"), settings)
     seen = Observation("months")
@@ -74,8 +73,10 @@ def refresh_trusted(spark: SparkSession, layout: Layout, settings: Settings) ->
     _replace_months(rows.hint("rebalance", "month"), layout.trusted_by_month)
     for month in set(months) - set(seen.get.get("months") or []):
         remove(spark, f"{layout.trusted_by_month}/month={month}")
-    _replace_months(now.where(F.col("month").isin(months)), layout.trusted_sources)
-    left = {r.month for r in now.select("month").distinct().collect()}
+    again = now.where(F.col("month").isin(months))
+    left = {r.month for r in again.select("month").distinct().collect()}
+    if left:
+        _replace_months(again, layout.trusted_sources)
     for month in set(months) - left:
         remove(spark, f"{layout.trusted_sources}/month={month}")
     return months
@@ -91,11 +92,18 @@ def _replace_months(rows: DataFrame, path: str) -> None:
 
 
 def take_in(spark: SparkSession, layout: Layout, settings: Settings) -> list[date]:
-    """Land all arrivals and refresh the trusted table; the months that were redone."""
-    for step in (ingest_incidents, ingest_weather):
-        step(spark, layout, settings).awaitTermination()
-    land_rewritten(spark, layout, settings)
-    return refresh_trusted(spark, layout, settings)
+    """Land all arrivals, refresh the trusted table and clear out what is superseded; the
+    months that were redone."""
+    streams = [ingest(spark, layout, side, settings) for side in SIDES]
+    for stream in streams:
+        stream.awaitTermination()
+    listings = listings_of(spark, layout)
+    for side in SIDES:
+        land_unknown(spark, layout, side, settings, listings[side])
+    months = refresh_trusted(spark, layout, settings, listings)
+    for side in SIDES:
+        compact(spark, layout, side, settings, listings[side])
+    return months
 
 
 def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFrame:
@@ -105,14 +113,12 @@ def catch_up(spark: SparkSession, layout: Layout, settings: Settings) -> DataFra
 
 
 def trusted_by_month(spark: SparkSession, layout: Layout) -> DataFrame:
-    if file_versions(spark, layout.trusted_by_month).isEmpty():
-        return spark.createDataFrame([], TRUSTED)
-    return read_table(spark, layout.trusted_by_month, TRUSTED)
+    return read_or_empty(spark, layout.trusted_by_month, TRUSTED)
 
 
 def trusted_state(spark: SparkSession, layout: Layout) -> tuple[int, int]:
     """Number and a checksum of the sources that the trusted table was built from."""
-    row = _table(spark, layout.trusted_sources, MANIFEST).agg(
+    row = read_or_empty(spark, layout.trusted_sources, MANIFEST).agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.bit_xor(F.xxhash64(*MANIFEST.fieldNames())), F.lit(0)).alias("mark"),
     ).first()
@@ -121,7 +127,7 @@ def trusted_state(spark: SparkSession, layout: Layout) -> tuple[int, int]:
 
 def refined_state(spark: SparkSession, layout: Layout) -> tuple[int, int]:
     """The state that the refined tables were last made from; nothing yet is (0, 0)."""
-    row = _table(spark, layout.refined_state, STATE).first()
+    row = read_or_empty(spark, layout.refined_state, STATE).first()
     return (row.n, row.mark) if row else (0, 0)
 
 

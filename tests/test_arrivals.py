@@ -1,6 +1,7 @@
 import os
 import re
 from collections import Counter
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -14,9 +15,11 @@ from rainlane.settings import Layout, Settings
 from rainlane.sinks.raw import land_documents, land_extract
 from rainlane.sources.documents import read_weather_documents
 from rainlane.sources.extracts import read_extract
-from rainlane.streaming.arrivals import ingest_incidents, ingest_weather, landed_rows
 from rainlane.staging import remove
-from rainlane.streaming.refresh import catch_up, refresh_trusted
+from rainlane.streaming import arrivals
+from rainlane.streaming.arrivals import ingest_incidents, ingest_weather, landed_rows
+from rainlane.streaming.ledger import SIDES, arrival_counts, entries_of, landed_files, rejected
+from rainlane.streaming.refresh import catch_up, listings_of, refresh_trusted
 
 SETTINGS = Settings()
 START = date(2022, 1, 1)
@@ -235,3 +238,154 @@ def test_texts_keep_their_blanks(spark, tmp_path):
     land_extract(spark.createDataFrame([("  Cali ", " Bajo")], "id string, city string"), path)
     schema = spark.createDataFrame([], "id string, city string").schema
     assert read_extract(spark, path, schema).collect() == [("  Cali ", " Bajo")]
+
+
+ASIDE = replace(SETTINGS, corrupt="set_aside")
+
+
+def test_a_refresh_does_not_read_landed_rows_of_other_months(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0, 40)
+    arrive_weather(spark, layout, 0, 40, 41)
+    catch_up(spark, layout, SETTINGS)
+    for side in SIDES:
+        for path in (tmp_path / "landed" / "rows" / side).glob("batch=*/month=2022-01-01/*.parquet"):
+            path.write_bytes(b"no parquet")
+    arrive_incidents(spark, layout, 41)
+    assert refresh_trusted(spark, layout, SETTINGS) == []
+    assert catch_up(spark, layout, SETTINGS).count() == 3
+
+
+def test_corrupt_input_is_set_aside(spark, tmp_path):
+    """One cut-off document among three files: the others arrive; repaired, it arrives too."""
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0, 1, 2)
+    arrive_weather(spark, layout, 0)
+    arrive_weather(spark, layout, 1)
+    cut = tmp_path / "raw" / "api" / "cut.json"
+    whole = '{"daily": {"time": ["2022-01-03"], "temperature_2m_max": [22.5], "precipitation_sum": [0.5]}}'
+    cut.write_text(whole[:40])
+    (tmp_path / "raw" / "mysql" / "a.csv").write_text("id,city,reported_incidents,congestion_level,incident_date\n8,M,5,Bajo\n9,M,5,Bajo,2022-01-01\n")
+
+    def counts():
+        return {r.stage: r.n_rows for r in arrival_counts(spark, layout, listings_of(spark, layout)).collect()}
+
+    assert catch_up(spark, layout, ASIDE).count() == 3
+    assert counts()["weather_rejected"] == counts()["incidents_rejected"] == 1
+    assert (counts()["weather_files"], counts()["weather_rows"], counts()["incidents_rows"]) == (3, 2, 4)
+    listings = listings_of(spark, layout)
+    assert [r.record for r in rejected(spark, layout, "weather", listings["weather"]).collect()] == [whole[:40]]
+    row = rejected(spark, layout, "incidents", listings["incidents"]).first()
+    assert row.record == "8,M,5,Bajo" and row.source_file.endswith("a.csv")
+    cut.write_text(whole)
+    os.utime(cut, (2e9, 2e9))
+    assert catch_up(spark, layout, ASIDE).count() == 4
+    assert (counts()["weather_rejected"], counts()["weather_rows"]) == (0, 3)
+    assert rejected(spark, layout, "weather", listings_of(spark, layout)["weather"]).count() == 0
+
+
+def test_the_daily_run_sets_corrupt_input_aside(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0, 1)
+    arrive_weather(spark, layout, 0, 1)
+    (tmp_path / "raw" / "api" / "cut.json").write_text('{"daily": {"time": [')
+    with pytest.raises(Exception, match="corrupt input"):
+        daily.run_daily(spark, layout, SETTINGS, with_models=False)
+    daily.run_daily(spark, layout, ASIDE, with_models=False)
+    counts = {r.stage: r.n_rows for r in spark.read.parquet(layout.stage_counts).collect()}
+    assert counts == {
+        "rejected_weather": 1, "rejected_incidents": 0, "weather_documents": 1, "weather_days": 2,
+        "incident_rows": 2, "joined_rows": 2,
+    }
+    assert [r.record for r in spark.read.parquet(layout.raw_rejected("weather")).collect()] == ['{"daily": {"time": [']
+
+
+def rows_on_disk(spark, layout, side="incidents"):
+    return spark.read.parquet(layout.landed(side)).count()
+
+
+def test_compaction_keeps_one_copy(spark, tmp_path):
+    """Ten times the same export: each is landed, and the landed table holds one in the end."""
+    layout, once = Layout(str(tmp_path)), replace(SETTINGS, dead_share=2.0)
+    arrive_weather(spark, layout, 0, 1, 40)
+    sizes = []
+    for n in range(10):
+        whole_export(spark, layout, n, 6)
+        ingest_incidents(spark, layout, once).awaitTermination()
+        listing = arrivals.list_raw(spark, layout, "incidents")
+        arrivals.land_unknown(spark, layout, "incidents", once, listing)
+        arrivals.compact(spark, layout, "incidents", once, listing)
+        sizes.append(rows_on_disk(spark, layout))
+    assert max(sizes) <= 6 and sizes.count(2) >= 2
+    arrivals.compact(spark, layout, "incidents", replace(once, dead_share=0.0), arrivals.list_raw(spark, layout, "incidents"))
+    assert rows_on_disk(spark, layout) == 2
+    assert rows_of(catch_up(spark, layout, SETTINGS)) == full_rebuild(spark, layout)
+    assert refresh_trusted(spark, layout, SETTINGS) == []
+
+
+def test_a_compaction_that_fails_changes_nothing(spark, tmp_path, monkeypatch):
+    layout, always = Layout(str(tmp_path)), replace(SETTINGS, dead_share=0.0)
+    arrive_weather(spark, layout, 0, 1)
+    whole_export(spark, layout, 5, 6)
+    catch_up(spark, layout, SETTINGS)
+    whole_export(spark, layout, 7, 8)
+
+    def fail(*_, **__):
+        raise RuntimeError("out of order")
+
+    for step in ("note", "forget"):
+        with monkeypatch.context() as patch:
+            patch.setattr(arrivals, step, fail)
+            listing = arrivals.list_raw(spark, layout, "incidents")
+            if step == "note":
+                patch.setattr(arrivals, step, arrivals_note_failing_on_compaction(fail))
+                ingest_incidents(spark, layout, SETTINGS).awaitTermination()
+            with pytest.raises(Exception, match="out of order"):
+                arrivals.compact(spark, layout, "incidents", always, listing)
+        live = landed_files(spark, layout, "incidents").join(listing, ["source_file", "source_time"], "left_semi")
+        assert sorted(r.reported_incidents for r in landed_rows(spark, layout, "incidents", live).collect()) == [7, 8]
+    # The second time the new batch counts, and what it took the place of is still there, but void.
+    assert rows_on_disk(spark, layout) == 4
+    void = {name for r in entries_of(spark, layout, "incidents").where("size(replaces) > 0").collect() for name in r.replaces}
+    assert void and void & {r.batch for r in entries_of(spark, layout, "incidents").collect()} == void
+    assert rows_of(catch_up(spark, layout, always)) == full_rebuild(spark, layout)
+
+
+def arrivals_note_failing_on_compaction(fail):
+    from rainlane.streaming.ledger import note
+
+    return lambda entries, layout, side, batch, replaces=None: fail() if replaces else note(entries, layout, side, batch)
+
+
+def test_a_batch_that_is_landed_again_counts_once(spark, tmp_path):
+    """A stream that forgot that it was done; the second batch has the same name."""
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0, 1)
+    arrive_weather(spark, layout, 0, 1)
+    first = rows_of(catch_up(spark, layout, SETTINGS))
+    remove(spark, layout.checkpoint("incidents"))
+    assert rows_of(catch_up(spark, layout, SETTINGS)) == first
+    assert rows_on_disk(spark, layout) == 2
+
+
+def test_files_without_rows_are_read_once(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0)
+    head = "id,city,reported_incidents,congestion_level,incident_date\n"
+    (tmp_path / "raw" / "mysql" / "empty (1).csv").write_text(head)
+    for _ in range(2):
+        catch_up(spark, layout, SETTINGS)
+        assert arrivals.list_raw(spark, layout, "incidents").count() == landed_files(spark, layout, "incidents").select("source_file").distinct().count()
+    (tmp_path / "raw" / "mysql" / "empty (1).csv").write_text(f"{head}1,M,5,Bajo,2022-01-01\n")
+    os.utime(tmp_path / "raw" / "mysql" / "empty (1).csv", (2e9, 2e9))
+    arrive_weather(spark, layout, 0)
+    assert catch_up(spark, layout, SETTINGS).count() == 2
+
+
+def test_names_like_globs_are_refused(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    arrive_incidents(spark, layout, 0)
+    arrive_weather(spark, layout, 0)
+    (tmp_path / "raw" / "mysql" / "a[1].csv").write_text("id,city,reported_incidents,congestion_level,incident_date\n")
+    with pytest.raises(ValueError, match="must not have"):
+        catch_up(spark, layout, SETTINGS)

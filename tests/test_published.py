@@ -1,0 +1,107 @@
+"""Runs publish all their tables together; stored models score without a fit."""
+
+import random
+from dataclasses import replace
+from datetime import date, timedelta
+
+import pytest
+from pyspark.ml import Pipeline
+
+from rainlane.catalog.datasets import serve
+from rainlane.catalog.published import MODELS, current_runs, follow_log, publications, publish
+from rainlane.fixed_values import DATASETS, MODEL_GBT, MODEL_RF
+from rainlane.learning.store import CARD, load_models
+from rainlane.operators.unpack import pack_documents
+from rainlane.plans import daily
+from rainlane.schemas import INCIDENT_EXTRACT, WEATHER_DAYS
+from rainlane.settings import Layout, Settings, TreeGrids
+from rainlane.sinks.raw import land_documents, land_extract
+from rainlane.staging import is_there
+
+SMALL = replace(
+    Settings(),
+    grids=TreeGrids(
+        rf={"numTrees": (2, 3), "maxDepth": (3,)}, gbt={"maxIter": (1, 2), "maxDepth": (2,), "stepSize": (0.1,)}, folds=2
+    ),
+)
+
+
+def land(spark, layout, seed, n=90):
+    rng = random.Random(seed)
+    days = [(date(2022, 1, 1) + timedelta(days=i), round(rng.uniform(18, 30), 1), round(rng.uniform(0, 9), 1)) for i in range(n)]
+    land_documents(pack_documents(spark.createDataFrame(days, WEATHER_DAYS)), layout.raw_weather)
+    rows = [(str(i), "M", str(rng.randint(0, 20)), rng.choice(["Bajo", "Medio", "Alto"]), d.isoformat()) for i, (d, *_) in enumerate(days)]
+    land_extract(spark.createDataFrame(rows, INCIDENT_EXTRACT), layout.raw_incidents)
+
+
+def served(spark, database):
+    return {name: sorted(map(str, serve(spark, name, database).collect())) for name in DATASETS}
+
+
+@pytest.fixture(scope="module")
+def layout(spark, tmp_path_factory):
+    layout = Layout(str(tmp_path_factory.mktemp("lake")))
+    land(spark, layout, 1)
+    daily.run_daily(spark, layout, SMALL, database="rainlane_published")
+    return layout
+
+
+def test_a_failing_step_leaves_all_datasets(spark, layout, monkeypatch):
+    before, runs = served(spark, "rainlane_published"), current_runs(spark, layout)
+    land(spark, layout, 2)
+
+    def fail(*_, **__):
+        raise RuntimeError("out of order")
+
+    monkeypatch.setattr(daily, "write_forecast", fail)
+    with pytest.raises(RuntimeError, match="out of order"):
+        daily.run_daily(spark, layout, SMALL, database="rainlane_published")
+    assert served(spark, "rainlane_published") == before
+    assert current_runs(spark, layout) == runs
+
+
+def test_stored_models_score_without_a_fit(spark, layout, monkeypatch):
+    """A second session, without a fit: the scenario and the days of the new raw files."""
+    before, runs = served(spark, "rainlane_published"), current_runs(spark, layout)
+    land(spark, layout, 3)
+
+    def fail(*_, **__):
+        raise RuntimeError("no fit here")
+
+    monkeypatch.setattr(Pipeline, "_fit", fail)
+    again = spark.newSession()
+    assert daily.run_on_arrival(again, layout, SMALL, database="rainlane_published", with_models=False)
+    after, now = served(again, "rainlane_published"), current_runs(spark, layout)
+    assert now[MODELS] == runs[MODELS] and now["model-evaluation"] == runs["model-evaluation"]
+    assert now["predictions-rf"] == now["global-stats"] != runs["global-stats"]
+    for name in ("predictions-rf", "predictions-gbt", "model-evaluation", "test-data"):
+        assert after[name] == before[name] and before[name]
+    assert after["global-stats"] != before["global-stats"]
+    assert len(after["visualizations"]) == len(before["visualizations"]) + 4
+    days = again.read.parquet(layout.of_run(now["predictions-rf"]).scored_days)
+    assert days.count() == 90 and days.where("rf_incidents is null or gbt_incidents is null").count() == 0
+
+
+def test_cards_say_what_was_chosen(spark, layout):
+    of_run = layout.of_run(current_runs(spark, layout)[MODELS])
+    cards = {r.model: r for r in spark.read.schema(CARD).parquet(of_run.model_cards).collect()}
+    assert set(cards) == {MODEL_RF, MODEL_GBT} == set(load_models(spark, of_run))
+    assert cards[MODEL_RF].grid == '{"numTrees": [2, 3], "maxDepth": [3]}'
+    assert '"maxDepth": 2' in cards[MODEL_GBT].chosen and cards[MODEL_RF].rmse > 0
+
+
+def test_old_runs_go_and_the_log_is_followed(spark, tmp_path):
+    layout = Layout(str(tmp_path))
+    for k in range(4):
+        run = layout.of_run(f"run{k}")
+        spark.range(k + 1).selectExpr("cast(id as double) temp_corr", "0d precip_corr", "0d congestion_corr").write.parquet(run.correlations)
+        publish(spark, layout, f"run{k}", ["correlations"], "rainlane_follow", keep=2)
+        assert serve(spark, "correlations", "rainlane_follow").count() == k + 1
+    assert [is_there(spark, layout.run_folder(f"run{k}")) for k in range(4)] == [False, False, True, True]
+    assert publications(spark, layout).count() == 4
+    # A run that failed after the log, before the tables.
+    spark.range(7).selectExpr("0d temp_corr", "0d precip_corr", "0d congestion_corr").write.parquet(layout.of_run("run4").correlations)
+    publish(spark, layout, "run4", ["correlations"])
+    assert serve(spark, "correlations", "rainlane_follow").count() == 4
+    follow_log(spark, layout, "rainlane_follow")
+    assert serve(spark, "correlations", "rainlane_follow").count() == 7
