@@ -136,11 +136,18 @@ def land_unknown(spark: SparkSession, layout: Layout, side: str, settings: Setti
     land_batch(raw, layout, side, settings, f"u{mark}", files=unknown)
 
 
-def landed_rows(spark: SparkSession, layout: Layout, side: str, files: DataFrame | None = None) -> DataFrame:
-    """Rows of the batches that count, or of those versions and months of ``files`` alone. The
-    batches are named to the scan, so that it looks into no other."""
+def landed_rows(
+    spark: SparkSession,
+    layout: Layout,
+    side: str,
+    files: DataFrame | None = None,
+    batches: list[str] | None = None,
+) -> DataFrame:
+    """Rows of the batches that count, or of the versions in ``files`` alone. Their batches
+    are named to the scan, so that it looks into no other."""
     files = landed_files(spark, layout, side) if files is None else files
-    batches = [r.batch for r in files.select("batch").distinct().collect()]
+    if batches is None:
+        batches = [r.batch for r in files.select("batch").distinct().collect()]
     schema = T.StructType([*LANDED[side].fields, T.StructField("batch", TEXT)])
     rows = read_or_empty(spark, layout.landed(side), schema).where(F.col("batch").isin(batches))
     return rows.join(files.select("batch", *VERSION).distinct(), ["batch", *VERSION], "left_semi").select(

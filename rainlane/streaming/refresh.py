@@ -46,24 +46,23 @@ def refresh_trusted(
     live rows and replaces its old files, and landed rows of other months are not read.
     """
     listings = listings or listings_of(spark, layout)
-    live = {
-        side: stage(live_files(spark, layout, side, listings[side]).where("month is not null"), "live-files")
-        for side in SIDES
-    }
+    files = [live_files(spark, layout, side, listings[side]).withColumn("side", F.lit(side)) for side in SIDES]
+    live = stage(reduce(DataFrame.unionByName, files).where("month is not null"), "live-files")
     keys = MANIFEST.fieldNames()
-    now = reduce(
-        DataFrame.unionByName,
-        [live[side].select(F.lit(side).alias("side"), *VERSION, "month").distinct() for side in SIDES],
-    )
-    was = read_or_empty(spark, layout.trusted_sources, MANIFEST)
-    changed = now.join(was, keys, "left_anti").unionByName(was.join(now, keys, "left_anti"))
-    months = sorted(r.month for r in changed.select("month").distinct().collect())
+    now, was = live.select(*keys).distinct(), read_or_empty(spark, layout.trusted_sources, MANIFEST)
+    both = now.withColumns({"now": F.lit(1), "was": F.lit(0)}).unionByName(was.withColumns({"now": F.lit(0), "was": F.lit(1)}))
+    by_file = both.groupBy(*keys).agg(F.max("now").alias("now"), F.max("was").alias("was"))
+    by_month = by_file.groupBy("month").agg(F.max(F.col("now") != F.col("was")).alias("changed"), F.max("now").alias("now"))
+    found = by_month.where("changed").collect()
+    months = sorted(r.month for r in found)
     if not months:
         return months
+    in_months = F.col("month").isin(months)
+    batches = live.where(in_months).select("side", "batch").distinct().collect()
 
     def of_months(side: str) -> DataFrame:
-        files = live[side].where(F.col("month").isin(months))
-        rows = landed_rows(spark, layout, side, files).where(F.col("month").isin(months))
+        own = live.where(in_months & (F.col("side") == side))
+        rows = landed_rows(spark, layout, side, own, [r.batch for r in batches if r.side == side]).where(in_months)
         return rows.drop(*VERSION, "month")
 
     rows = join_typed(of_months("weather"), of_months("incidents"), settings)
@@ -73,10 +72,9 @@ def refresh_trusted(
     _replace_months(rows.hint("rebalance", "month"), layout.trusted_by_month)
     for month in set(months) - set(seen.get.get("months") or []):
         remove(spark, f"{layout.trusted_by_month}/month={month}")
-    again = now.where(F.col("month").isin(months))
-    left = {r.month for r in again.select("month").distinct().collect()}
+    left = {r.month for r in found if r.now}
     if left:
-        _replace_months(again, layout.trusted_sources)
+        _replace_months(now.where(in_months), layout.trusted_sources)
     for month in set(months) - left:
         remove(spark, f"{layout.trusted_sources}/month={month}")
     return months
