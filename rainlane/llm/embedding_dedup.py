@@ -5,17 +5,21 @@ to length 1, and the correction factor <x, o>. For another vector q, <x, q> / <x
 estimates <o, q> without bias, and how far it may be off is bounded with any confidence
 that is asked for, from the correction factor and the dimension alone.
 
-Signs of further rotations sort vectors into buckets, several tables of them, so that two
+Signs along further random directions sort vectors into buckets, several tables of them, so that two
 vectors at the threshold share a bucket of some table with a given chance; closer ones
 nearly surely. Within a bucket all pairs are estimated from the codes. Only vectors with a
 partner whose upper bound reaches the threshold have their components sent, and are
 computed again, exactly. A pair is looked at in the first table that has it in one bucket,
 and never leaves its task: what goes out is how many links each vector has, and the edges
 of a forest that connects what the links connect.
+
+Equal vectors are one from the start, and count as often as they occur, so that copies cost
+nothing in the buckets.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,9 +40,10 @@ PLACE = ["dim", "tab", "bucket", "tile"]
 
 @lru_cache(maxsize=4)
 def rotations(dim: int, count: int, seed: int) -> np.ndarray:
-    """Random orthogonal matrices side by side: dim x (count * dim)."""
+    """A random orthogonal matrix and, beside it, ``count`` independent directions: those of one
+    rotation depend on one another, and the chance to share a bucket would be less."""
     rng = np.random.default_rng([seed, dim])
-    return np.hstack([np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(count)])
+    return np.hstack([np.linalg.qr(rng.normal(size=(dim, dim)))[0], rng.normal(size=(dim, count))])
 
 
 def tables_for(rows: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -54,8 +59,7 @@ class Coder:
 
     def __init__(self, dim: int, bits: int, tables: int, seed: int):
         self.dim, self.bits, self.tables = dim, bits, tables
-        turns = 1 + -(-bits * tables // dim)
-        self.turned = rotations(dim, turns, seed)
+        self.turned = rotations(dim, bits * tables, seed)
 
     def code(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Rotated vectors of the first rotation, correction factors, and buckets by table."""
@@ -69,6 +73,14 @@ class Coder:
 
 def unit_vectors(column: pa.Array) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
     """Places of the usable vectors, and these vectors at length 1 in double precision."""
+    lengths = column.value_lengths()
+    whole = column.null_count == 0 and column.flatten().null_count == 0 and len(column) > 0
+    if whole and lengths[0].as_py() and len(lengths.unique()) == 1:
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+        largest = np.abs(values).max(axis=1)
+        places = np.flatnonzero(np.isfinite(largest) & (largest > 0))
+        values = values[places] / largest[places, None]
+        return places.tolist(), list(values / np.sqrt(np.einsum("ij,ij->i", values, values))[:, None])
     places, found = [], []
     for at, value in enumerate(column):
         if not value.is_valid or value.values.null_count or not len(value.values):
@@ -78,13 +90,13 @@ def unit_vectors(column: pa.Array) -> tuple[list[int], np.ndarray, list[np.ndarr
         if np.isfinite(largest) and largest > 0:
             vector = vector / largest
             places.append(at)
-            found.append(vector / np.sqrt(vector @ vector))
+            found.append(vector / np.sqrt(np.einsum("j,j->", vector, vector)))
     return places, found
 
 
 def encode(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     """Columns row, dim, signs, factor, turned (8 bits each) and step, buckets, per usable
-    vector of ``vectors`` (row, embedding)."""
+    vector of ``vectors`` (row, embedding), and digest, the same for equal vectors."""
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,11 +119,14 @@ def encode(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
                     pa.array([x.tobytes() for x in turned], pa.binary()),
                     pa.array(step.astype(np.float32)),
                     pa.array(list(buckets), pa.list_(pa.int64())),
+                    pa.array([hashlib.blake2b(found[i] + 0.0, digest_size=16).digest() for i in own], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["row", "dim", "signs", "factor", "turned", "step", "buckets"]
-    schema = "row long, dim int, signs binary, factor float, turned binary, step float, buckets array<long>"
+    names = ["row", "dim", "signs", "factor", "turned", "step", "buckets", "digest"]
+    schema = (
+        "row long, dim int, signs binary, factor float, turned binary, step float, buckets array<long>, digest binary"
+    )
     return vectors.mapInArrow(encoded, schema)
 
 
@@ -226,8 +241,9 @@ def may_reach(part: pa.RecordBatch, dim: int, threshold: float) -> np.ndarray:
 
 
 def exact_links(survivors: DataFrame, threshold: float, bits: int, tables: int, seed: int) -> DataFrame:
-    """Per tile and vector (row, embedding and PLACE): n_links, and root, a smaller or the
-    same row that it is connected with by links of the tile."""
+    """Per tile and vector (row, embedding, copies and PLACE): n_links, by how many copies its
+    partners have, and root, a smaller or the same row that it is connected with by links of
+    the tile."""
 
     def computed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, runs in blocks(batches):
@@ -235,6 +251,7 @@ def exact_links(survivors: DataFrame, threshold: float, bits: int, tables: int,
             wanted = pairs_of(runs, _column(batch, "chunk").to_numpy(), _column(batch, "tile").to_numpy())
             tabs, dims = _column(batch, "tab").to_numpy(), _column(batch, "dim").to_numpy()
             links, root = np.zeros(len(rows), np.int64), rows.copy()
+            copies = _column(batch, "copies").to_numpy()
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
                 _, found = unit_vectors(_column(batch, "embedding").take(pa.array(own)))
@@ -243,7 +260,8 @@ def exact_links(survivors: DataFrame, threshold: float, bits: int, tables: int,
                 _, _, buckets = Coder(int(dim), bits, tables, seed).code(vectors)
                 met = first_meeting(buckets, i, j, tabs[own])
                 i, j = own[i[met]], own[j[met]]
-                links += np.bincount(i, minlength=len(rows)) + np.bincount(j, minlength=len(rows))
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
                 while len(i):
                     least = np.minimum(root[i], root[j])
                     if (root[i] == least).all() and (root[j] == least).all():
@@ -269,7 +287,8 @@ def near_duplicates(
     """Columns id, n_links, component_id and kept per row of ``vectors``.
 
     Rows with a cosine of ``threshold`` or more, in double precision, are linked; a link at
-    the threshold itself is found with chance ``recall``, and no link is below it. Vectors
+    the threshold itself is found with chance ``recall``, and no link is below it. Equal
+    vectors are always linked. Vectors
     that are null, empty or zero, or hold null or non-finite components, link with nothing;
     vectors of different dimensions aren't compared. Each row is a vector of its own, also
     where ids are shared; a null id is larger than all others. Of the rows of a component
@@ -283,17 +302,30 @@ def near_duplicates(
     given = stage(given, "dedup-vectors")
     bits, tables = tables_for(given.count(), threshold, recall)
     codes = stage(encode(given.select("row", "embedding"), bits, tables, seed), "dedup-codes")
-    postings = codes.select("*", F.posexplode("buckets").alias("tab", "bucket"))
+    classes = codes.groupBy("digest").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
+    classes = stage(classes, "dedup-classes")
+    firsts = codes.join(classes.select(F.col("first").alias("row")), "row", "left_semi").drop("digest")
+    postings = firsts.select("*", F.posexplode("buckets").alias("tab", "bucket"))
     survivors = stage(undecided(in_tiles(postings), threshold), "dedup-survivors")
-    whole = survivors.join(given.select("row", "embedding"), "row")
+    sized = classes.select(F.col("first").alias("row"), "copies")
+    whole = survivors.join(given.select("row", "embedding"), "row").join(sized, "row")
     links = stage(exact_links(whole, threshold, bits, tables, seed), "dedup-links")
     counts = links.groupBy("row").agg(F.sum("n_links").alias("n_links"))
     roots = connected(links.select(F.col("row").alias("a"), F.col("root").alias("b")))
-    named = (
-        given.select("row", "id")
+    none = F.lit(0).cast("long")
+    found = (
+        classes.withColumnRenamed("first", "row")
         .join(counts, "row", "left")
         .join(roots.withColumnRenamed("node", "row"), "row", "left")
-        .select("row", "id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "row").alias("root"))
+        .select(
+            "digest",
+            (F.coalesce("n_links", none) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("root", "row").alias("root"),
+        )
+    )
+    found = codes.select("row", "digest").join(found, "digest").drop("digest")
+    named = given.select("row", "id").join(found, "row", "left").select(
+        "row", "id", F.coalesce("n_links", none).alias("n_links"), F.coalesce("root", "row").alias("root")
     )
     named = stage(named, "dedup-named")
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))

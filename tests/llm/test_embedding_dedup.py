@@ -83,3 +83,34 @@ def test_chance_to_meet_grows_with_tables():
 
 def test_empty_table(spark):
     assert own.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("dim", [16, 64])
+@pytest.mark.parametrize("rows", [51_282, 15_000_000])
+def test_recall_of_planted_pairs(dim, rows):
+    """Pairs at a cosine of 0.90 to 0.92 share a bucket as surely as is said."""
+    bits, tables = own.tables_for(rows, 0.9, 0.999)
+    rng = np.random.default_rng(dim)
+    a, b = rng.normal(size=(2, 6000, dim))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b /= np.linalg.norm(b, axis=1)[:, None]
+    for cosine, least in ((0.9, 0.9975), (0.92, 0.9995)):
+        met = 0
+        for seed in range(4):
+            coder = own.Coder(dim, bits, tables, seed)
+            part = slice(1500 * seed, 1500 * (seed + 1))
+            close = cosine * a[part] + np.sqrt(1 - cosine**2) * b[part]
+            met += (coder.code(a[part])[2] == coder.code(close)[2]).any(axis=1).sum()
+        assert met / 6000 >= least
+
+
+def test_equal_vectors_are_one(spark, rows):
+    """Thousands of copies, whose pairs are never enumerated."""
+    far = rows[0][1]
+    near = [x + 0.01 for x in far]
+    many = [(10_000 + i, far, "r", None, 1) for i in range(3000)] + [(20_000 + i, near, "r", None, 1) for i in range(5)]
+    vectors = spark.createDataFrame([*many, *rows[:20]], SCHEMA)
+    found = {r.id: r for r in own.near_duplicates(vectors).collect()}
+    assert found[10_000].n_links == 3000 + 5 and found[20_004].n_links == 4 + 3001 and found[0].n_links == 3005
+    assert {found[i].component_id for i in (0, 10_000, 12_999, 20_000)} == {0} and found[0].kept and not found[10_001].kept
