@@ -256,8 +256,18 @@ def _build_filter(key: tuple, keys: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"shard": [key[0]], "content": [content]})
 
 
-def drop_repeated_lines(docs: DataFrame, **options) -> DataFrame:
+def shards_for(docs: DataFrame, text_column: str, min_points: int, min_documents: int) -> int:
+    """So many shards that none has over a million frequent keys: each of these takes up at
+    least ``min_points`` bytes in ``min_documents`` documents."""
+    size = docs.agg(F.sum(F.octet_length(text_column).cast("long"))).first()[0] or 0
+    return max(64, size // (max(1, min_points) * max(1, min_documents) * 1_000_000))
+
+
+def drop_repeated_lines(
+    docs: DataFrame, min_points: int = 40, min_documents: int = 5, shards: int | None = None, **options
+) -> DataFrame:
     """``LineIndex.clean`` of a table by an index of the same table."""
-    index = LineIndex(docs.sparkSession, **options)
+    shards = shards or shards_for(docs, "text", min_points, min_documents)
+    index = LineIndex(docs.sparkSession, min_points=min_points, min_documents=min_documents, shards=shards, **options)
     index.insert(docs)
     return index.clean(docs)

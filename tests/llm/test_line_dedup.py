@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from rainlane.llm.cuckoo import CuckooFilter, Full
-from rainlane.llm.line_dedup import LineIndex, drop_repeated_lines
+from rainlane.llm.line_dedup import LineIndex, drop_repeated_lines, shards_for
 
 SCHEMA = "doc_id long, text string, shard string, keys string, n string"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -91,3 +91,9 @@ def test_cuckoo_filter():
         CuckooFilter.for_count(10).delete(hashes[:1])
     with pytest.raises(Full):
         CuckooFilter.for_count(4).insert(hashes[:50])
+
+
+def test_shards_follow_from_the_size(spark):
+    docs = spark.createDataFrame([("x" * 1000,), (None,)], "text string")
+    assert shards_for(docs, "text", 40, 5) == shards_for(docs.where("text is null"), "text", 40, 5) == 64
+    assert shards_for(spark.range(100).selectExpr("repeat('x', 1000000) AS text"), "text", 1, 1) == 100
