@@ -84,12 +84,17 @@ def write_archives(
     captured: str = "2024-01-01T00:00:00Z",
     min_bytes: int = 0,
     records_per_file: int = 2000,
+    file_bytes: int = 64 << 20,
 ) -> None:
     """Write a record per row of ``pages``, a table read from files, into archives at ``path``.
 
     A null payload counts as empty, a null address is left out, a null id is larger than
     all others. Repeated rows are records of their own: all but the first are revisits.
     Line ends in addresses are percent-encoded. Other columns are not read.
+
+    The payloads of a file come to about ``file_bytes``, or to one payload that is larger: those
+    larger than their share of a file of ``records_per_file`` are in files of their own, with as
+    many as the largest of them leaves room for.
     """
     file, row = place_in_files(pages)
     located = pages.select(
@@ -137,14 +142,21 @@ def write_archives(
         _field("Content-Length", F.octet_length("block").cast("string")),
         F.lit("\r\n"),
     )
-    (
-        located.join(revisits, "tag", "left")
-        .withColumn("block", block)
-        .select(F.concat(fields, F.col("block")).alias("record"))
-        .write.option("lineSep", END)
-        .option("maxRecordsPerFile", records_per_file)
-        .text(path)
-    )
+    records = located.join(revisits, "tag", "left").withColumn("block", block)
+    share = file_bytes // records_per_file
+    longest = headers.agg(F.max("length")).first()[0] or 0
+    large = F.octet_length("payload") > share
+    parts = [(records, records_per_file)]
+    if longest > share:
+        parts = [(records.where(~large), records_per_file), (records.where(large), max(1, file_bytes // longest))]
+    for part, most in parts:
+        (
+            part.select(F.concat(fields, F.col("block")).alias("record"))
+            .write.mode("append")
+            .option("lineSep", END)
+            .option("maxRecordsPerFile", most)
+            .text(path)
+        )
 
 
 RECORD = (

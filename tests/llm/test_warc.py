@@ -56,3 +56,14 @@ def test_archives_are_checked_when_read(spark, from_files, tmp_path):
 
 def test_empty_table(from_files):
     assert archive_round_trip(from_files([], SCHEMA)).collect() == []
+
+
+def test_files_are_bounded_by_bytes(spark, from_files, tmp_path):
+    rows = [(i, f"http://a/{i}", "x" * (40_000 if i % 10 == 0 else 20) + str(i)) for i in range(60)]
+    pages = from_files(rows, "page_id long, url string, html string", files=1)
+    path = str(tmp_path / "archives")
+    write_archives(pages, path, file_bytes=100_000, records_per_file=50)
+    sizes = [p.stat().st_size for p in (tmp_path / "archives").glob("part-*")]
+    assert sum(sizes) > 240_000 and max(sizes) < 130_000
+    found = read_archives(spark, path).collect()
+    assert sorted(int(r.source_id) for r in found) == list(range(60))
