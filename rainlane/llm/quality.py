@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rainlane.llm.common import freeing, with_row
 
 COSINES = 256
-REDUCERS = 8
+REDUCERS, FAN_IN = 8, 64
 BINS = 200
 CHUNK = 1 << 20
 
@@ -133,8 +133,8 @@ def _matrix(numbers: pd.Series) -> np.ndarray:
 def add_up(features: DataFrame, values_of, size: int) -> np.ndarray:
     """Sum over all rows of a vector of ``size`` numbers that ``values_of`` gives per frame.
 
-    Tasks add up their own rows, a fixed number of reducers add up the tasks' sums one
-    after another, and the driver adds up the reducers'.
+    Tasks add up their own rows, and reducers the sums of ``FAN_IN`` tasks one after another,
+    in as many levels as it takes until ``REDUCERS`` are left, which the driver adds up.
     """
 
     def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,8 +142,7 @@ def add_up(features: DataFrame, values_of, size: int) -> np.ndarray:
         for frame in frames:
             for at in range(0, len(frame), 2000):
                 total += values_of(frame.iloc[at : at + 2000])
-        slot = TaskContext.get().partitionId() % REDUCERS
-        yield pd.DataFrame({"slot": [slot], "total": [total.tobytes()]})
+        yield pd.DataFrame({"slot": [TaskContext.get().partitionId()], "total": [total.tobytes()]})
 
     def joined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = None
@@ -151,11 +150,17 @@ def add_up(features: DataFrame, values_of, size: int) -> np.ndarray:
             for own in frame["total"]:
                 total = np.frombuffer(own) + (0 if total is None else total)
         if total is not None:  # a reducer that got nothing sends nothing
-            yield pd.DataFrame({"slot": [0], "total": [total.tobytes()]})
+            yield pd.DataFrame({"slot": [TaskContext.get().partitionId()], "total": [total.tobytes()]})
 
     schema = "slot int, total binary"
-    parts = features.mapInPandas(partial, schema).repartition(REDUCERS, "slot")
-    rows = parts.mapInPandas(joined, schema).collect()
+    parts, width = features.mapInPandas(partial, schema), features.rdd.getNumPartitions()
+    while True:
+        width = max(REDUCERS, -(-width // FAN_IN))
+        place = F.pmod("slot", F.lit(width))
+        parts = parts.repartition(width, place).mapInPandas(joined, schema)
+        if width == REDUCERS:
+            break
+    rows = parts.collect()
     return sum((np.frombuffer(r.total) for r in rows), np.zeros(size))
 
 

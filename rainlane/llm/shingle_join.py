@@ -82,7 +82,9 @@ def total_counters(scanned: DataFrame) -> np.ndarray:
         yield pd.DataFrame({"piece": list(totals), "counters": content})
 
     pieces = scanned.where("piece is not null").select("piece", "counters")
-    rows = pieces.repartition(16, "piece").mapInPandas(summed, "piece int, counters binary").collect()
+    # A reducer adds up what some 64 tasks have, as far as there are pieces.
+    width = min(COUNTERS // PIECE, max(16, scanned.rdd.getNumPartitions() // 64))
+    rows = pieces.repartition(width, "piece").mapInPandas(summed, "piece int, counters binary").collect()
     totals = np.zeros((COUNTERS // PIECE, PIECE), np.int64)
     for r in rows:
         totals[r.piece] = np.frombuffer(r.counters, np.int64)

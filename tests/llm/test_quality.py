@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rainlane.llm import quality
 from rainlane.llm.quality import N_NUMBERS, Moments, featurise, fit, learn, score, text_features
 
 SCHEMA = "doc_id long, text string, role string, numbers string"
@@ -71,3 +72,11 @@ def test_without_roles_and_without_rows(texts):
     assert {r.score for r in score(features, None).collect()} == {0.5}
     empty = featurise(texts.where("doc_id < 0")).withColumn("role", F.lit(0))
     assert learn(empty) is None and score(empty, None).collect() == []
+
+
+def test_sums_in_levels(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FAN_IN", 2)
+    monkeypatch.setattr(quality, "REDUCERS", 2)
+    frame = spark.range(0, 1000, 1, 23).selectExpr("double(id) AS x")
+    found = quality.add_up(frame, lambda own: np.array([own["x"].sum(), len(own)]), 2)
+    assert found.tolist() == [499_500, 1000]
