@@ -8,13 +8,21 @@ equal sets are one node from the start.
 Links are wanted for the groups they make, so a list of documents that share a prefix
 shingle is not expanded into pairs. Each document is paired with a central one of the list;
 what these pairs connect is found out, and only pairs of documents of a list that are not
-connected by then are looked at one by one, under the length and positional filters. Pairs
-are made distinct, pass the suffix filter, and are verified once, on the whole sets.
+connected by then are looked at one by one. Such a list is cut into bands of lengths and
+these into tiles of a bounded number of documents, so a long list is the work of many tasks.
+All pairs pass the length, positional and suffix filters, are made distinct, and are verified
+once, on the whole sets.
+
+The suffix filter cuts the range of hashes at fixed pivots and compares the parities of the
+parts' sizes, where the usual one searches for pivots in the suffixes and compares the sizes.
+The parities are of the whole set: they fit into 128 bytes that go with each document, and
+hold whatever the first shingle in common is.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -33,6 +41,7 @@ COUNTERS = 1 << 20
 PIECE = 256
 SKETCH = 16  # numbers of 64 bits
 BITMAP = 1 << 26
+TILE = 512  # documents of a list at either side of a tile, about
 LAST = 2**63 - 1
 
 
@@ -192,6 +201,46 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, perc
     return both.select("a", "b", "text_a", "text_b").mapInArrow(checked, "a long, b long")
 
 
+def fits(percent: int, before: str = "0") -> Column:
+    """The length and positional filters for n_a, n_b, at_a and at_b: two sets have ``before``
+    shingles in common ahead of one at these places at most, and then what follows in both."""
+    most = f"least(n_a, n_b, {before} + least(n_a - at_a, n_b - at_b))"
+    return F.expr(f"100 * {most} >= {percent} * (n_a + n_b - {most})")
+
+
+def tiled(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The documents of ``lists`` (token, n, node and others), once as the a side and once as
+    the b side of tiles: documents of a list meet in one tile (token, band, low, high) if their
+    lengths may be similar enough, and otherwise in none.
+
+    A band ends where the next starts, at 100 / ``percent`` times its least length, so similar
+    lengths are in one band or in neighbouring ones. A document is in its own band and, as a
+    guest, in the next. Documents of a band and its guests are dealt into chunks of about
+    ``TILE``, and each two chunks, and each with itself, are a tile; two guests are left to
+    their own band.
+    """
+    # A little wider than the ratio, so that rounding can't part similar lengths.
+    step = math.log(100 / percent) * 1.0001 if percent < 100 else 1e-12
+    own = F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("long")
+    both = F.array(*[F.struct((own + k).alias("band"), F.lit(k == 1).alias("guest")) for k in (0, 1)])
+    dealt = lists.withColumn("in", F.explode(both)).select(*lists.columns, "in.band", "in.guest")
+    sizes = dealt.groupBy("token", "band").agg(
+        F.count(F.lit(1)).alias("members"), F.bool_and("guest").alias("guests_only")
+    )
+    sizes = sizes.where("members > 1 and not guests_only")
+    sizes = sizes.select("token", "band", F.ceil(F.col("members") / TILE).alias("chunks"))
+    dealt = dealt.join(sizes, ["token", "band"]).withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    kept = [c for c in lists.columns if c != "token"]
+
+    def side(end: str, low: Column, high: Column) -> DataFrame:
+        own = [F.col(c).alias(f"{c}_{end}") for c in [*kept, "guest"]]
+        return dealt.select("token", "band", low.alias("low"), high.alias("high"), *own)
+
+    chunk, others = F.col("chunk"), F.col("chunks") - 1
+    left = side("a", chunk, F.explode(F.sequence(chunk, others)))
+    return left, side("b", F.explode(F.sequence(F.lit(0).cast("long"), chunk)), chunk)
+
+
 def _with_sizes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         own = nodes.select(
@@ -231,12 +280,16 @@ def similar_groups(
     check = partial(verify, nodes=firsts, docs=docs, width=width, percent=percent)
     # The document with the fewest rarer shingles before this one is the nearest to what a
     # list has in common, so the others are paired with it.
-    first = F.min(F.struct("at", "node"))["node"]
-    lists = postings.groupBy("token").agg(first.alias("a"), F.count(F.lit(1)).alias("long"))
+    first = F.min(F.struct("at", "node", "n")).alias("first")
+    lists = postings.groupBy("token").agg(first, F.count(F.lit(1)).alias("long"))
+    central = [F.col(f"first.{name}").alias(f"{name}_a") for name in ("node", "at", "n")]
+    own = [F.col(name).alias(f"{name}_b") for name in ("node", "at", "n")]
     first_pairs = (
         postings.join(lists.where("long > 1"), "token")
-        .where("a <> node")
-        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        .select(*central, *own)
+        # This may not be the first shingle they have in common: all before it may be so, too.
+        .where((F.col("node_a") != F.col("node_b")) & fits(percent, before="least(at_a, at_b)"))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
     )
     first_pairs = _with_sizes(stage(first_pairs, "join-pairs"), sized)
@@ -253,19 +306,15 @@ def similar_groups(
     mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     open_lists = placed.join(mixed.where("low < high").select("token"), "token", "left_semi")
     open_lists = stage(open_lists.join(nodes.select("node", "sketch"), "node"), "join-open")
-    left, right = (
-        open_lists.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "n", "at", "root", "sketch")])
-        for end in ("a", "b")
-    )
-    # With this shingle as the first in common, what follows it bounds the overlap. All
-    # filters are in the join, so that pairs that are far apart are never rows.
-    most = "least(n_a - at_a, n_b - at_b)"
-    reachable = F.expr(f"100 * {most} >= {percent} * (n_a + n_b - {most})")
-    apart = F.expr("node_a < node_b and root_a <> root_b")
+    left, right = tiled(open_lists, percent)
+    # This shingle is taken as the first in common; where it isn't, the list of that one has the
+    # pair. All filters are in the join, so that pairs that are far apart are never rows.
+    once = F.expr("(low < high or node_a < node_b) and not (guest_a and guest_b)")
+    apart = F.col("root_a") != F.col("root_b")
     rest = (
-        left.join(right, "token")
-        .where(apart & reachable & near_enough(percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        left.join(right, ["token", "band", "low", "high"])
+        .where(once & apart & fits(percent) & near_enough(percent))
+        .select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )

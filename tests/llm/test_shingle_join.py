@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 
 from rainlane.llm.components import connected
-from rainlane.llm.shingle_join import drop_near_copies, needed, similar_groups
+from rainlane.llm import shingle_join
+from rainlane.llm.shingle_join import drop_near_copies, needed, similar_groups, tiled
 from rainlane.llm.shingles import WordHashes, shingle_set
 
 SCHEMA = "doc_id long, text string, node string, signature string, _stays string"
@@ -82,6 +83,46 @@ def test_against_brute_force(spark, rows, width, percent):
     assert sorted(map(tuple, got), key=str) == brute(rows, width, percent)
 
 
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (3, 100)])
+def test_pages_of_shared_blocks(spark, monkeypatch, width, percent):
+    """All shingles but those across blocks are frequent, so lists are long and stay open."""
+    monkeypatch.setattr(shingle_join, "TILE", 3)
+    rng = random.Random(7)
+    blocks = [" ".join(f"b{k}w{i}" for i in range(9)) for k in range(14)]
+    rows = []
+    for page in range(90):
+        chosen = sorted(rng.sample(range(14), rng.choice([4, 9, 10, 12, 13])))
+        rows.append((page, " ".join(blocks[k] for k in chosen), None, None, None))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = similar_groups(docs, width, percent).collect()
+    want = brute(rows, width, percent)
+    assert sorted(map(tuple, got), key=str) == want
+    assert 1 < len({least for *_, least in want}) < 90
+
+
+@pytest.mark.parametrize("percent", [85, 80, 100])
+def test_similar_lengths_meet_once(spark, monkeypatch, percent):
+    monkeypatch.setattr(shingle_join, "TILE", 4)
+    rng = random.Random(percent)
+    lengths = [1, 1, 2, 17, 20, 85, 100, 100, 101, 80] + [rng.randrange(1, 60) for _ in range(70)]
+    lists = [(k % 2, node, n) for k, (node, n) in enumerate(enumerate(lengths))]
+    frame = spark.createDataFrame(lists, "token long, node long, n long")
+    left, right = tiled(frame, percent)
+    tile = ["token", "band", "low", "high"]
+    assert max(r["count"] for r in left.groupBy(*tile).count().collect()) <= 16
+    met = left.join(right, tile).where("(low < high or node_a < node_b) and not (guest_a and guest_b)")
+    pairs = [tuple(sorted((r.node_a, r.node_b))) for r in met.collect()]
+    assert len(pairs) == len(set(pairs))
+    wanted = {
+        (i, j)
+        for i, n in enumerate(lengths)
+        for j, m in enumerate(lengths)
+        if i < j and i % 2 == j % 2 and 100 * min(n, m) >= percent * max(n, m)
+    }
+    assert wanted <= set(pairs)
+    assert all(i % 2 == j % 2 for i, j in pairs)
+
+
 def test_drop_near_copies(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
     left = drop_near_copies(docs)
