@@ -174,9 +174,9 @@ def shard_by_bytes(
     sizes, counts = count_below(rows, splitters)
     shard_of, slots = _places(sizes, counts, shards, total)
 
-    @F.pandas_udf("long")
+    @F.pandas_udf("int")
     def range_of(keys: pd.Series, ties: pd.Series) -> pd.Series:
-        return pd.Series(below(keys.to_numpy(), ties.to_numpy(), splitters))
+        return pd.Series(below(keys.to_numpy(), ties.to_numpy(), splitters), dtype="int32")
 
     @F.pandas_udf("struct<shard: int, first: long>")
     def place_of(ranges: pd.Series) -> pd.DataFrame:
@@ -187,7 +187,8 @@ def shard_by_bytes(
         docs.select(F.struct("*").alias("row"), key.alias("key"), tie.alias("tie"), size.alias("size"))
         .withColumn("range", range_of("key", "tie"))
         .withColumn("place", place_of("range"))
-        .repartition(max(1, len(splitters) + 1), "range")
+        # The number of a range is its partition, so no two ranges fall into one task.
+        .repartitionById(len(splitters) + 1, "range")
     )
     order = Window.partitionBy("range").orderBy("key", "tie")
     slot: Column = F.col("place.first") + F.row_number().over(order) - 1

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rainlane.llm.sharding import count_below, find_splitters, shard_by_bytes
 
@@ -34,6 +35,19 @@ def test_hot_text_is_cut_and_bytes_are_equal(spark, range_bytes):
     assert sum(len(own) > 1 for own in short) <= 7
 
 
+def test_a_task_has_one_range_and_rows_move_once(spark):
+    docs = spark.createDataFrame([(i, "w" * (i % 50), 1, "s") for i in range(4000)], SCHEMA).repartition(4)
+    placed = shard_by_bytes(docs, shards=8, range_bytes=2_000).select("shard", "slot")
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    moves = [line for line in plan.splitlines() if "Exchange" in line and "RoundRobin" not in line]
+    assert len(moves) == 1
+    tasks = placed.groupBy(F.spark_partition_id().alias("task"), "shard").agg(
+        F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n")
+    ).collect()
+    assert len({r.task for r in tasks}) == len(tasks) > 40
+    assert all(r.high - r.low + 1 == r.n for r in tasks)
+
+
 def test_few_repeated_and_no_rows(spark):
     rows = [(1, "same", 1, "a")] * 5 + [(2, "x" * 100_000, 1, "a")]
     docs = spark.createDataFrame(rows, SCHEMA)
