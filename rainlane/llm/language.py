@@ -180,15 +180,16 @@ class Ranker:
         found = [[own.get(c, size) for c in codes.tolist()] for own in self.ranks_of]
         return codes, np.array(found, np.int64).reshape(len(found), len(codes))
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """Language and score, 1 less the distance's share of the largest one possible."""
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
+        """Language, score, 1 less the distance's share of the largest one possible, and the
+        number of n-grams that were compared."""
         size, result = self.profiles.size, []
         for counts in self.grams.counts([text or "" for text in texts]):
             if len(self._codes) != len(counts):
                 self._codes, self._ranks = self._ranked(self.grams.codes())
             at = np.flatnonzero(counts)
             if not len(at) or not self.profiles.languages:
-                result.append((UNDETERMINED, 0.0))
+                result.append((UNDETERMINED, 0.0, 0))
                 continue
             if len(at) > size:
                 least = np.partition(counts[at], len(at) - size)[len(at) - size]
@@ -199,7 +200,7 @@ class Ranker:
             apart = np.where(ranks == size, size, np.abs(ranks - places)).sum(axis=1)
             best = int(np.argmin(apart))
             score = 1 - apart[best] / (size * len(at))
-            result.append((self.profiles.languages[best], float(score)))
+            result.append((self.profiles.languages[best], float(score), len(at)))
         if self.grams.full():
             self.grams.restart()
             self._codes, self._ranks = self._ranked(np.zeros(0, np.int64))
@@ -207,7 +208,8 @@ class Ranker:
 
 
 def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text") -> DataFrame:
-    """Columns row (all columns of ``docs``, as they are), lang_pred and score.
+    """Columns row (all columns of ``docs``, as they are), lang_pred, score and n_grams (how many
+    different n-grams of the text were compared, at most the size of a profile).
 
     Each whole text is read. A null text, one without a letter, and any text where no
     profile was learned is ``und`` with score 0. Of languages equally far the first by
@@ -221,11 +223,11 @@ def identify(docs: DataFrame, profiles: Profiles, text_column: str = "text") ->
             found = []
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 found += ranker.predict(batch.column(1).slice(at, TEXTS_AT_ONCE).to_pylist())
-            langs, scores = zip(*found) if found else ((), ())
+            langs, scores, sizes = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                names=["row", "lang_pred", "score"],
+                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int32())],
+                names=["row", "lang_pred", "score", "n_grams"],
             )
 
     given = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
-    return given.mapInArrow(predicted, with_row(given, "lang_pred string, score double"))
+    return given.mapInArrow(predicted, with_row(given, "lang_pred string, score double, n_grams int"))

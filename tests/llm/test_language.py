@@ -52,17 +52,18 @@ def test_against_brute_force(spark):
     profiles = learn_profiles(docs, size=40)
     learned = {k: [t] for _, t, k, *_ in rows if k and t}
     asked = ["the things", "sehr schön", "une chose très froide", "x", "cat " * 20_000, "the,the!the"]
-    for text, (lang, score) in zip(asked, Ranker(profiles).predict(asked)):
+    for text, (lang, score, n_grams) in zip(asked, Ranker(profiles).predict(asked)):
         want, near = brute(learned, text, 40)
         assert lang == want and abs(score - near) < 1e-9
+        assert n_grams == min(40, len(grams(text)))
 
 
 def test_undetermined_empty_and_unlearned(spark):
     docs = spark.createDataFrame([(i, t, k, "s", "r") for i, (k, t) in enumerate(TEXTS.items())], SCHEMA)
     profiles = learn_profiles(docs)
     odd = spark.createDataFrame([(1, None, None, None, None), (2, "12 34 -- !", "en", "s", "r"), (3, "", "en", "s", "r")], SCHEMA)
-    assert [(r.lang_pred, r.score) for r in identify(odd, profiles).collect()] == [("und", 0.0)] * 3
-    assert identify(odd, profiles).columns == ["row", "lang_pred", "score"]
+    assert [(r.lang_pred, r.score, r.n_grams) for r in identify(odd, profiles).collect()] == [("und", 0.0, 0)] * 3
+    assert identify(odd, profiles).columns == ["row", "lang_pred", "score", "n_grams"]
     empty = docs.where("id < 0")
     assert identify(empty, profiles).collect() == []
     assert {r.lang_pred for r in identify(docs, learn_profiles(empty)).collect()} == {"und"}
