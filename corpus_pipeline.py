@@ -16,8 +16,11 @@ from rainlane.llm.common import table
 from rainlane.llm.queries import TARGETS
 from rainlane.staging import stage
 
-#: A document that is farther than this from all profiles is in none of their languages.
-LEAST_SCORE = 0.2
+#: A document that is farther than this from all profiles is in none of their languages. The
+#: first is the score that a text of few n-grams needs, the second that of a text with as many
+#: as a profile has; between them the limit rises with the number of n-grams. A short text has
+#: few ranks to agree with, so its score says less.
+LEAST_SCORE, LEAST_SCORE_LONG = 0.2, 0.26
 
 #: Rows that a worker gets at a time; texts may be long, and a worker holds what it got.
 ROWS_AT_ONCE = 1000
@@ -41,7 +44,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not profiles.languages:
         return docs
     found = language.identify(docs, profiles)
-    near = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    least = LEAST_SCORE + (LEAST_SCORE_LONG - LEAST_SCORE) * F.col("n_grams") / profiles.size
+    near = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= least)
     row = F.col("row")
     label = F.coalesce(row.getField("lang"), "lang_pred")
     return found.where(near).select(
