@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -40,6 +42,47 @@ def test_language_rejects_what_is_in_none(stages):
     assert ids(stages[0]) - ids(stages[1]) == {9001, 9002, 9003}
 
 
+HUNGARIAN = (
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel "
+    "bírván, egymással szemben testvéri szellemben kell hogy viseltessenek. Mindenki, bármely megkülönböztetésre, "
+    "nevezetesen fajra, színre, nemre, nyelvre, vallásra, politikai vagy bármely más véleményre való tekintet nélkül "
+    "hivatkozhat a jelen Nyilatkozatban kinyilvánított összes jogokra és szabadságokra."
+)
+ITALIAN = (
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza "
+    "e devono agire gli uni verso gli altri in spirito di fratellanza. Ad ogni individuo spettano tutti i diritti e "
+    "tutte le libertà enunciate nella presente Dichiarazione, senza distinzione alcuna."
+)
+ENGLISH = (
+    "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and "
+    "should act towards one another in a spirit of brotherhood. Everyone is entitled to all the rights and freedoms "
+    "set forth in this Declaration, without distinction of any kind."
+)
+GERMAN = (
+    "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und "
+    "sollen einander im Geist der Brüderlichkeit begegnen. Jeder hat Anspruch auf die in dieser Erklärung verkündeten "
+    "Rechte und Freiheiten ohne irgendeinen Unterschied."
+)
+
+
+def test_language_limit_follows_the_length(spark, tables):
+    """Long texts in a Latin-script language that nobody named, or in none, go whatever their
+    label; texts in a named one stay, though their words are not the corpus's, and so do the
+    short ones of the corpus."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet").select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    draw = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = " ".join("".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(2000))
+    planted = [(9001, HUNGARIAN, "en"), (9002, ITALIAN, "es"), (9003, junk, "de"), (9004, ENGLISH, None), (9005, GERMAN, "de")]
+    first = docs.orderBy("doc_id").limit(20).collect()
+    planted += [(9100 + k, " ".join(r.text.split()[:4]), r.lang) for k, r in enumerate(first)]
+    rows = [(key, text, lang, "src0", len(text)) for key, text, lang in planted]
+    found = corpus_pipeline.identify_language(spark, docs.unionByName(spark.createDataFrame(rows, SCHEMA)), tables)
+    assert ids(docs) <= ids(found)
+    assert {key for key in ids(found) if key > 9000} == {key for key, *_ in planted} - {9001, 9002, 9003}
+    assert [r.lang for r in found.where("doc_id = 9004").collect()] == ["en"]
+
+
 def test_exact_copies(stages):
     bare = F.regexp_replace("text", r"[\x20\x09-\x0D]", "")
     best = stages[1].groupBy(bare.alias("bare")).agg(F.max(F.struct(F.char_length("text"), -F.col("doc_id"))).alias("b"))
