@@ -662,29 +662,33 @@ LEVEL_SEARCH = replace(SETTINGS, features=(LEVEL,))
 
 def level_folds(spark: SparkSession, folder: str) -> DataFrame:
     rows = trusted_of(spark, folder).withColumn("fold", F.pmod(F.col("id").cast("bigint"), F.lit(5)).cast("int"))
-    return stage(trees.labelled(rows, LEVEL_SEARCH, "fold").coalesce(1), "level-folds")
+    return trees.labelled(rows, LEVEL_SEARCH, "fold")
+
+
+def searched_on_levels(spark: SparkSession, folder: str, regressor, grid) -> DataFrame:
+    """All rows take part, those that agree in level, label and fold as one with a weight."""
+    rows = trees.counted(level_folds(spark, folder), max(grid.get("minInstancesPerNode", (1,))))
+    rows = trees.fit_table(rows, LEVEL_SEARCH, "level-folds")
+    found = searched(spark, rows, regressor.setWeightCol(trees.WEIGHT), grid, LEVEL_SEARCH)
+    return rounded(found, "avg_rmse")
 
 
 @query
 def rf_cv_levels(spark: SparkSession, folder: str) -> DataFrame:
     forest = trees.forest(LEVEL_SEARCH, bootstrap=False)
-    found = searched(spark, level_folds(spark, folder), forest, LEVEL_SEARCH.grids.rf, LEVEL_SEARCH)
-    return rounded(found, "avg_rmse")
+    return searched_on_levels(spark, folder, forest, LEVEL_SEARCH.grids.rf)
 
 
 @query
 def gbt_cv_levels(spark: SparkSession, folder: str) -> DataFrame:
-    boosted = trees.boosted(LEVEL_SEARCH)
-    found = searched(spark, level_folds(spark, folder), boosted, LEVEL_SEARCH.grids.gbt, LEVEL_SEARCH)
-    return rounded(found, "avg_rmse")
+    return searched_on_levels(spark, folder, trees.boosted(LEVEL_SEARCH), LEVEL_SEARCH.grids.gbt)
 
 
 @query
 def boosting_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """Trees of one split, of which one is too few for three levels: each round counts."""
     grid = {"maxIter": (1, 2), "maxDepth": (1,), "stepSize": (0.1,)}
-    found = searched(spark, level_folds(spark, folder), trees.boosted(LEVEL_SEARCH), grid, LEVEL_SEARCH)
-    return rounded(found, "avg_rmse")
+    return searched_on_levels(spark, folder, trees.boosted(LEVEL_SEARCH), grid)
 
 
 @query

@@ -19,7 +19,6 @@ from rainlane.schemas import MODEL_EVALUATION, PREDICTIONS, SCENARIO
 from rainlane.settings import Layout, Settings
 from rainlane.sinks.tables import conformed, overwrite_table
 from rainlane.sources.tables import read_table
-from rainlane.staging import stage
 
 
 @dataclass(frozen=True)
@@ -91,10 +90,7 @@ def model_rows(trusted: DataFrame, settings: Settings) -> DataFrame:
         "fold",
         "draw",
     )
-    rows = stage(rows, "model-rows")
-    # Fits are many short jobs; a task for a few rows would only add to each of them.
-    n = rows.count()
-    rows = stage(rows.repartition(max(1, n // settings.rows_per_fit_task)), "model-rows")
+    rows = trees.fit_table(rows, settings, "model-rows")
     if settings.fit_rows is not None:
         n = rows.where("in_training").count()
         share = int(1_000_000 * min(1.0, settings.fit_rows / max(n, 1)))

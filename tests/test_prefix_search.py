@@ -68,3 +68,42 @@ def test_a_failing_fit_is_raised(spark, rows):
     bad = trees.cross_validated(trees.boosted(SETTINGS), {"maxIter": (1, 2), "maxDepth": (99,)}, SETTINGS, "fold")
     with pytest.raises(Exception, match="(?i)depth"):
         bad.fit(rows)
+
+
+def fold_levels(spark):
+    """Few rows that often repeat, some levels rare; a row per (label, level, fold) on its own too."""
+    rng = random.Random(7)
+    made = [(rng.choice((3, 4, 9, 20)) + 5 * level, level, rng.randint(0, 2)) for level in (1, 2, 2, 3, 3, 3) for _ in range(80)]
+    made += [(50, 4, fold) for fold in (0, 1, 1, 2)] + [(70, 5, fold) for fold in (0, 1, 2)]
+    return spark.createDataFrame(made, "label int, congestion_level_num int, fold int").repartition(4)
+
+
+LEVELS = replace(SETTINGS, features=("congestion_level_num",))
+LEVEL_GRIDS = {
+    "gbt": {"maxIter": (3, 6), "maxDepth": (1, 3, 6), "stepSize": (0.1,)},
+    "rf": {"numTrees": (1, 3), "maxDepth": (1, 4, 9), "minInstancesPerNode": (1, 3, 4, 6)},
+}
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_equal_rows_counted_give_the_metrics_of_all_rows(spark, kind):
+    grid, rows = LEVEL_GRIDS[kind], fold_levels(spark)
+    small = trees.fit_table(trees.counted(rows, max(grid.get("minInstancesPerNode", (1,)))), LEVELS, "counted")
+    assert small.rdd.getNumPartitions() == 1
+    plain = trees.cross_validated(regressor(kind), grid, LEVELS, "fold")
+    whole = plain.setEstimator(Pipeline(stages=plain.getEstimator().getStages()))
+    want = trees.search_results(spark, whole.fit(rows), grid).collect()
+    search = trees.cross_validated(regressor(kind).setWeightCol(trees.WEIGHT), grid, LEVELS, "fold")
+    got = trees.search_results(spark, search.fit(small), grid).collect()
+    assert [r[:-1] for r in got] == [r[:-1] for r in want]
+    assert [r.avg_rmse for r in got] == pytest.approx([r.avg_rmse for r in want], abs=1e-9)
+    # The limits of the grid count here.
+    assert len({round(r.avg_rmse, 6) for r in want}) >= 3
+
+
+def test_counted_rows_keep_number_and_rows_of_small_nodes(spark):
+    rows = spark.createDataFrame([(1, None)] * 7 + [(2, 1)] * 2 + [(3, 1)], "label int, fold int")
+    one = sorted(tuple(r) for r in trees.counted(rows).collect())
+    assert [(r[0], r[2]) for r in one] == [(1, 7.0), (2, 2.0), (3, 1.0)]
+    three = sorted((r.label, r.weight) for r in trees.counted(rows, 3).collect())
+    assert three == [(1, 1.0), (1, 1.0), (1, 5.0), (2, 1.0), (2, 1.0), (3, 1.0)]

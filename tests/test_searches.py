@@ -1,12 +1,16 @@
 """What the searches search: each is stopped before its fits."""
 
+from functools import reduce
 from types import SimpleNamespace
 
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rainlane.checks.registered import FULL_SEARCHES, QUERIES
+from rainlane.checks import registered
+from rainlane.checks.registered import FULL_SEARCHES, QUERIES, level_folds
 
 FULL = {"RandomForestRegressor": 27, "GBTRegressor": 12}
 
@@ -35,3 +39,22 @@ def test_registered_searches_are_full(spark, tables, searches, name):
         assert len(rows) == FULL[searches[0][0]]
     else:
         assert {s[0] for s in searches} == set(FULL)
+
+
+@pytest.mark.parametrize("name", ["rf_cv_levels", "gbt_cv_levels", "boosting_rounds"])
+def test_fits_on_levels_read_few_rows_with_all_of_the_weight(spark, tables, monkeypatch, name):
+    read = []
+
+    def fit(self, rows):
+        read.append(rows.agg(F.count("*"), F.sum("weight")).first())
+        maps = self.getEstimatorParamMaps()
+        return SimpleNamespace(getEstimatorParamMaps=lambda: maps, avgMetrics=[0.0] * len(maps))
+
+    monkeypatch.setattr(CrossValidator, "fit", fit)
+    folds = level_folds(spark, tables)
+    # The same orders fifty times over, as a larger table has them.
+    monkeypatch.setattr(registered, "level_folds", lambda *_: reduce(DataFrame.unionAll, [folds] * 50))
+    QUERIES[name](spark, tables)
+    (n, weight), = read
+    assert weight == 50 * folds.count()
+    assert n <= (10 if name == "rf_cv_levels" else 1) * folds.distinct().count()
