@@ -107,3 +107,16 @@ def test_counted_rows_keep_number_and_rows_of_small_nodes(spark):
     assert [(r[0], r[2]) for r in one] == [(1, 7.0), (2, 2.0), (3, 1.0)]
     three = sorted((r.label, r.weight) for r in trees.counted(rows, 3).collect())
     assert three == [(1, 1.0), (1, 1.0), (1, 5.0), (2, 1.0), (2, 1.0), (3, 1.0)]
+
+
+def test_depths_that_no_tree_reaches_share_a_fit(spark, monkeypatch):
+    fits = []
+    fit = Pipeline._fit
+    monkeypatch.setattr(Pipeline, "_fit", lambda self, data: fits.append(1) or fit(self, data))
+    grid = {"maxIter": (1, 2), "maxDepth": (1, 4, 7, 9), "stepSize": (0.1, 0.5)}
+    search = trees.cross_validated(regressor("gbt"), grid, LEVELS, "fold")
+    found = search.fit(fold_levels(spark))
+    # Per fold and step size the depths 9 and 1: five levels are at most four splits deep.
+    assert len(fits) <= 3 * 2 * 3 + 1 and len(fits) < 3 * 2 * 4 + 1
+    by_setting = {tuple(m.values()): v for m, v in zip(found.getEstimatorParamMaps(), found.avgMetrics)}
+    assert len(by_setting) == 16
