@@ -18,7 +18,7 @@ from threading import Lock
 
 from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame
 
 #: The parameter that says how many trees an ensemble has.
@@ -38,13 +38,15 @@ def first_trees(model, n: int):
         return part
 
     trees = first(java.trees(), regression.DecisionTreeRegressionModel)
+    # A copy, as a new wrapper asks Java about each tree, which takes as long as a small fit.
+    part = model.copy()
+    part.__dict__.pop("trees", None)
     if isinstance(model, GBTRegressionModel):
         weights = first(java.treeWeights(), gateway.jvm.double)
-        part = GBTRegressionModel(regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures()))
+        part._java_obj = regression.GBTRegressionModel(java.uid(), trees, weights, java.numFeatures())
     else:
-        part = RandomForestRegressionModel(regression.RandomForestRegressionModel(java.uid(), trees, java.numFeatures()))
-    part._set(**{"maxIter" if isinstance(model, GBTRegressionModel) else "numTrees": n})
-    return part.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+        part._java_obj = regression.RandomForestRegressionModel(java.uid(), trees, java.numFeatures())
+    return part._set(**{"maxIter" if isinstance(model, GBTRegressionModel) else "numTrees": n})
 
 
 def reaches(model, depth: int) -> bool:

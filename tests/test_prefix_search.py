@@ -120,3 +120,12 @@ def test_depths_that_no_tree_reaches_share_a_fit(spark, monkeypatch):
     assert len(fits) <= 3 * 2 * 3 + 1 and len(fits) < 3 * 2 * 4 + 1
     by_setting = {tuple(m.values()): v for m, v in zip(found.getEstimatorParamMaps(), found.avgMetrics)}
     assert len(by_setting) == 16
+
+
+@pytest.mark.parametrize("kind", ["gbt", "rf"])
+def test_a_part_asks_java_about_no_tree(spark, rows, kind):
+    size = {"gbt": "maxIter", "rf": "numTrees"}[kind]
+    whole = trees.regression_chain(regressor(kind, **{size: 5}), SETTINGS).fit(rows).stages[-1]
+    part = prefixes.first_trees(whole, 3)
+    assert "trees" not in vars(part)
+    assert (part.getOrDefault(size), len(part.trees), len(whole.trees)) == (3, 3, 5)
